@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola import dims
@@ -14,39 +14,42 @@ def norm_ean(c: Column) -> Column:
 
 
 def check_digit(body: Column) -> Column:
-    """Check digit of the first 12 digits: weights 1 and 3 in turn, complement to ten."""
-    total = F.lit(0)
-    for i in range(1, 13):
-        digit = F.ascii(F.substring(body, i, 1)) - F.lit(48)
-        total = total + (digit if i % 2 else digit * 3)
-    return (F.lit(10) - total % 10) % 10
-
-
-def _check_passes(clean: Column) -> Column:
-    last = F.ascii(F.substring(clean, 13, 1)) - F.lit(48)
-    return (F.length(clean) != 13) | (check_digit(clean) == last)
-
-
-def ean_valid(c: Column) -> Column:
-    """TRUE / FALSE, never NULL."""
-    clean = norm_ean(c)
-    return F.coalesce(_check_passes(clean), F.lit(False))
-
-
-def ean_error(c: Column) -> Column:
-    """Reason a code is refused, NULL when it is accepted."""
-    clean = norm_ean(c)
+    """Check digit of a 12-digit code: weights 1 and 3 in turn, complement to ten.
+
+    The number is bound once, as the element of a one-item array: where the
+    optimizer copies the expression into a filter, the input is not multiplied.
+    """
+    def digit_of(n: Column) -> Column:
+        total = F.lit(0)
+        for i in range(12):
+            digit = F.call_function("div", n, F.lit(10 ** (11 - i))) % 10
+            total = total + (digit if i % 2 == 0 else digit * 3)
+        return ((F.lit(10) - total % 10) % 10).cast("int")
+
+    return F.get(F.transform(F.array(body.try_cast("bigint")), digit_of), 0)
+
+
+def with_validity(df: DataFrame, column: str = "ean", cleaned: str = "ean_normalized",
+                  valid: str = "ean_valid", error: str | None = None) -> DataFrame:
+    """Add the cleaned code, whether it is accepted (never NULL), and why not.
+
+    The steps are separate projections, so the code is cleaned and its check digit
+    computed once per row however often they are used.
+    """
+    raw, clean = F.col(column), F.col(cleaned)
+    body = F.when(F.length(clean) == 13, F.substring(clean, 1, 12))
+    out = df.withColumn(cleaned, norm_ean(raw)).withColumn("_body", body)
+    out = out.withColumn("_check", check_digit(F.col("_body")).cast("string"))
     last = F.substring(clean, 13, 1)
-    return (F.when(c.isNull() | (c == ""), F.lit("Empty EAN"))
-            .when(clean.isNull(), F.concat(F.lit("Invalid format: "), c))
-            .when(~_check_passes(clean),
-                  F.concat(F.lit("Invalid check digit: expected "),
-                           check_digit(clean).cast("string"), F.lit(", got "), last)))
-
-
-def ean_validate(c: Column) -> Column:
-    return F.struct(ean_valid(c).alias("valid"), norm_ean(c).alias("cleaned"),
-                    ean_error(c).alias("error"))
+    passes = F.col("_check").isNull() | (F.col("_check") == last)
+    added = {valid: clean.isNotNull() & passes}
+    if error:
+        added[error] = (
+            F.when(raw.isNull() | (raw == ""), F.lit("Empty EAN"))
+            .when(clean.isNull(), F.concat(F.lit("Invalid format: "), raw))
+            .when(~passes, F.concat(F.lit("Invalid check digit: expected "), F.col("_check"),
+                                    F.lit(", got "), last)))
+    return out.withColumns(added).drop("_body", "_check")
 
 
 def searched_ean(term: Column) -> Column:

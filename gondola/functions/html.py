@@ -17,8 +17,10 @@ ID_IN_HREF = r"-(\d+)(?:\?|$)"
 
 
 def _entity_map() -> Column:
-    names = [F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))]
-    return F.create_map(*names, F.lit("apos"), F.lit("'"))
+    """Entity name -> character, as one literal."""
+    pairs = {**{n: chr(code) for n, code in name2codepoint.items()}, "apos": "'"}
+    return F.str_to_map(F.lit("\u0001".join(f"{n}\u0002{c}" for n, c in pairs.items())),
+                        F.lit("\u0001"), F.lit("\u0002"))
 
 
 def _code_point(digits: Column, base: int) -> Column:
@@ -56,8 +58,21 @@ def cards(page: Column) -> Column:
     return F.regexp_extract_all(page, F.lit(CARD), F.lit(0))
 
 
+def raw_attr(c: Column, name: str) -> Column:
+    return blank_to_null(F.regexp_extract(c, rf'{name}="([^"]+)"', 1))
+
+
 def attr(c: Column, name: str) -> Column:
-    return unescape(blank_to_null(F.regexp_extract(c, rf'{name}="([^"]+)"', 1)))
+    return unescape(raw_attr(c, name))
+
+
+def raw_card(card: Column) -> Column:
+    """The undecoded parts of a product card, one regular expression each."""
+    return F.struct(
+        raw_attr(card, "href").alias("href"), raw_attr(card, "src").alias("src"),
+        raw_attr(card, "alt").alias("alt"),
+        F.regexp_extract(card, r"(?s)<h2\b[^>]*>(.*?)</h2>", 1).alias("h2"),
+        F.regexp_extract(card, PRICE_SPAN, 1).alias("span"))
 
 
 def tag_text(c: Column, tag: str = "h2") -> Column:
@@ -67,7 +82,11 @@ def tag_text(c: Column, tag: str = "h2") -> Column:
 
 
 def price(c: Column) -> Column:
-    return parse_brl(blank_to_null(clean_text(F.regexp_extract(c, PRICE_SPAN, 1))))
+    return price_text(F.regexp_extract(c, PRICE_SPAN, 1))
+
+
+def price_text(span: Column) -> Column:
+    return parse_brl(blank_to_null(clean_text(span)))
 
 
 def product_id(href: Column) -> Column:

@@ -37,8 +37,7 @@ def parse_brl(c: Column) -> Column:
 
 def safe_to_float(c: Column) -> Column:
     """DOUBLE or NULL, never an error and never NaN."""
-    number = c.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def comma_to_float(c: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from gondola import dims
 
 _MARK = "\u0001 "
+# white space of any script, spelled out: much faster to match than a Unicode class
+_SPACE = r"\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def _accent_table() -> tuple[str, str]:
@@ -32,12 +34,16 @@ def blank_to_null(c: Column) -> Column:
 
 
 def collapse_spaces(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(c, f"[{_SPACE}]+", " "))
 
 
 def strip_accents(c: Column) -> Column:
-    """Drop accents; combining marks left by decomposed input go as well."""
-    return F.translate(F.regexp_replace(c, r"\p{M}+", ""), _ACCENTED, _PLAIN)
+    """Drop accents; combining marks left by decomposed input go as well.
+
+    Plain ASCII (as many bytes as characters) is passed through.
+    """
+    plain = F.translate(F.regexp_replace(c, r"\p{M}+", ""), _ACCENTED, _PLAIN)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(plain)
 
 
 def title_case(c: Column) -> Column:
@@ -51,42 +57,53 @@ def title_case(c: Column) -> Column:
 
 
 def norm_name(c: Column) -> Column:
-    plain = collapse_spaces(strip_accents(F.lower(F.trim(c))))
-    kept = F.regexp_replace(title_case(plain), r"[^a-zA-Z0-9 \-()/]", "")
+    """Lower case, no accents, title case, allowed characters, single blanks; NULL if empty."""
+    titled = title_case(strip_accents(F.lower(c)))
+    kept = F.regexp_replace(titled, rf"[^a-zA-Z0-9\-()/{_SPACE}]", "")
     return blank_to_null(collapse_spaces(kept))
 
 
-def norm_brand(c: Column) -> Column:
-    """Title case, legal suffixes off the end, aliases, repeated words once."""
+def brand_base(c: Column) -> Column:
+    """Title case without legal suffixes at the end."""
     suffixes = "|".join(dims.LEGAL_SUFFIXES)
-    base = F.regexp_replace(collapse_spaces(title_case(F.trim(c))),
+    return F.regexp_replace(collapse_spaces(title_case(F.trim(c))),
                             rf"(?i)(\s+({suffixes})\.?)+$", "")
-    alias = F.lit(None).cast("string")
-    for raw, standard in dims.BRAND_ALIASES.items():
-        alias = F.when(base == raw, standard).otherwise(alias)
-    named = F.coalesce(alias, base)
+
+
+def brand_of(base: Column) -> Column:
+    """Alias of a cleaned brand, each word once."""
+    aliases = F.create_map(*[F.lit(x) for pair in dims.BRAND_ALIASES.items() for x in pair])
+    named = F.coalesce(F.try_element_at(aliases, base), base)
     return blank_to_null(F.array_join(F.array_distinct(F.split(named, " ")), " "))
 
 
+def norm_brand(c: Column) -> Column:
+    """Title case, legal suffixes off the end, aliases, repeated words once."""
+    return brand_of(brand_base(c))
+
+
 def category_key(c: Column) -> Column:
     return blank_to_null(F.trim(F.lower(c)))
 
 
-def norm_category(c: Column) -> Column:
-    """Exact pattern, else the first pattern that contains or is contained.
+def category_of(key: Column) -> Column:
+    """Standard category of a lower-cased key: exact, else first containment match.
 
-    Patterns of one standard category are consecutive, so "first match in
-    order" is the first block with any match: two tests per block.
+    Patterns of one standard category are consecutive, so "first match in order"
+    is the first block with any match: two tests per block.
     """
-    key = category_key(c)
-    exact = F.lit(None).cast("string")
+    exact = F.create_map(*[F.lit(x) for _, pattern, std in dims.category_rows()
+                           for x in (pattern, std)])
     fuzzy = F.lit(None).cast("string")
     for standard, patterns in reversed(dims.CATEGORY_PATTERNS):
-        exact = F.when(key.isin(patterns), standard).otherwise(exact)
         inside = key.rlike("|".join(patterns))
         around = F.contains(F.lit("\u0000".join(patterns)), key)
         fuzzy = F.when(inside | around, standard).otherwise(fuzzy)
-    return F.coalesce(exact, fuzzy, F.lit(dims.UNCATEGORIZED))
+    return F.coalesce(F.try_element_at(exact, key), fuzzy, F.lit(dims.UNCATEGORIZED))
+
+
+def norm_category(c: Column) -> Column:
+    return category_of(category_key(c))
 
 
 def category_hierarchy(c: Column) -> Column:
@@ -103,13 +120,8 @@ def category_multi(c: Column) -> Column:
 
 
 def dedup_consecutive_words(c: Column) -> Column:
-    """Drop a word equal (ignoring case) to the one just before it."""
-    words = F.split(collapse_spaces(c), " ")
-    kept = F.filter(
-        F.transform(words, lambda w, i: F.when(
-            (i == 0) | (F.lower(w) != F.lower(F.get(words, i - 1))), w)),
-        lambda w: w.isNotNull())
-    return F.array_join(kept, " ")
+    """Drop a word equal (ignoring case) to the one just before it: one linear scan."""
+    return F.regexp_replace(collapse_spaces(c), r"(?iu)(?<!\S)(\S+)(?: \1(?!\S))+", "$1")
 
 
 def sanitize_string(c: Column) -> Column:
@@ -117,7 +129,5 @@ def sanitize_string(c: Column) -> Column:
 
 
 def market_name(c: Column, title_fallback: bool = True) -> Column:
-    named = F.lit(None).cast("string")
-    for raw, name in dims.MARKET_NAMES.items():
-        named = F.when(c == raw, name).otherwise(named)
-    return F.coalesce(named, title_case(c) if title_fallback else c)
+    names = F.create_map(*[F.lit(x) for pair in dims.MARKET_NAMES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, c), title_case(c) if title_fallback else c)

@@ -31,20 +31,16 @@ def extract_volume(name: Column, strict: bool = False) -> Column:
 
 def norm_unit(unit: Column) -> Column:
     """``L``, ``ml``, ``kg``, ``g`` or ``un``; NULL for an unknown unit."""
-    key = F.trim(F.lower(unit))
-    out = F.when(key.isin([u for u in dims.UNIT_FACTORS if u == u.lower()]), dims.OTHER_UNIT)
-    for raw, symbol in dims.UNIT_SYMBOLS.items():
-        out = F.when(key == raw, symbol).otherwise(out)
-    return out
+    names = {u: dims.UNIT_SYMBOLS.get(u, dims.OTHER_UNIT) for u in dims.UNIT_FACTORS
+             if u == u.lower()}
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.try_element_at(table, F.trim(F.lower(unit)))
 
 
 def unit_factor(unit: Column) -> Column:
-    key = F.lower(unit)
-    out = F.lit(1.0)
-    for raw, factor in dims.UNIT_FACTORS.items():
-        if raw == raw.lower() and factor != 1.0:
-            out = F.when(key == raw, factor).otherwise(out)
-    return out
+    table = F.create_map(*[F.lit(x) for u, f in dims.UNIT_FACTORS.items()
+                           if u == u.lower() and f != 1.0 for x in (u, f)])
+    return F.coalesce(F.try_element_at(table, F.lower(unit)), F.lit(1.0))
 
 
 def to_base_unit(quantity: Column, unit: Column) -> Column:

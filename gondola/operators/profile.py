@@ -68,11 +68,19 @@ def impute_median(df: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame
         label.alias("price_quality"))
 
 
+def mean_of_tenths(name: str) -> Column:
+    """Aggregate: mean of a one-decimal score with two decimals, by exact integers."""
+    tenths = F.floor(F.col(name) * 10 + 0.5).cast("bigint")
+    n = F.count(name)
+    return F.call_function("div", F.sum(tenths) * 20 + n, n * 2) / 100.0
+
+
 def daily_quality(df: DataFrame) -> DataFrame:
     """Quality measures per market and collection day."""
     return df.groupBy("market", F.to_date("collected_at").alias("day")).agg(
-        F.count(F.lit(1)).alias("records"), r2(F.avg("data_completeness"))
-        .alias("avg_completeness"), r2(F.avg("quality_score")).alias("avg_score"),
+        F.count(F.lit(1)).alias("records"),
+        mean_of_tenths("data_completeness").alias("avg_completeness"),
+        mean_of_tenths("quality_score").alias("avg_score"),
         F.count_if("ean_valid").alias("valid_eans"),
         F.count_if(F.col("price_normalized").isNull()).alias("missing_prices"))
 

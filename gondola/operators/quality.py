@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola import dims
-from gondola.functions import ean, numbers, scoring
+from gondola.functions import numbers
 from gondola.session import small_side
 
 r4 = lambda c: numbers.round_half_up(c, 4)
@@ -21,9 +21,9 @@ def profile(df: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
     ``df`` is a Silver table after deduplication. All aggregates combine before
     the shuffle, so a batch may be of any size.
     """
-    price, code = F.col("price"), F.col("ean")
+    price = F.col("price")
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in dims.NULL_RATE_LIMITS]
-    score = scoring.data_completeness()
+    score = F.col("data_completeness")
     brand = F.lower("brand")
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), *nulls,
@@ -32,7 +32,7 @@ def profile(df: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
         F.count_if(price < 0).alias("negative"),
         F.avg("price").alias("mean_price"), F.stddev_samp("price").alias("std_price"),
         F.count("ean").alias("n_ean"),
-        F.count_if(code.isNotNull() & ean.ean_valid(code)).alias("n_valid_ean"),
+        F.count_if(F.col("ean").isNotNull() & F.col("ean_valid")).alias("n_valid_ean"),
         F.coalesce(F.sum("duplicate_count"), F.lit(0)).alias("dup_removed"),
         F.count_if(F.col("duplicate_count") > 0).alias("dup_kept_rows"),
         F.count_if(F.col("is_duplicate")).alias("dup_marked"),

@@ -11,9 +11,8 @@ from gondola.functions import ean
 
 def distinct_eans(records: DataFrame) -> DataFrame:
     """One row per valid code with the name of its first record (by ``record_id``)."""
-    code = ean.norm_ean(F.col("ean"))
-    return (records.filter(ean.ean_valid(F.col("ean")))
-            .groupBy(code.alias("ean"))
+    coded = ean.with_validity(records.select("ean", "product_name", "record_id"))
+    return (coded.filter("ean_valid").groupBy(F.col("ean_normalized").alias("ean"))
             .agg(F.min_by("product_name", "record_id").alias("descricao_referencia")))
 
 

@@ -23,19 +23,23 @@ def new_transformation_id(now: datetime | None = None, suffix: str | None = None
 def normalize(df: DataFrame, transformation_id: str | None = None) -> DataFrame:
     """The cleaned columns, quality columns and lineage of a Bronze table.
 
-    A projection only: no shuffle, so it runs inside the scan stage.
+    Projections only: no shuffle, so it runs inside the scan stage. A value used
+    several times gets a projection of its own, which keeps generated code small.
     """
     if isinstance(df.schema["collected_at"].dataType, T.StringType):
         df = df.withColumn("collected_at", F.try_to_timestamp("collected_at"))
-    first = df.withColumns({
+    coded = ean.with_validity(df.withColumns({
+        "_unit": units.volume_unit(F.col("product_name")),
+        "_category": text.category_key(F.col("category")),
+        "_brand": text.brand_base(F.col("brand")),
+        "data_completeness": scoring.data_completeness()}))
+    first = coded.withColumns({
         "product_name_normalized": text.norm_name(F.col("product_name")),
         "price_normalized": numbers.norm_price(F.col("price")),
-        "unit_normalized": units.norm_unit(units.volume_unit(F.col("product_name"))),
-        "category_normalized": text.norm_category(F.col("category")),
-        "brand_normalized": text.norm_brand(F.col("brand")),
-        "ean_normalized": ean.norm_ean(F.col("ean")),
-        "ean_valid": ean.ean_valid(F.col("ean")),
-        "data_completeness": scoring.data_completeness()})
+        "unit_normalized": units.norm_unit(F.col("_unit")),
+        "category_normalized": text.category_of(F.col("_category")),
+        "brand_normalized": text.brand_of(F.col("_brand"))}).drop(
+            "_unit", "_category", "_brand")
     out = first.withColumns({
         "quality_score": scoring.quality_score(F.col("data_completeness"), F.col("ean_valid")),
         "quality_flags": scoring.quality_flags(F.col("ean_valid"), F.col("data_completeness"),

@@ -325,6 +325,11 @@ VIEWS["price_table"] = f"""
    ELSE 'Premium' END AS price_tier, unit_normalized AS volume, collected_date
  FROM kept WHERE price_normalized IS NOT NULL"""
 
+VIEWS["catalog_latest"] = """
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product_name_normalized,
+  category_normalized, brand_normalized, ean, market ORDER BY collected_at DESC, record_id)
+  AS pos FROM kept WHERE ean IS NOT NULL) WHERE pos = 1"""
+
 VIEWS["closing"] = """
  SELECT market, ean, collected_date AS price_date, price_normalized AS price
  FROM (SELECT *, CAST(collected_at AS DATE) AS collected_date, row_number() OVER (

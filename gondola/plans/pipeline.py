@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from gondola.operators import audit, bronze, gold, quality, silver
 from gondola.sources import writers
 
-# fixed values: table -> sub-path below the Gold root, and the partition column
+# fixed values: table -> sub-path below the Gold root, and its date column. Tables
+# are stored by the month of that date: folders stay few and large for any history.
 GOLD_TABLES = {
     "products_snapshot": ("products_dashboard/products_snapshot", "collection_date"),
     "market_prices": ("price_comparison/market_prices", "price_date"),

@@ -353,9 +353,14 @@ def silver_dedup_index(lake: Lake):
                                                                          "duplicate_of_id")
 
 
+def _tenths(c: str) -> str:
+    return (f"(CAST((20 * sum(CAST(floor({c} * 10 + 0.5) AS BIGINT)) + count({c})) "
+            f"// (2 * count({c})) AS DOUBLE) / 100.0)")
+
+
 @query("silver_daily_quality", f"""
 SELECT market, CAST(collected_at AS DATE) AS day, count(*) AS records,
- {r('avg(data_completeness)')} AS avg_completeness, {r('avg(quality_score)')} AS avg_score,
+ {_tenths('data_completeness')} AS avg_completeness, {_tenths('quality_score')} AS avg_score,
  count(*) FILTER (WHERE ean_valid) AS valid_eans,
  count(*) FILTER (WHERE price_normalized IS NULL) AS missing_prices
 FROM kept GROUP BY ALL""")
@@ -558,16 +563,13 @@ def dedup_fuzzy_level3(lake: Lake):
 
 
 @query("gold_catalog_view", f"""
-WITH latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY
-  product_name_normalized, category_normalized, brand_normalized, ean, market
-  ORDER BY collected_at DESC, record_id) AS pos FROM kept WHERE ean IS NOT NULL) WHERE pos = 1)
 SELECT product_name_normalized AS product_name, category_normalized AS category,
  brand_normalized AS brand, ean, min(price_normalized) AS min_price,
  max(price_normalized) AS max_price, CASE WHEN count(c) > 0 THEN
  (CAST((2 * sum(c) + count(c)) // (2 * count(c)) AS DOUBLE) / 100.0) END AS avg_price,
  count(DISTINCT market) AS market_count,
  (SELECT string_agg(l.market || '@' || strftime(l.collected_at, '%Y-%m-%d'), ','
-   ORDER BY l.market) FROM latest l
+   ORDER BY l.market) FROM catalog_latest l
   WHERE l.product_name_normalized = k.product_name_normalized AND l.ean = k.ean
   AND l.category_normalized = k.category_normalized
   AND l.brand_normalized IS NOT DISTINCT FROM k.brand_normalized) AS latest_by_market

@@ -8,7 +8,7 @@ from gondola.functions import numbers, text
 from gondola.operators import audit, gold
 from gondola.plans.lake import Lake
 from gondola.plans.oracle_views import market_name, r
-from gondola.plans.pipeline import publish_gold
+from gondola.plans.pipeline import BUILDERS, publish_gold
 from gondola.plans.registry import query
 from gondola.session import fresh_path
 from gondola.sources import adapter
@@ -144,7 +144,8 @@ UNION ALL SELECT 'category_metrics', count(*) FROM category_table"""
 def _counts(lake: Lake, files: dict[str, str]):
     out = None
     for name, path in files.items():
-        one = (lake.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("records"))
+        schema = BUILDERS[name](lake.kept).schema
+        one = (lake.spark.read.schema(schema).parquet(path).agg(F.count(F.lit(1)).alias("records"))
                .select(F.lit(name).alias("table_name"), "records"))
         out = one if out is None else out.unionByName(one)
     return out

@@ -43,7 +43,7 @@ def scan_parquet_silver_union(lake: Lake):
 SELECT min(record_id) AS first_record, ean FROM cleaned WHERE ean_valid GROUP BY ean""")
 def scan_csv_seed(lake: Lake):
     path = lake._once("seed_scan", lambda p: writers.write_seed_csv(
-        lake.obs.filter(ean_fn.ean_valid(F.col("ean"))).groupBy("ean")
+        ean_fn.with_validity(lake.obs).filter("ean_valid").groupBy("ean")
         .agg(F.min("record_id").alias("descricao_referencia")), p))
     return writers.read_seed(lake.spark, path).select(
         "ean", F.col("descricao_referencia").alias("first_record"))
@@ -157,8 +157,7 @@ FROM cleaned WHERE ean_valid GROUP BY ean""")
 def sink_csv_seed(lake: Lake):
     path = fresh_path(lake.spark, "seed")
     writers.write_seed_csv(seeds.distinct_eans(lake.obs), path)
-    return (lake.spark.read.schema(schemas.SEED).option("header", True).option("escape", '"')
-            .csv(path))
+    return writers.read_seed(lake.spark, path)
 
 
 @query("sink_run_metadata", """

@@ -157,13 +157,14 @@ SELECT record_id, ean_valid AS valid, ean_normalized AS cleaned_ean,
   THEN 'Invalid check digit: expected ' || {_CHK} || ', got ' || substr(ean, 13, 1) END AS error
 FROM cleaned""")
 def ean_validate(lake: Lake):
-    return (lake.obs.select("record_id", ean.ean_validate(F.col("ean")).alias("v"))
-            .select("record_id", "v.valid", F.col("v.cleaned").alias("cleaned_ean"), "v.error"))
+    return ean.with_validity(lake.obs.select("record_id", "ean"), "ean", "cleaned_ean", "valid",
+                             "error").drop("ean")
 
 
 @query("ean_valid", "SELECT record_id, ean_valid FROM cleaned")
 def ean_valid(lake: Lake):
-    return lake.obs.select("record_id", ean.ean_valid(F.col("ean")).alias("ean_valid"))
+    return ean.with_validity(lake.obs.select("record_id", "ean")).select("record_id",
+                                                                         "ean_valid")
 
 
 @query("data_completeness", "SELECT record_id, data_completeness FROM cleaned")
@@ -173,8 +174,9 @@ def data_completeness(lake: Lake):
 
 @query("quality_score", "SELECT record_id, quality_score FROM cleaned")
 def quality_score(lake: Lake):
-    return lake.obs.select("record_id", scoring.quality_score(
-        scoring.data_completeness(), ean.ean_valid(F.col("ean"))).alias("quality_score"))
+    rows = ean.with_validity(lake.obs).withColumn("completeness", scoring.data_completeness())
+    return rows.select("record_id", scoring.quality_score(
+        F.col("completeness"), F.col("ean_valid")).alias("quality_score"))
 
 
 @query("quality_flags", "SELECT record_id, quality_flags FROM cleaned")
@@ -182,9 +184,11 @@ def quality_flags(lake: Lake):
     return lake.silver.select("record_id", "quality_flags")
 
 
-@query("dedup_consecutive_words")
+@query("dedup_consecutive_words", """
+SELECT doc_id, array_to_string(list_filter(w, lambda x, i: i = 1 OR lower(x) <> lower(w[i - 1])),
+ ' ') AS text FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')
+ AS w FROM documents)""")
 def dedup_consecutive_words(lake: Lake):
-    """Over whole documents; brute force on small rows is in the tests."""
     return lake.table("documents").select(
         "doc_id", text.dedup_consecutive_words(F.col("text")).alias("text"))
 
@@ -328,10 +332,11 @@ FROM market_profile JOIN (SELECT market, ean, row_number() OVER (PARTITION BY ma
  USING (market) WHERE example <= 5""")
 def dq_ean_validity(lake: Lake):
     k = lake.kept
-    bad = F.col("ean").isNotNull() & ~ean.ean_valid(F.col("ean"))
-    ex = quality.examples(k.withColumn("error", ean.ean_error(F.col("ean"))), bad, ["ean", "error"], 5)
+    k = ean.with_validity(k, error="error")
+    bad = F.col("ean").isNotNull() & ~F.col("ean_valid")
+    ex = quality.examples(k, bad, ["ean", "error"], 5)
     n = F.count("ean")
-    ok = F.count_if(F.col("ean").isNotNull() & ean.ean_valid(F.col("ean")))
+    ok = F.count_if(F.col("ean").isNotNull() & F.col("ean_valid"))
     rates = k.groupBy("market").agg(
         numbers.round_half_up(ok / n, 4).alias("valid_rate"), ok.alias("n_valid_ean"),
         (ok / n < dims.MIN_EAN_VALID_RATE).alias("is_issue"))

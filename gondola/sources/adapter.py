@@ -43,7 +43,6 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     lines = spread(lines, "l_orderkey", "l_partkey", "l_suppkey")
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     markets = (read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"),
                                                   F.col("n_regionkey") == F.col("r_regionkey"))
                .select("n_nationkey", F.replace(F.lower("r_name"), F.lit(" "), F.lit("_"))
@@ -51,59 +50,62 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = (read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
                 .join(markets, F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", "market"))
-    base = (lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
-    return base.select(*_record_columns())
+    products = _products(read(spark, sf_dir, "part"))
+    return _record(lines.join(products, F.col("l_partkey") == F.col("p_partkey"))
+                   .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
 
 
-def _record_columns() -> list[Column]:
-    key = F.col("l_partkey")
-    each = F.col("l_extendedprice") / F.col("l_quantity")
-    unit = (F.when(key % 3 == 0, "ML ").when(key % 3 == 1, " Kg ").otherwise(" un "))
-    name = F.concat(F.lit("  "), F.upper("p_name"), F.lit("  "), F.col("p_size").cast("string"),
-                    unit)
+def _products(part: DataFrame) -> DataFrame:
+    """What depends on the product alone, made before the join with its observations."""
+    key = F.col("p_partkey")
     body = F.concat(F.lit("789"), F.lpad(key.cast("string"), 9, "0"))
-    digit = ean_fn.check_digit(body)
+    part = part.withColumns({"_body": body, "_digit": ean_fn.check_digit(body)})
     code = (F.when(key % 11 == 0, F.lit(None).cast("string"))
-            .when(key % 13 == 0, F.substring(body, 5, 8))
-            .when(key % 7 == 0, F.concat(body, ((digit + 1) % 10).cast("string")))
-            .otherwise(F.concat(body, digit.cast("string"))))
-    noun = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
-    term = F.when((key % 4 == 0) & code.isNotNull(), code).otherwise(noun)
+            .when(key % 13 == 0, F.substring("_body", 5, 8))
+            .when(key % 7 == 0, F.concat("_body", ((F.col("_digit") + 1) % 10).cast("string")))
+            .otherwise(F.concat("_body", F.col("_digit").cast("string"))))
+    unit = F.when(key % 3 == 0, "ML ").when(key % 3 == 1, " Kg ").otherwise(" un ")
     category = F.lit(None).cast("string")
     for kind, raw in CATEGORY_OF_TYPE.items():
         category = F.when(F.col("p_type") == kind, raw).otherwise(category)
-    slug = F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("-"),
-                    key.cast("string"))
+    made = part.select(
+        "p_partkey", code.alias("ean"), category.alias("category"),
+        F.concat(F.lit("  "), F.upper("p_name"), F.lit("  "), F.col("p_size").cast("string"),
+                 unit).alias("product_name"),
+        F.when(key % 5 == 1, F.concat(F.upper("p_brand"), F.lit(" S/A")))
+        .when(key % 5 != 0, F.col("p_brand")).alias("brand"),
+        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("_noun"),
+        F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-"), key.cast("string"))
+        .alias("_slug"))
+    return made.withColumn("search_term", F.when((key % 4 == 0) & F.col("ean").isNotNull(),
+                                                 F.col("ean")).otherwise(F.col("_noun")))
+
+
+def _record(base: DataFrame) -> DataFrame:
+    key, slug = F.col("l_partkey"), F.col("_slug")
+    each = F.col("l_extendedprice") / F.col("l_quantity")
     site = F.when(key % 17 == 0, F.lit("ftp://")).otherwise(F.lit("https://"))
     record_id = F.concat_ws(
         "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.col("l_quantity").cast("bigint"),
         F.floor(F.col("l_extendedprice") * 100.0 + 0.5).cast("bigint"),
         F.date_format("l_shipdate", "yyyyMMdd"))
-    return [
-        F.col("market"),
-        name.alias("product_name"),
+    return base.select(
+        F.col("market"), F.col("product_name"),
         F.when(F.col("l_linenumber") != 7, round_half_up(each)).alias("price"),
         round_half_up(each * (F.lit(1.0) - F.col("l_discount"))).alias("unit_price"),
-        category.alias("category"),
-        F.when(key % 5 == 1, F.concat(F.upper("p_brand"), F.lit(" S/A")))
-        .when(key % 5 != 0, F.col("p_brand")).alias("brand"),
-        key.cast("string").alias("source_product_id"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sku"),
-        code.alias("ean"),
-        ean_fn.searched_ean(term).alias("searched_ean"),
-        F.when(code.isNotNull(), F.lit("market_response")).alias("ean_source"),
-        term.alias("search_term"),
-        F.when(F.col("market") == "america", F.lit("04543010")).alias("cep"),
+        "category", "brand", key.cast("string").alias("source_product_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sku"), "ean",
+        ean_fn.searched_ean(F.col("search_term")).alias("searched_ean"),
+        F.when(F.col("ean").isNotNull(), F.lit("market_response")).alias("ean_source"),
+        "search_term", F.when(F.col("market") == "america", F.lit("04543010")).alias("cep"),
         F.col("l_shipdate").alias("collected_at"),
         F.concat(site, F.col("market"), F.lit(".example/p/"), slug).alias("source_url"),
         F.when(key % 10 == 0, F.concat(F.lit("/img/"), slug))
         .when(key % 9 != 0, F.concat(F.lit("https://img.example/"), slug)).alias("image_url"),
         F.when(F.col("l_linenumber") != 1, round_half_up(
             each * (F.lit(1.0) + F.col("l_tax") - F.col("l_discount")))).alias("wholesale_price"),
-        record_id.alias("record_id"),
-    ]
+        record_id.alias("record_id"))
 
 
 # --- payload views ------------------------------------------------------------

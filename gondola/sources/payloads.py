@@ -77,15 +77,21 @@ def html_cards(payloads: DataFrame, body: str = "raw_payload") -> DataFrame:
 
 
 def flatten_html(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One record per product card that has a name or a price."""
-    card = F.col("card")
-    cards = html_cards(payloads).withColumns({
-        "href": html.attr(card, "href"),
-        "name": F.coalesce(blank_to_null(html.tag_text(card)), html.attr(card, "alt")),
-        "amount": html.price(card)})
+    """One record per product card that has a name or a price.
+
+    Cards are cut up inside the array, before the explode: a filter on the parts
+    then stays above the explode and no expression runs twice.
+    """
+    parts = F.transform(html.cards(F.col("raw_payload")), html.raw_card)
+    cards = payloads.select("*", F.inline(parts)).drop("raw_payload")
+    cards = cards.withColumns({
+        "href": html.unescape(F.col("href")),
+        "name": F.coalesce(blank_to_null(html.clean_text(F.col("h2"))),
+                           html.unescape(F.col("alt"))),
+        "amount": html.price_text(F.col("span"))})
     cards = cards.filter(F.col("name").isNotNull() | F.col("amount").isNotNull())
     return project_record(cards, {
         "market": F.lit(HTML_MARKET), "product_name": F.col("name"), "price": F.col("amount"),
         "unit_price": F.col("amount"), "source_url": html.url_join(HTML_URL, F.col("href")),
         "source_product_id": html.product_id(F.col("href")),
-        "image_url": html.attr(card, "src")}, keep)
+        "image_url": html.unescape(F.col("src"))}, keep)

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from gondola import schemas
 from gondola.operators import bronze
 
+# quotes are doubled inside quoted text, and blanks at the ends of a value are kept
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+       "ignoreTrailingWhiteSpace": False}
+
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], compression: str,
                       mode: str = "append") -> str:
@@ -44,7 +48,7 @@ def write_raw_payloads(df: DataFrame, path: str) -> str:
 
 
 def write_seed_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
     return path
 
 
@@ -54,11 +58,19 @@ def write_audit(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, path: str, partition: str | None = None) -> str:
-    """Overwrite one Gold table."""
-    writer = df.hint("rebalance", partition) if partition else df
-    writer = writer.write.mode("overwrite").option("compression", "snappy")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+def write_table(df: DataFrame, path: str, date: str | None = None) -> str:
+    """Overwrite one Gold table, stored by the month of its ``date`` column if it has one.
+
+    Rows are ordered by date inside a file, so that a filter on days reads only
+    the row groups that hold them.
+    """
+    if date is None:
+        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        return path
+    month = f"{date[:-len('date')]}month"
+    (df.withColumn(month, F.substring(date, 1, 7)).hint("rebalance", month)
+     .sortWithinPartitions(month, date).write.mode("overwrite").partitionBy(month)
+     .option("compression", "snappy").parquet(path))
     return path
 
 
@@ -94,14 +106,13 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SEED).option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(schemas.SEED).options(**CSV).csv(path)
 
 
 def read_legacy(spark: SparkSession, path: str) -> DataFrame:
     """Legacy catalogue CSV: UTF-8 (a byte-order mark is fine), quoted commas."""
-    return (spark.read.schema(schemas.LEGACY_PRODUCT).option("header", True)
-            .option("enforceSchema", True).option("quote", '"').option("escape", '"')
-            .option("encoding", "UTF-8").csv(path))
+    return (spark.read.schema(schemas.LEGACY_PRODUCT).options(**CSV)
+            .option("enforceSchema", True).option("encoding", "UTF-8").csv(path))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
