@@ -40,10 +40,15 @@ def collapse_spaces(c: Column) -> Column:
 def strip_accents(c: Column) -> Column:
     """Drop accents; combining marks left by decomposed input go as well.
 
-    Plain ASCII (as many bytes as characters) is passed through.
+    Plain ASCII is passed through.
     """
     plain = F.translate(F.regexp_replace(c, r"\p{M}+", ""), _ACCENTED, _PLAIN)
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(plain)
+    return F.when(is_ascii(c), c).otherwise(plain)
+
+
+def is_ascii(c: Column) -> Column:
+    """As many bytes as characters."""
+    return F.octet_length(c) == F.length(c)
 
 
 def title_case(c: Column) -> Column:
@@ -58,9 +63,12 @@ def title_case(c: Column) -> Column:
 
 def norm_name(c: Column) -> Column:
     """Lower case, no accents, title case, allowed characters, single blanks; NULL if empty."""
-    titled = title_case(strip_accents(F.lower(c)))
-    kept = F.regexp_replace(titled, rf"[^a-zA-Z0-9\-()/{_SPACE}]", "")
-    return blank_to_null(collapse_spaces(kept))
+    low = F.lower(c)
+    plain = F.when(is_ascii(c), F.regexp_replace(low, r"\s+", " ")).otherwise(
+        collapse_spaces(strip_accents(low)))
+    # printable ASCII first, then the allowed part of it: two plain tests per character
+    kept = F.regexp_replace(title_case(plain), r"[^ -~]|[^\p{Alnum} ()/-]", "")
+    return blank_to_null(F.trim(F.regexp_replace(kept, " {2,}", " ")))
 
 
 def brand_base(c: Column) -> Column:
