@@ -37,7 +37,8 @@ def bronze_runs(df: DataFrame, seconds: Column | None = None) -> DataFrame:
     A run with any faulty record is FAILED in its document; records are counted
     once however many errors they have.
     """
-    bad = F.size(bronze.record_errors()) > 0
+    bad = (F.col("bronze_error_flag") if "bronze_error_flag" in df.columns
+           else F.size(bronze.record_errors()) > 0)
     g = df.groupBy("market", "bronze_run_id", "run_ts").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"),
         bronze.null_rate_map(BUSINESS_COLUMNS).alias("nulls"),

@@ -77,6 +77,7 @@ def mark_losers(df: DataFrame) -> DataFrame:
 
     The winners come from a map-side combined aggregate and join back on the key:
     a hot group is then a skewed join side, which AQE splits, not one window task.
+    Exact copies need a ``record_id`` of their own to be told apart.
     """
     winner = F.min_by("record_id", F.struct(*keep_order())).alias("_kept")
     kept = df.groupBy(*DEDUP_KEYS).agg(winner).select(

@@ -72,7 +72,7 @@ class Lake:
     def bronze_path(self) -> str:
         return self._once("bronze", lambda path: writers.write_bronze(
             bronze.enrich(self.obs.withColumn("collected_at", _iso("collected_at")),
-                          F.col("bronze_run_id"), F.col("run_ts")), path))
+                          F.col("bronze_run_id"), F.col("run_ts")), path, rebalance=True))
 
     @cached_property
     def bronze(self) -> DataFrame:

@@ -69,7 +69,9 @@ def land_bronze(records: DataFrame, root: str, run_id: str | None = None,
               .filter(F.col("run_id") == run_id).withColumn("run_ts", stamp))
     seconds = F.lit(time.monotonic() - start)
     files["metadata"] = writers.write_audit(audit.bronze_runs(landed, seconds), f"{root}/audit")
-    total, bad = landed.agg(F.count(F.lit(1)), F.count_if("bronze_error_flag")).first()
+    docs = writers.read_audit(records.sparkSession, files["metadata"])
+    total, bad = (docs.filter(F.col("run_id") == run_id)
+                  .agg(F.sum("records.input"), F.sum("records.errors")).first())
     return LayerResult("bronze", run_id, "PARTIAL" if bad else "SUCCESS", total, total,
                        duration_ms=(time.monotonic() - start) * 1000, files_created=files,
                        errors=[f"{bad} records with errors"] if bad else [])

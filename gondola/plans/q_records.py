@@ -142,7 +142,7 @@ SELECT market, strftime(run_ts, '%Y') AS year, strftime(run_ts, '%m') AS month,
  count(*) AS records, CAST(sum(c) AS BIGINT) AS cents FROM kept GROUP BY ALL""")
 def sink_silver_partitioned(lake: Lake):
     out = lake.kept.withColumn("silver_transformation_id", F.lit("20250101_SV_0000"))
-    path = lake._once("silver_partitioned", lambda p: writers.write_silver(out, p))
+    path = lake._once("silver_partitioned", lambda p: writers.write_silver(out, p, rebalance=True))
     back = lake.spark.read.schema(
         "record_id STRING, price_normalized DOUBLE, market STRING, year STRING, month STRING, "
         "day STRING, transformation_id STRING").parquet(path)

@@ -16,29 +16,35 @@ CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": F
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], compression: str,
-                      mode: str = "append") -> str:
-    """Partitioned Parquet with even files.
+                      rebalance: bool) -> str:
+    """Append partitioned Parquet.
 
-    ``rebalance`` lets AQE join small partitions and split a hot one, so neither
-    many tiny files nor one huge task comes out of a skewed partition value.
+    One run has few partition values, so its tasks write straight from where the
+    rows are, without a shuffle. A load of many runs at once asks for ``rebalance``:
+    AQE then joins small partitions and splits a hot one, so neither many tiny
+    files nor one huge task comes out.
     """
-    (df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions)
+    out = df.hint("rebalance", *partitions) if rebalance else df
+    (out.write.mode("append").partitionBy(*partitions)
      .option("compression", compression).parquet(path))
     return path
 
 
-def write_bronze(df: DataFrame, path: str, run_ts: str = "run_ts") -> str:
+def write_bronze(df: DataFrame, path: str, run_ts: str = "run_ts", rebalance: bool = False
+                 ) -> str:
     """Gzip Parquet under market / year / month / day / run_id of the run time."""
     parts = bronze.date_parts(F.col(run_ts))
     out = df.withColumns({**parts, "run_id": F.col("bronze_run_id")}).drop(run_ts)
-    return write_partitioned(out, path, schemas.BRONZE_PARTITIONS, "gzip")
+    return write_partitioned(out, path, schemas.BRONZE_PARTITIONS, "gzip", rebalance)
 
 
-def write_silver(df: DataFrame, path: str, run_ts: str = "run_ts") -> str:
+def write_silver(df: DataFrame, path: str, run_ts: str = "run_ts", rebalance: bool = False
+                 ) -> str:
     """Snappy Parquet under market / year / month / day / transformation_id."""
     parts = bronze.date_parts(F.col(run_ts))
     out = df.withColumns({**parts, "transformation_id": F.col("silver_transformation_id")})
-    return write_partitioned(out.drop(run_ts), path, schemas.SILVER_PARTITIONS, "snappy")
+    return write_partitioned(out.drop(run_ts), path, schemas.SILVER_PARTITIONS, "snappy",
+                             rebalance)
 
 
 def write_raw_payloads(df: DataFrame, path: str) -> str:
