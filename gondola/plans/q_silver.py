@@ -214,18 +214,25 @@ def silver_normalize(lake: Lake):
 
 # --- deduplication ---------------------------------------------------------------------
 
+_DEDUP_INPUT = [*silver.DEDUP_KEYS, "record_id", "ean_valid", "data_completeness",
+                "collected_at", "price"]
+
+
 @query("dedup_best_record", """
 SELECT record_id, market, ean_normalized, product_name_normalized, price_normalized,
  collected_at FROM kept""")
 def dedup_best_record(lake: Lake):
-    return silver.deduplicate(lake.silver).select(
+    """Only the columns asked for go through the shuffle with the winners."""
+    rows = lake.silver.select(*_DEDUP_INPUT, "price_normalized")
+    return silver.deduplicate(rows).select(
         "record_id", "market", "ean_normalized", "product_name_normalized",
         "price_normalized", "collected_at")
 
 
 @query("dedup_duplicate_count", "SELECT record_id, duplicate_count FROM kept")
 def dedup_duplicate_count(lake: Lake):
-    return silver.deduplicate(lake.silver).select("record_id", "duplicate_count")
+    return silver.deduplicate(lake.silver.select(*_DEDUP_INPUT)).select("record_id",
+                                                                        "duplicate_count")
 
 
 @query("dedup_mark_losers", """
@@ -240,7 +247,7 @@ def dedup_mark_losers(lake: Lake):
 SELECT TRUE AS remove_duplicates, count(*) AS records FROM kept
 UNION ALL SELECT FALSE, count(*) FROM cleaned""")
 def dedup_switch(lake: Lake):
-    counts = [silver.deduplicate(lake.silver, on).agg(F.count(F.lit(1)).alias("records"))
+    counts = [silver.deduplicate(lake.silver.select(*_DEDUP_INPUT), on).agg(F.count(F.lit(1)).alias("records"))
               .select(F.lit(on).alias("remove_duplicates"), "records") for on in (True, False)]
     return counts[0].unionByName(counts[1])
 
