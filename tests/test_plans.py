@@ -108,7 +108,7 @@ def test_empty_and_faulty_batches(spark, sf_dir, tmp_path):
     records = adapter.observations(spark, sf_dir)
     assert pipeline.land_bronze(records.limit(0), str(tmp_path)).status == "FAILED"
     assert not os.path.exists(f"{tmp_path}/data")
-    broken = records.limit(20).withColumn(
+    broken = records.orderBy("record_id").limit(20).withColumn(
         "product_name", F.when(F.col("sku") > "5", F.col("product_name")))
     res = pipeline.land_bronze(broken, str(tmp_path), now=dt.datetime(2025, 1, 2))
     bad = broken.filter("product_name IS NULL").count()
