@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gondola.llm import decontaminate as wm
+from gondola.llm import line_dedup, warc
 from gondola.llm.frames import read
+from gondola.session import fresh_path
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -60,3 +61,40 @@ FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)""")
 def op1_decontaminate(spark, sf_dir):
     return wm.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"),
                             keep=["doc_id"]).drop("item_ids", "hit_spans")
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query("op3_line_dedup", f"""
+WITH lines AS (
+  SELECT doc_id, l.no, l.line,
+         translate(trim(l.line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') k
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) x FROM documents) t,
+       LATERAL (SELECT unnest(range(1, len(x) + 1)) no, unnest(x) line) l),
+keeper AS (SELECT k, min(doc_id) first FROM lines WHERE length(k) >= 10 GROUP BY k),
+marked AS (SELECT doc_id, no, line, coalesce(first <> doc_id, false) gone
+           FROM lines LEFT JOIN keeper USING (k))
+SELECT doc_id, count(*) n_lines, count(*) FILTER (gone) n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) kept_sha256
+FROM marked GROUP BY doc_id""")
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op6_warc_revisit", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) n, sha1(coalesce(html, '')) h FROM pages),
+firsts AS (SELECT h, n, min(page_id) first FROM p GROUP BY h, n)
+SELECT page_id, CAST(n AS BIGINT) payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(h, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))::INT)
+          & 31) + 1, 1)), '') payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END record_type,
+       CASE WHEN first <> page_id THEN first END refers_to
+FROM p JOIN firsts USING (h, n)""")
+def op6_warc_revisit(spark, sf_dir):
+    path = fresh_path(spark, "warc")
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    return warc.resolve(warc.read_archives(spark, path))
