@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gondola.llm import decontaminate as wm
-from gondola.llm import line_dedup, warc
+from gondola.llm import line_dedup, repair, warc
 from gondola.llm.frames import read
 from gondola.session import fresh_path
 
+TOKENIZER = "word_bpe_49k.json"
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -98,3 +102,10 @@ def op6_warc_revisit(spark, sf_dir):
     path = fresh_path(spark, "warc")
     warc.write_archives(read(spark, sf_dir, "pages"), path)
     return warc.resolve(warc.read_archives(spark, path))
+
+
+@query("op8_token_ids")
+def op8_token_ids(spark, sf_dir):
+    path = fresh_path(spark, "token-ids")
+    repair.write_shards(read(spark, sf_dir, "documents"), path, tokenizers.path(TOKENIZER))
+    return repair.read_shards(spark, path)
