@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gondola.llm import decontaminate as wm
-from gondola.llm import line_dedup, repair, warc
+from gondola.llm import jaccard_join, line_dedup, repair, warc
 from gondola.llm.frames import read
 from gondola.session import fresh_path
 
@@ -109,3 +109,23 @@ def op8_token_ids(spark, sf_dir):
     path = fresh_path(spark, "token-ids")
     repair.write_shards(read(spark, sf_dir, "documents"), path, tokenizers.path(TOKENIZER))
     return repair.read_shards(spark, path)
+
+
+@query("op9_jaccard_join", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x20\x09-\x0D]+') w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+                              ELSE array_to_string(w[i : i + 2], ' ') END g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) i
+            FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id a, y.doc_id b, count(*) k FROM s x JOIN s y USING (g) GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+reach AS (WITH RECURSIVE r(a, b) AS (SELECT a, b FROM links UNION
+            SELECT r.a, l.b FROM r JOIN links l ON l.a = r.b) SELECT a, min(b) c FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) n_shingles, coalesce(least(c, w.doc_id), w.doc_id) component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id""")
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
