@@ -15,10 +15,12 @@ position, and expands only what it needs.
 
 from __future__ import annotations
 
+import gc
 import json
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import compress as chosen
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ SHARD = ("part int, shard int, vocab int, width int, n_tokens bigint, doc_ids ar
 _JOINED = 256  # words encoded in one call
 _CACHED = 1_000_000  # words a Python worker remembers; more are encoded again
 _CHUNK = 1 << 21  # bytes of text taken at a time
+_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())  # ASCII punctuation
 _BUCKETS = 18  # bits of the pair counting table
 
 
@@ -52,7 +55,8 @@ class Encoder:
         suffix = model.get("end_of_word_suffix")
         self.by_word = bool(suffix)
         self.words: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+        self.signs: dict[bytes, bytes] = {b"": b""}
         if self.by_word:
             self.ends = np.zeros(self.vocab, bool)
             for token, number in self.tokenizer.get_vocab().items():
@@ -65,47 +69,51 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return [self._ids(t.decode(errors="replace")) for t in texts]
-        split = [t.split() for t in texts]
-        missing = {w for ws in split for w in ws if w not in self.words}
+        split = [_folded(t).split() for t in texts]
+        present = set().union(*split)
+        missing = present.difference(self.words)
         if missing:
             if len(self.words) > _CACHED:
-                self.words, self.letters = {}, {}
-                missing = {w for ws in split for w in ws}
-            self._learn(missing)
-        known = self.words
-        return [b"".join([known[w] for w in ws]) for ws in split]
-
-    def _learn(self, missing: set[bytes]) -> None:
-        plain: dict[bytes, tuple[str, str]] = {}
-        for word in missing:
-            text = word.decode(errors="replace")
-            if text.isascii():
-                text = text.lower()
-            mark = text[-1] if text[-1] in ".," else ""
-            stem = text[:-1] if mark else text
-            if stem.isalpha():
-                plain[word] = stem, mark
-            else:
-                self.words[word] = self._ids(text)
-        new = sorted({stem for stem, _ in plain.values()} - self.letters.keys())
+                self.words, self.letters, missing = {}, {}, present
+            self._learn(list(missing))
+        return [b"".join(map(self.words.__getitem__, ws)) for ws in split]
+
+    def _learn(self, missing: list[bytes]) -> None:
+        """Letters are looked up without the signs after them, which are a word of their own."""
+        stems = [w.rstrip(_SIGNS) for w in missing]
+        plain = [s.isalpha() or not s.isascii() and s.decode(errors="replace").isalpha()
+                 for s in stems]
+        new = list(set(chosen(stems, plain)).difference(self.letters))
         for start in range(0, len(new), _JOINED):
             self._letters(new[start:start + _JOINED])
-        for mark in ".,":
-            if mark not in self.letters:
-                self.letters[mark] = self._ids(mark)
-        self.letters[""] = b""
-        for word, (stem, mark) in plain.items():
-            self.words[word] = self.letters[stem] + self.letters[mark]
-
-    def _letters(self, stems: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(stems), add_special_tokens=False).ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
+        words, letters, signs = self.words, self.letters, self.signs
+        for word, stem, known in zip(missing, stems, plain):
+            if not known:
+                words[word] = self._ids(word.decode(errors="replace"))
+            elif len(stem) == len(word):
+                words[word] = letters[stem]
+            else:
+                sign = word[len(stem):]
+                if sign not in signs:
+                    signs[sign] = self._ids(sign.decode())
+                words[word] = letters[stem] + signs[sign]
+
+    def _letters(self, stems: list[bytes]) -> None:
+        text = b" ".join(stems).decode(errors="replace")
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(stops) == len(stems):  # one word each, as a letter word gives one at least
+            raw = ids.tobytes()
             for stem, lo, hi in zip(stems, [0, *stops], stops):
-                self.letters[stem] = ids[lo:hi].tobytes()
+                self.letters[stem] = raw[lo:hi]
         else:
             for stem in stems:
-                self.letters[stem] = self._ids(stem)
+                self.letters[stem] = self._ids(stem.decode(errors="replace"))
+
+
+def _folded(text: bytes) -> bytes:
+    """A-Z lower-cased, as the tokenizer does; not where a combining mark may follow a letter."""
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
 
 
 @lru_cache(maxsize=1)
@@ -117,7 +125,8 @@ def compress(symbols: np.ndarray, end: int, rounds: int = 5, per_round: int = 10
              least: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Replace frequent pairs, the ``per_round`` most frequent of each round together.
 
-    Returns the shortened symbols and the (left, right) rules; rule k stands for
+    Pairs are counted in hash buckets; a bucket stands for one of its pairs, others in
+    it wait for a later round. Returns the shortened symbols and the (left, right) rules; rule k stands for
     symbol ``end + 1 + k``. Pairs with the end mark are never replaced. In a run of
     overlapping pairs every second one is, from the left.
     """
@@ -135,14 +144,20 @@ def compress(symbols: np.ndarray, end: int, rounds: int = 5, per_round: int = 10
         at = np.flatnonzero(counts[bucket] >= floor)
         if not len(at):
             break
-        keys = left[at].astype(np.uint64) << np.uint64(32) | right[at]
-        pairs, n = np.unique(keys, return_counts=True)
-        pairs = pairs[n >= floor]
-        if not len(pairs):
+        # one pair stands for a bucket: the last one in it
+        keys, slot = left[at].astype(np.uint64) << np.uint64(32) | right[at], bucket[at]
+        chosen = np.zeros(1 << _BUCKETS, np.uint64)
+        chosen[slot] = keys
+        hit = chosen[slot] == keys
+        at, slot = at[hit], slot[hit]
+        counts = np.bincount(slot, minlength=1 << _BUCKETS)
+        kept = np.flatnonzero(counts >= least)
+        if not len(kept):
             break
-        place = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
-        hit = pairs[place] == keys
-        at, place = at[hit], place[hit]
+        number = np.full(1 << _BUCKETS, -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        place = number[slot]
+        at, place, pairs = at[place >= 0], place[place >= 0], chosen[kept]
         order = np.arange(len(at))
         opens = np.concatenate([[True], at[1:] != at[:-1] + 1])
         keep = (order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0
@@ -247,6 +262,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, coder = TaskContext.get().partitionId(), 0, encoder(tokenizer)
         docs, coded, size = [], [], 0
+        gc.disable()  # nothing here forms cycles, and the word table is large to walk
         for ids, texts in _chunks(batches):
             for doc, value in zip(ids, coder.encode(texts)):
                 if docs and size + len(value) // 4 + 1 > shard_tokens:
