@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gondola.llm import decontaminate as wm
-from gondola.llm import jaccard_join, line_dedup, repair, warc
+from gondola.llm import (jaccard_join, line_dedup, lm_scoring, mixing, preference, quality_rules,
+                         repair, toxicity, warc)
 from gondola.llm.frames import read
 from gondola.session import fresh_path
 
@@ -129,3 +131,71 @@ SELECT w.doc_id, coalesce(n, 0) n_shingles, coalesce(least(c, w.doc_id), w.doc_i
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id""")
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+def _held_out():
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), usable=~_held_out())
+    return (toxicity.score(docs, model, keep=["doc_id"])
+            .select("doc_id", _held_out().alias("held_out"), "score", "predicted"))
+
+
+@query("op2_mix_sources")
+def op2_mix_sources(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
+
+
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark, sf_dir):
+    good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_scoring.cross_entropy_difference(read(spark, sf_dir, "documents"), good)
+
+
+@query("op10_preference_format", """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') r, text x, role,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) i
+           FROM conversations),
+a AS (SELECT conv_id, count(*) n, max(i) FILTER (role = 'assistant') last,
+             list(i ORDER BY i) FILTER (role = 'assistant') pos FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, i, r, x FROM t JOIN a USING (conv_id) WHERE i <= coalesce(last, n)),
+j AS (SELECT conv_id, i, r, x FROM t JOIN a USING (conv_id) WHERE i < last OR last IS NULL
+      UNION ALL
+      SELECT conv_id, last, r, x FROM t JOIN a USING (conv_id)
+      WHERE len(pos) > 1 AND i = pos[len(pos) - 1]),
+d AS (SELECT conv_id, i FROM c LEFT JOIN j USING (conv_id, i)
+      WHERE j.i IS NULL OR c.r <> j.r OR c.x IS DISTINCT FROM j.x),
+s AS (SELECT a.conv_id, coalesce(min(d.i) - 1, any_value(coalesce(last, n))) k
+      FROM a LEFT JOIN d USING (conv_id) GROUP BY a.conv_id),
+p AS (SELECT 'c' side, * FROM c UNION ALL SELECT 'j', * FROM j),
+z AS (SELECT side, conv_id, i, k, r, '<|turn|>' || r || chr(10) || coalesce(x, '') || '<|end|>'
+             || chr(10) v FROM p JOIN s USING (conv_id)),
+m AS (SELECT *, length(v) n, sum(length(v)) OVER (PARTITION BY side, conv_id ORDER BY i) - length(v) b
+      FROM z WHERE i > k)
+SELECT s.conv_id, CAST(s.k AS BIGINT) n_shared,
+  coalesce((SELECT string_agg(v, '' ORDER BY i) FROM z
+            WHERE z.conv_id = s.conv_id AND side = 'c' AND i <= z.k), '') prompt,
+  coalesce((SELECT string_agg(v, '' ORDER BY i) FROM m
+            WHERE m.conv_id = s.conv_id AND side = 'c'), '') chosen,
+  coalesce((SELECT string_agg(v, '' ORDER BY i) FROM m
+            WHERE m.conv_id = s.conv_id AND side = 'j'), '') rejected,
+  coalesce((SELECT string_agg((b + 9 + length(r)) || '+' || (n - 9 - length(r)), ',' ORDER BY i)
+            FROM m WHERE m.conv_id = s.conv_id AND side = 'c' AND r = 'assistant'), '') chosen_mask,
+  coalesce((SELECT string_agg((b + 9 + length(r)) || '+' || (n - 9 - length(r)), ',' ORDER BY i)
+            FROM m WHERE m.conv_id = s.conv_id AND side = 'j' AND r = 'assistant'), '') rejected_mask
+FROM s""")
+def op10_preference_format(spark, sf_dir):
+    convs = preference.conversations(read(spark, sf_dir, "conversations"))
+    out = preference.format_pairs(preference.last_answer_pairs(convs))
+    spans = lambda c: F.array_join(F.transform(c, lambda m: F.concat(
+        m["start"].cast("string"), F.lit("+"), m["length"].cast("string"))), ",")
+    return out.withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
