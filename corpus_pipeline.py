@@ -1,11 +1,39 @@
-"""A corpus made ready for training: stages over ``documents``, each written and read again."""
+"""A corpus made ready for training: stages over ``documents``, each written and read again.
+
+Every stage works on all rows that the one before kept. All but the last return the
+columns of their input; the last one returns the index of the token files it writes.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers as tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gondola.llm import decontaminate as wm
+from gondola.llm import jaccard_join, mixing, repair, toxicity
 from gondola.llm.frames import read, stored
+from gondola.session import fresh_path
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It is fitted on all labelled rows of docs."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, clean_only=True).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id.
+
+    Groups are connected by a Jaccard similarity of at least 0.8 on five-word shingles.
+    Documents without words have no group and stay, as do rows without id.
+    """
+    found = jaccard_join.jaccard_components(docs, n=5, num=80, den=100)
+    copies = found.filter("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,16 +42,41 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return clean.select(*docs.columns)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix: the files that are written follow it."""
+    return mixing.ordered(docs, mixing.mix(docs))
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the order of the mix, and from them what each document takes up."""
+    order = ["_part", "_file", "_row"]
+    try:  # rows of files keep the place the mix gave them
+        placed = docs.select("*", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+                             .cast("bigint").alias("_part"),
+                             F.col("_metadata.file_name").alias("_file"),
+                             F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:  # rows that come from no file have no place but their id
+        placed, order = docs, ["doc_id"]
+    path = fresh_path(spark, "pipeline-tokens")
+    repair.write_shards(placed, path, tokenizers.path(TOKENIZER), order=order)
+    return repair.read_shards(spark, path)
+
+
 STAGES = [
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("mix_sources", mix_sources),
+    ("token_files", token_files),
 ]
 
-# no SQL form: the toxicity model is trained by iteration and mixing follows a schedule
+# no SQL form: the toxicity model is fitted by iteration, the mix follows a schedule and
+# the tokenizer is a library; the tests hold the stages against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
