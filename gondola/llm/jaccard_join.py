@@ -5,18 +5,21 @@
 2. N-grams have one global order, rare ones first: by the document frequency of their
    rarest word (counted over all documents, the most frequent words are kept), then by
    hash. Two sets that link share an n-gram among the first ``size - least overlap + 1``
-   of both, so only these are shuffled.
-3. The documents that share such an n-gram form a bucket; each bucket has a pivot, and
-   all buckets of a pivot are one cluster. Every link lies inside a cluster.
+   of both (fewer for the smaller set: its core), so only these are shuffled.
+3. The documents that share such an n-gram, one of them in its core, form a bucket;
+   each bucket has a pivot, and all buckets of a pivot are one cluster. Every link lies
+   inside a cluster.
 4. A cluster of bounded size is joined in one task: its sets are stored in a trie, a
    probe walks the trie and shares partial overlaps between sets with a common start,
    and a subtree goes when what remains of it cannot reach the threshold, or when it
    is linked with the probe already.
-5. A larger cluster is never brought together. Its members are compared with the pivot
-   and replaced by their symmetric difference from it. Differences of differences are
-   those of the sets, so the condition stays the same; and a pair that shares no element
-   of its differences links only if both link to the pivot. So the differences go through
-   step 3 again, as small sets, until no cluster is too large. No pairs are listed.
+5. A larger cluster is never brought together. Its members are compared with the pivot;
+   those that link are connected through it, and no pair of them is looked at again.
+   Jaccard distance is a metric, so a linked member can only link with others that are
+   within twice the distance of the pivot: the ring. The ring meets the linked members
+   in blocks, as differences from the pivot (differences of differences are those of the
+   sets), and the unlinked members meet each other in blocks, each pair of blocks in a
+   trie of its own. No pairs are listed.
 6. Links are joined into components.
 """
 
@@ -35,8 +38,8 @@ from pyspark.sql import functions as F
 from gondola.llm.components import components
 from gondola.llm.frames import TEXT, stored
 
-COMMON_WORDS = 1 << 16  # words with a known frequency; the others count as rare
-CLUSTER_ROWS = 400  # members that one task joins in one trie
+COMMON_WORDS = 1 << 20  # words with a known frequency; the others count as rare
+CLUSTER_ROWS = 1000  # members that one task joins in one trie
 CLUSTER_BYTES = 32 << 20  # and their items
 
 _word_hash = xxhash.xxh3_64_intdigest
@@ -59,6 +62,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def prefix_size(size: int, num: int, den: int) -> int:
+    """N-grams of which a set shares one with every set it links with."""
     return size - -(-size * num // den) + 1
 
 
@@ -78,10 +82,10 @@ def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                                              ["word", "n"])
 
     top = (docs.mapInArrow(run, "word bigint, n bigint").groupBy("word")
-           .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect())
-    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+           .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).toArrow())
+    words = top["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
-    return words[order], np.array([r["n"] for r in top], np.int64)[order]
+    return words[order], np.minimum(top["n"].to_numpy()[order], 2 ** 31 - 1).astype(np.int32)
 
 
 def _heads(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
@@ -120,13 +124,13 @@ def _heads(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
 
 
 def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """(cluster, pivot, doc, size, items) of members; items are sorted hashes as bytes.
+    """(pivot, doc, size, items) of members; items are sorted hashes as bytes.
 
     A document meets the list of its clusters (as many as its prefix at most), so
     texts are shuffled once.
     """
     wanted = members.groupBy("doc").agg(
-        F.collect_list(F.struct("cluster", "pivot")).alias("clusters"))
+        F.collect_list("pivot").alias("pivots"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,30 +138,28 @@ def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([len(x) for x in found], pa.int64()),
                  pa.array([x.tobytes() for x in found], pa.binary())],
-                ["doc", "clusters", "size", "items"])
+                ["doc", "pivots", "size", "items"])
 
-    sets = (docs.join(wanted.hint("merge"), "doc").select("doc", "clusters", TEXT)
-            .mapInArrow(run, "doc bigint, clusters array<struct<cluster string, pivot bigint>>, "
-                             "size bigint, items binary"))
-    return sets.select(F.inline("clusters"), "doc", "size", "items")
+    sets = (docs.join(wanted, "doc").select("doc", "pivots", TEXT)
+            .mapInArrow(run, "doc bigint, pivots array<bigint>, size bigint, items binary"))
+    return sets.select(F.explode("pivots").alias("pivot"), "doc", "size", "items")
 
 
 # ---- clusters -------------------------------------------------------------
 
 def _clusters(tokens: DataFrame) -> DataFrame:
-    """(cluster, doc) from (cluster, doc, token, open) rows.
+    """(pivot, doc) from (doc, token, core) rows.
 
-    Buckets of one document, or without an open one, hold no unknown link. The pivot
-    is the open document of least hash, so it is the same in most buckets of a group.
+    Buckets of one document, or without a core one, hold no link. The pivot is the core
+    document of least hash, so it is the same in most buckets of a group.
     """
-    tokens = tokens.select("cluster", "token", "doc", "open")
-    mark = F.struct((~F.col("open")).alias("o"), F.xxhash64("doc").alias("h"), F.col("doc"))
-    pivots = stored(
-        tokens.groupBy("cluster", "token").agg(F.min(mark).alias("p"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1 and not p.o")
-        .select("cluster", "token", F.col("p.doc").alias("pivot")), "pivots")
-    joined = tokens.join(pivots.hint("merge"), ["cluster", "token"])
-    return joined.select("cluster", "pivot", "doc").distinct()
+    several = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.max("core").alias("c"))
+                     .filter("n > 1 and c").select("token"), "buckets")
+    shared = stored(tokens.join(several.hint("merge"), "token"), "shared-tokens")
+    first = F.struct((~F.col("core")).alias("o"), F.xxhash64("doc").alias("h"), "doc")
+    pivots = stored(shared.groupBy("token").agg(F.min(first)["doc"].alias("pivot")), "pivots")
+    return shared.join(pivots.hint("merge"), "token").select("pivot", "doc").distinct()
 
 
 class _Node:
@@ -242,103 +244,143 @@ class Trie:
         node.below.append(member)
 
 
-def join_cluster(docs: Sequence[int], sizes: Sequence[int], items: Sequence[bytes], num: int,
-                 den: int) -> list[tuple[int, int]]:
-    """Links that connect the linked members of one cluster, as (member, least member)."""
+BOTH, STORE, PROBE, LINKED = range(4)  # roles of a set in a join; linked ones also probe
+
+
+def join_cluster(docs: Sequence[int], sizes: Sequence[int], items: Sequence[bytes],
+                 roles: Sequence[int], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect the linked sets of one join, as (document, least document).
+
+    Probing sets meet the stored ones; those with role ``LINKED`` are connected already.
+    """
     sets = [np.frombuffer(x, np.uint64) for x in items]
     values, n = np.unique(np.concatenate(sets), return_counts=True)
     shared = np.flatnonzero(n > 1)  # an item of one member is in no overlap
     rank = np.full(len(values), -1, np.int64)
     rank[shared[np.argsort(-n[shared], kind="stable")]] = np.arange(len(shared))
     order = sorted(range(len(docs)), key=lambda k: (docs[k], sizes[k]))
-    trie = Trie(len(shared), num, den, list(range(len(docs))))
-    for place, k in enumerate(order):
-        ranks = rank[np.searchsorted(values, sets[k])]
-        ranks = np.sort(ranks[ranks >= 0])
-        weight = (num + den) * len(sets[k]) - (den - num) * sizes[k]
-        trie.probe(place, ranks, weight)
-        trie.insert(place, ranks, weight)
+    parents = list(range(len(docs)))
+    together = [place for place, k in enumerate(order) if roles[k] == LINKED]
+    for place in together:
+        parents[place] = together[0]
+    trie = Trie(len(shared), num, den, parents)
+    for step in (STORE, PROBE):
+        for place, k in enumerate(order):
+            if step == STORE and roles[k] not in (BOTH, STORE):
+                continue
+            if step == PROBE and roles[k] not in (PROBE, LINKED):
+                continue
+            ranks = rank[np.searchsorted(values, sets[k])]
+            ranks = np.sort(ranks[ranks >= 0])
+            weight = (num + den) * len(sets[k]) - (den - num) * sizes[k]
+            if roles[k] != STORE:
+                trie.probe(place, ranks, weight)
+            if step == STORE:
+                trie.insert(place, ranks, weight)
     pairs = {(docs[k], docs[order[trie.find(place)]]) for place, k in enumerate(order)}
     return [(a, b) for a, b in pairs if a != b]
 
 
-def _join_small(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) links of clusters that fit a task; a task reads one cluster at a time."""
-    keys = ["cluster", "pivot"]
-    dealt = (rows.select(*keys, "doc", "size", "items").repartition(*keys)
+def _join(rows: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
+    """(a, b) links of (keys, doc, size, items, role) groups; a task reads one at a time."""
+    dealt = (rows.select(*keys, "doc", "size", "items", "role").repartition(*keys)
              .sortWithinPartitions(*keys))
+    k = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
-        for _, group in groupby(flat, key=lambda row: row[:2]):
-            docs, sizes, items = list(zip(*group))[2:]
-            found = join_cluster(docs, sizes, items, num, den) if len(docs) > 1 else []
+        for _, group in groupby(flat, key=lambda row: row[:k]):
+            docs, sizes, items, roles = list(zip(*group))[k:]
+            found = join_cluster(docs, sizes, items, roles, num, den) if len(docs) > 1 else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+                [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _recentre(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(cluster, doc, size, items, token, linked, pivot): differences from the pivot.
-
-    ``tokens`` are the elements of which a pair with an unknown link shares one: with d
-    elements in the difference and a needed overlap of at least o, the first d - o + 1.
-    """
+def _from_pivot(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(pivot, doc, size, diff, linked, ring): how each member stands to its pivot."""
     pivots = rows.filter("doc = pivot").select(
-        "cluster", "pivot", F.col("size").alias("_psize"), F.col("items").alias("_pitems"))
-    pairs = rows.join(pivots.hint("merge"), ["cluster", "pivot"]).select(
-        F.sha1(F.concat_ws("/", "cluster", "pivot")).alias("cluster"), "pivot", "doc", "size",
-        "_psize", "items", "_pitems")
+        "pivot", F.col("size").alias("_psize"), F.col("items").alias("_pitems"))
+    pairs = rows.join(pivots.hint("merge"), "pivot").select(
+        "pivot", "doc", "size", "_psize", "items", "_pitems")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for size, psize, items, pitems in zip(*[batch.column(k).to_pylist()
-                                                    for k in (3, 4, 5, 6)]):
+                                                    for k in (2, 3, 4, 5)]):
                 diff = np.setxor1d(np.frombuffer(items, np.uint64),
                                    np.frombuffer(pitems, np.uint64), assume_unique=True)
-                d, allowed, scale = len(diff), (den - num) * (size + psize), num + den
-                linked = allowed >= scale * d
-                # least overlap of the differences with those of a partner to be found
-                least = 2 * num * d if linked else scale * d - allowed
-                least = max(1, -(-least // (2 * scale)))
-                out.append((diff.tobytes(), linked, diff[:max(0, d - least + 1)].view(np.int64)))
-            items, linked, tokens = list(zip(*out)) or [()] * 3
+                d, both = len(diff), size + psize
+                linked = (den - num) * both >= (num + den) * d
+                ring = not linked and den * (both - d) >= (2 * num - den) * (both + d)
+                out.append((diff.tobytes() if linked or ring else None, linked, ring))
+            diffs, linked, ring = list(zip(*out)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(items, pa.binary()), pa.array(linked, pa.bool_()),
-                 pa.array(tokens, pa.list_(pa.int64()))],
-                ["cluster", "pivot", "doc", "size", "items", "linked", "tokens"])
-
-    return pairs.mapInArrow(run, "cluster string, pivot bigint, doc bigint, size bigint, "
-                                 "items binary, linked boolean, tokens array<bigint>")
+                [*batch.columns[:3], pa.array(diffs, pa.binary()), pa.array(linked, pa.bool_()),
+                 pa.array(ring, pa.bool_())],
+                ["pivot", "doc", "size", "diff", "linked", "ring"])
+
+    return pairs.mapInArrow(run, "pivot bigint, doc bigint, size bigint, diff binary, "
+                                 "linked boolean, ring boolean")
+
+
+def _blocks(count: str, rows: int):
+    return F.expr(f"greatest(1L, ({count} + {rows - 1}) div {rows})")
+
+
+def _large(rows: DataFrame, cluster_rows: int, num: int, den: int) -> DataFrame:
+    """(a, b) links of clusters that are too large for one task, block against block."""
+    stand = stored(_from_pivot(rows, num, den), "from-pivot")
+    half = max(1, cluster_rows // 2)
+    counts = stand.groupBy("pivot").agg(
+        F.count_if("linked").alias("n_linked"), F.count_if("ring").alias("n_ring"),
+        F.count_if(~F.col("linked")).alias("n_open"))
+    placed = stand.join(counts, "pivot").withColumn("_h", F.xxhash64("doc"))
+    block = lambda count: F.pmod("_h", _blocks(count, half))
+    through = stand.filter("linked and doc != pivot").select(
+        F.col("doc").alias("a"), F.col("pivot").alias("b"))
+    # ring against linked: each block of the one meets each block of the other
+    near = placed.filter("n_ring > 0 and (linked or ring)").withColumns({
+        "x": F.when(F.col("ring"), F.array(block("n_ring"))).otherwise(
+            F.sequence(F.lit(0).cast("bigint"), _blocks("n_ring", half) - 1)),
+        "y": F.when(F.col("ring"), F.sequence(F.lit(0).cast("bigint"),
+                                              _blocks("n_linked", half) - 1))
+        .otherwise(F.array(block("n_linked")))})
+    near = (near.withColumn("x", F.explode("x")).withColumn("y", F.explode("y"))
+            .withColumn("role", F.when(F.col("ring"), STORE).otherwise(LINKED))
+            .withColumn("items", F.col("diff")))
+    # unlinked against unlinked: block i stores, block j > i probes; i = j does both
+    far = (placed.filter("not linked").join(rows.select("pivot", "doc", "items"),
+                                            ["pivot", "doc"])
+           .withColumn("own", block("n_open"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                     _blocks("n_open", half) - 1)))
+           .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other"),
+                         "role": F.when(F.col("own") == F.col("other"), BOTH)
+                        .when(F.col("own") < F.col("other"), STORE).otherwise(PROBE)}))
+    keys = ["pivot", "x", "y"]
+    return (through.unionByName(_join(near, keys, num, den))
+            .unionByName(_join(far, keys, num, den)))
 
 
 def links(docs: DataFrame, heads: DataFrame, n: int, num: int, den: int,
           cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
     """(a, b) links that connect exactly the classes which are connected by any links."""
-    tokens = heads.select(F.lit("").alias("cluster"), "doc", F.explode("prefix").alias("token"),
-                          F.lit(True).alias("open"))
-    members = _clusters(tokens)
-    rows = stored(_sets(docs, members, n), "cluster-sets")
-    found = None
-    while True:
-        sizes = stored(rows.groupBy("cluster", "pivot").agg(
-            F.count(F.lit(1)).alias("_n"), F.sum(F.length("items")).alias("_bytes")), "sizes")
-        large = (F.col("_n") > cluster_rows) | (F.col("_bytes") > CLUSTER_BYTES)
-        some = _join_small(rows.join(sizes.filter(~large), ["cluster", "pivot"], "left_semi"),
-                           num, den)
-        found = some if found is None else found.unionByName(some)
-        if sizes.filter(large).isEmpty():
-            return found
-        apart = stored(_recentre(rows.join(sizes.filter(large), ["cluster", "pivot"],
-                                           "left_semi"), num, den), "differences")
-        found = found.unionByName(apart.filter("linked and doc != pivot")
-                                  .select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
-        tokens = apart.select("cluster", "doc", F.explode("tokens").alias("token"),
-                              (~F.col("linked")).alias("open"))
-        rows = stored(_clusters(tokens).join(
-            apart.select("cluster", "doc", "size", "items"), ["cluster", "doc"]), "cluster-sets")
+    # the smaller set of a link shares more of its n-grams, so fewer of them are its core
+    core = F.expr(f"size - (2L * {num} * size + {num + den - 1}) div {num + den} + 1")
+    tokens = (heads.select("doc", core.alias("_core"),
+                           F.posexplode("prefix").alias("at", "token"))
+              .select("doc", "token", (F.col("at") < F.col("_core")).alias("core")))
+    rows = stored(_sets(docs, _clusters(tokens), n), "cluster-sets")
+    sizes = stored(rows.groupBy("pivot").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.length("items")).alias("_bytes")), "sizes")
+    large = (F.col("_n") > cluster_rows) | (F.col("_bytes") > CLUSTER_BYTES)
+    few = rows.join(sizes.filter(~large & (F.col("_n") > 1)), "pivot", "left_semi")
+    many = stored(rows.join(sizes.filter(large), "pivot", "left_semi"), "large-clusters")
+    small = _join(few.withColumn("role", F.lit(BOTH)), ["pivot"], num, den)
+    return small.unionByName(_large(many, cluster_rows, num, den))
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3,
@@ -358,7 +400,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     sets = heads.filter("doc is not null and size > 0")
     classes = stored(sets.groupBy("s1", "s2").agg(F.min("doc").alias("rep")), "classes")
     reps = sets.join(classes.hint("merge"), ["s1", "s2"]).filter("doc = rep")
-    edges = links(source, reps.select("doc", "prefix").distinct(), n, num, den, cluster_rows)
+    edges = links(source, reps.select("doc", "size", "prefix").distinct(), n, num, den, cluster_rows)
     # a repeated id with several texts connects their classes
     same = sets.select("doc", "s1", "s2").join(classes.hint("merge"), ["s1", "s2"])
     least = same.groupBy("doc").agg(F.min("rep").alias("b"), F.max("rep").alias("a"))

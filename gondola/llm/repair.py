@@ -308,9 +308,6 @@ def read_shards(spark: SparkSession, path: str, end_id: int = 1) -> DataFrame:
               .join(bases, F.col("part") == F.col("_p"))
               .select(F.col("part").alias("_p"), F.col("shard").alias("_s"),
                       (F.col("_base") + F.col("_in")).alias("_start")))
-    placed = (shards.join(starts, (F.col("part") == F.col("_p")) & (F.col("shard") == F.col("_s")))
-              .drop("_p", "_s"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
@@ -318,10 +315,15 @@ def read_shards(spark: SparkSession, path: str, end_id: int = 1) -> DataFrame:
                 ids, stops = Shard(row).decode(end_id)
                 starts = np.concatenate([[0], stops[:-1]])
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), stops.tolist())]
+                same = [np.full(len(stops), row[c], np.int32) for c in ("part", "shard")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["_start"]),
-                     pa.array(stops - starts), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, "
-                                  "ids_crc32 bigint")
+                    [*map(pa.array, same), pa.array(row["doc_ids"], pa.int64()),
+                     pa.array(starts), pa.array(stops - starts), pa.array(crc, pa.int64())],
+                    ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
+
+    decoded = shards.mapInArrow(run, "part int, shard int, doc_id bigint, at bigint, "
+                                     "n_tokens bigint, ids_crc32 bigint")
+    # the decoded rows meet their shard's start, so symbols are not shuffled
+    return (decoded.join(starts, (F.col("part") == F.col("_p")) & (F.col("shard") == F.col("_s")))
+            .select("doc_id", (F.col("_start") + F.col("at")).alias("start"), "n_tokens",
+                    "ids_crc32"))
