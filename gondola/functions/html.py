@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,15 +17,29 @@ ID_IN_HREF = r"-(\d+)(?:\?|$)"
 
 
 def _entity_map() -> Column:
-    """Entity name -> character, as one literal."""
-    pairs = {**{n: chr(code) for n, code in name2codepoint.items()}, "apos": "'"}
+    """Entity name -> characters, as one literal: the names that end in a semicolon."""
+    pairs = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
     return F.str_to_map(F.lit("\u0001".join(f"{n}\u0002{c}" for n, c in pairs.items())),
                         F.lit("\u0001"), F.lit("\u0002"))
 
 
 def _code_point(digits: Column, base: int) -> Column:
-    number = F.conv(digits, base, 16)
-    return F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
+    """Character of a number in decimal or hexadecimal digits, of any length.
+
+    As browsers read it: 128 to 159 are Windows-1252, what is no character becomes
+    U+FFFD, and control characters vanish.
+    """
+    plain = F.regexp_replace(digits, "^0+", "")
+    code = F.when(F.length(plain) <= 7, F.conv(plain, base, 10).cast("bigint"))
+    old = F.create_map(*[F.lit(x) for b in range(0x80, 0xA0) for x in (
+        b, bytes([b]).decode("cp1252", "ignore") or chr(b))])
+    control = code.between(1, 8) | code.between(14, 31) | code.isin(11, 127) | \
+        code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    safe = F.when(valid, code).otherwise(0xFFFD)
+    char = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    return (F.when(code.between(0x80, 0x9F), F.try_element_at(old, code.cast("int")))
+            .when(valid & control, "").otherwise(char))
 
 
 def unescape(c: Column) -> Column:
@@ -34,7 +48,7 @@ def unescape(c: Column) -> Column:
     The text is cut at each ``&``, so a decoded ``&amp;`` can never start another
     entity. Text without ``&`` skips all of it.
     """
-    entity = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+    entity = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 
     def piece(p: Column) -> Column:
         name = blank_to_null(F.regexp_extract(p, entity, 1))

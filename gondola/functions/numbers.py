@@ -41,8 +41,13 @@ def safe_to_float(c: Column) -> Column:
 
 
 def comma_to_float(c: Column) -> Column:
-    """Number in text with a decimal comma or point."""
-    return safe_to_float(F.replace(c.cast("string"), F.lit(","), F.lit(".")))
+    """Number in text: ``4.5``, ``4,5``, ``R$ 1.234,50``.
+
+    With a comma, points group thousands and the comma is the decimal sign.
+    """
+    text = F.regexp_replace(c.cast("string"), r"(?i)r\$|[\s\u00A0]+", "")
+    brazilian = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return safe_to_float(F.when(F.contains(text, F.lit(",")), brazilian).otherwise(text))
 
 
 def price_consistency(price: Column, unit_price: Column) -> Column:
@@ -59,8 +64,13 @@ def price_tier(price: Column) -> Column:
 
 
 def mean_of_cents(total: Column, n: Column) -> Column:
-    """Mean price with two decimals from an exact cent sum: integer half-up division."""
-    return F.when(n > 0, F.call_function("div", total * 2 + n, n * 2) / F.lit(100.0))
+    """Mean price with two decimals from an exact cent sum: integer half-up division.
+
+    The division is floored, so that negative sums round half up as well.
+    """
+    twice, count = total * 2 + n, F.nullif(n * 2, F.lit(0))
+    return F.when(n > 0, F.call_function("div", twice - F.pmod(twice, count), count)
+                  / F.lit(100.0))
 
 
 def stddev_of_cents(n: Column, total: Column, squares: Column) -> Column:
@@ -69,7 +79,10 @@ def stddev_of_cents(n: Column, total: Column, squares: Column) -> Column:
 
 
 def variance_of_cents(n: Column, total: Column, squares: Column) -> Column:
-    """Sample variance in currency units from exact sums of cents and squared cents."""
-    nd, td, sd = (c.cast("double") for c in (n, total, squares))
-    spread = F.greatest(nd * sd - td * td, F.lit(0.0))
-    return F.when(n > 1, spread / (nd * (nd - 1)) / F.lit(10000.0))
+    """Sample variance in currency units from exact sums of cents and squared cents.
+
+    The difference of the two large products is taken in whole numbers.
+    """
+    count, whole = n.cast("decimal(19,0)"), total.cast("decimal(19,0)")
+    spread = (count * squares.cast("decimal(38,0)") - whole * whole).cast("double")
+    return F.when(n > 1, spread / (n * (n - 1)).cast("double") / F.lit(10000.0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -14,19 +15,24 @@ _MARK = "\u0001 "
 _SPACE = r"\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
-def _accent_table() -> tuple[str, str]:
-    """Latin letters whose compatibility form is one other letter plus marks."""
-    source, target = [], []
-    for code in range(0x00C0, 0x0250):
+def _compatibility_forms() -> dict[str, str]:
+    """Characters of the basic plane and their compatibility form without marks.
+
+    Hangul syllables are left whole: their parts are letters, not accents.
+    """
+    forms = {}
+    for code in [*range(0x00A0, 0xAC00), *range(0xF900, 0xFFFE)]:
         plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code))
                         if not unicodedata.combining(c))
-        if len(plain) == 1 and plain != chr(code):
-            source.append(chr(code))
-            target.append(plain)
-    return "".join(source), "".join(target)
+        if plain != chr(code) and not unicodedata.combining(chr(code)):
+            forms[chr(code)] = plain
+    return forms
 
 
-_ACCENTED, _PLAIN = _accent_table()
+_FORMS = _compatibility_forms()
+_SINGLE = {c: plain for c, plain in _FORMS.items() if len(plain) == 1}
+_LONGER = {c: plain for c, plain in _FORMS.items() if len(plain) > 1}
+_ACCENTED, _PLAIN = "".join(_SINGLE), "".join(_SINGLE.values())
 
 
 def blank_to_null(c: Column) -> Column:
@@ -38,11 +44,18 @@ def collapse_spaces(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Drop accents; combining marks left by decomposed input go as well.
+    """Compatibility form without accents; combining marks in the input go as well.
 
-    Plain ASCII is passed through.
+    Plain ASCII is passed through. Ligatures and other forms of several letters are
+    rare, so texts without one skip their table.
     """
-    plain = F.translate(F.regexp_replace(c, r"\p{M}+", ""), _ACCENTED, _PLAIN)
+    table = F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in _LONGER.items())),
+                         F.lit("\u0001"), F.lit("\u0002"))
+    bare = F.regexp_replace(c, r"\p{M}+", "")
+    spelled = F.array_join(F.transform(
+        F.split(bare, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    some = bare.rlike("[" + re.escape("".join(_LONGER)) + "]")
+    plain = F.translate(F.when(some, spelled).otherwise(bare), _ACCENTED, _PLAIN)
     return F.when(is_ascii(c), c).otherwise(plain)
 
 

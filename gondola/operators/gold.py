@@ -199,11 +199,13 @@ def change_pct(now: Column, before: Column) -> Column:
     return F.signum(moved) * r2(F.abs(moved))
 
 
-def price_changes(df: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """Previous closing price and change per (market, ean, day)."""
-    more = {} if hot_rows is None else {"hot_rows": hot_rows}
-    d = neighbours(daily_prices(df), ["market", "ean"], ["price_date"],
-                   {"previous_price": "price_normalized"}, **more)
+def price_changes(df: DataFrame) -> DataFrame:
+    """Previous closing price and change per (market, ean, day).
+
+    A product has one row per day, so its window is bounded by the days.
+    """
+    w = Window.partitionBy("market", "ean").orderBy("price_date")
+    d = daily_prices(df).withColumn("previous_price", F.lag("price_normalized").over(w))
     return d.select("market", "ean", "price_date", F.col("price_normalized").alias("price"),
                     "previous_price",
                     change_pct(F.col("price_normalized"), F.col("previous_price"))
@@ -266,14 +268,13 @@ def price_rank(latest: DataFrame) -> DataFrame:
                          F.row_number().over(w).cast("bigint").alias("price_rank"))
 
 
-def price_history(df: DataFrame, code: str, hot_rows: int | None = None) -> DataFrame:
+def price_history(df: DataFrame, code: str) -> DataFrame:
     """All priced observations of one product with the observation before, per market."""
-    more = {} if hot_rows is None else {"hot_rows": hot_rows}
     rows = (df.filter((F.col("ean") == code) & F.col("price_normalized").isNotNull())
             .select("market", "collected_at", "record_id",
                     F.col("price_normalized").alias("price")))
     out = neighbours(rows, ["market"], ["collected_at", "record_id"],
-                     {"prev_price": "price"}, **more)
+                     {"prev_price": "price"})
     return out.select(day(F.col("collected_at")).alias("price_date"), "market", "record_id",
                       "price", "prev_price",
                       change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))

@@ -63,8 +63,7 @@ def cross_market_duplicates(df: DataFrame) -> DataFrame:
                     F.col("high.record_id").alias("high_record"), "markets"))
 
 
-def fuzzy_duplicates(df: DataFrame, tolerance: float = 0.05, hot_rows: int | None = None
-                     ) -> DataFrame:
+def fuzzy_duplicates(df: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Level 3: same market and name, another code, price within ``tolerance``.
 
     ``df`` has one row per (market, name, code). Rows are put in price order per
@@ -73,7 +72,6 @@ def fuzzy_duplicates(df: DataFrame, tolerance: float = 0.05, hot_rows: int | Non
     looks at two rows, and pairs are not enumerated. Partner codes are the
     nearest ones.
     """
-    more = {} if hot_rows is None else {"hot_rows": hot_rows}
     rows = df.filter(F.col("ean_normalized").isNotNull()
                      & F.col("price_normalized").isNotNull()
                      & F.col("product_name_normalized").isNotNull()).select(
@@ -81,7 +79,7 @@ def fuzzy_duplicates(df: DataFrame, tolerance: float = 0.05, hot_rows: int | Non
         numbers.cents(F.col("price_normalized")).alias("c"))
     seen = neighbours(rows, ["market", "product_name_normalized"], ["c", "record_id"],
                       {"lower_c": "c", "lower_ean": "ean_normalized"},
-                      {"upper_c": "c", "upper_ean": "ean_normalized"}, **more)
+                      {"upper_c": "c", "upper_ean": "ean_normalized"})
     c = F.col("c")
     below = (c - F.col("lower_c")) <= F.lit(tolerance) * F.col("lower_c")
     above = (F.col("upper_c") - c) <= F.lit(tolerance) * c

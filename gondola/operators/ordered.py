@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from gondola.functions import numbers
 from gondola.session import reliable_checkpoint
 
-# rows one window task may sort; larger groups are cut into ordered slices
-HOT_GROUP_ROWS = 20_000_000
-
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
              extra: Sequence[Column] = ()) -> DataFrame:
@@ -90,11 +87,6 @@ def cents_round(c: Column) -> Column:
 
 # --- ordered access -------------------------------------------------------------
 
-def _hottest(df: DataFrame, keys: Sequence[str]) -> int:
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return top[0] or 0
-
-
 def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Cut the global order into even slices and fix them in the shared folder.
 
@@ -106,20 +98,14 @@ def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               before: dict[str, str], after: dict[str, str] | None = None,
-               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+               before: dict[str, str], after: dict[str, str] | None = None) -> DataFrame:
     """LAG (``before``) and LEAD (``after``) columns: ``{new name: source column}``.
 
-    ``order`` must be total within ``keys``. Groups up to ``hot_rows`` use a plain
-    window. Beyond that the group spans slices, and the row at a slice edge looks
-    up the edge row of the slice next to it.
+    ``order`` must be total within ``keys``. A group may hold any share of the rows: it
+    spans slices, and the row at a slice edge looks up the edge row of the slice next
+    to it. Where groups are bounded, a plain window does the same.
     """
     after = after or {}
-    if _hottest(df, keys) <= hot_rows:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({
-            **{new: F.lag(src).over(w) for new, src in before.items()},
-            **{new: F.lead(src).over(w) for new, src in after.items()}})
     cut = _slices(df, keys, order)
     part = [*keys, "_slice"]
     w = Window.partitionBy(*part).orderBy(*order)
@@ -142,23 +128,3 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     fixed |= {new: F.when(F.col("_end"), F.col("_next")[src]).otherwise(F.col(new))
               for new, src in after.items()}
     return joined.withColumns(fixed).select(*df.columns, *before, *after)
-
-
-def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
-             hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """ROW_NUMBER within ``keys`` by a total ``order``, in slices for hot groups."""
-    if _hottest(df, keys) <= hot_rows:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    cut = _slices(df, keys, order)
-    part = [*keys, "_slice"]
-    ahead = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = cut.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).select(
-        *[F.col(k).alias(f"_k_{k}") for k in part],
-        F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_off"))
-    local = cut.withColumn("_pos", F.row_number().over(
-        Window.partitionBy(*part).orderBy(*order)))
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in part]
-    return local.join(offsets, same).select(
-        *df.columns, (F.col("_off") + F.col("_pos")).alias(name))

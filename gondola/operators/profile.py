@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gondola.functions import numbers
 from gondola.operators.ordered import cents_round, price_stats
-from gondola.session import small_side
 
 r2 = numbers.round_half_up
 
@@ -21,11 +20,12 @@ def describe(df: DataFrame, keys: Sequence[str], column: str, extra: dict[str, C
     Equal values are counted first (``price_stats``), so quartiles need memory for
     distinct values, not for rows.
     """
-    s = price_stats(df, keys, column)
+    s = price_stats(df, keys, column, extra=[("_low", F.min(column), "min"),
+                                             ("_high", F.max(column), "max")])
     cols = [*keys, F.col("n_prices").alias("count"), "mean", r2(F.col("stddev")).alias("std"),
-            F.col("low").alias("min"), cents_round(F.col("q25")).alias("q25"),
+            F.col("_low").alias("min"), cents_round(F.col("q25")).alias("q25"),
             cents_round(F.col("median")).alias("q50"), cents_round(F.col("q75")).alias("q75"),
-            F.col("high").alias("max")]
+            F.col("_high").alias("max")]
     out = s.select(*cols)
     if not extra:
         return out
@@ -46,19 +46,18 @@ def bronze_profile(df: DataFrame) -> DataFrame:
     return pairs.agg(
         n.alias("records"), (n - F.count(F.lit(1))).alias("duplicates"),
         F.sum("bad").alias("invalid_prices"), F.sum("eans").alias("with_ean"),
-        numbers.round_half_up(F.sum("eans") * 100.0 / n, 1).alias("ean_pct"),
+        numbers.round_half_up(F.try_divide(F.sum("eans") * 100.0, n), 1).alias("ean_pct"),
         F.sum("nb").alias("null_brand"), F.sum("nc").alias("null_category"))
 
 
 def impute_median(df: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
     """Fill a missing price with the median of its market and label where it came from.
 
-    Medians (one row per market) are broadcast after a check of their size, so
-    records are not shuffled by the few market values.
+    Medians have one row per market; adaptive execution broadcasts them by their size.
     """
-    medians = small_side(price_stats(df, keys).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], cents_round(F.col("median"))
-        .alias("_median")))
+    medians = price_stats(df, keys).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        cents_round(F.col("median")).alias("_median"))
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     p = F.col("price_normalized")
     label = (F.when(p.isNotNull(), "valid").when(F.col("_median").isNotNull(), "imputed")
@@ -93,7 +92,8 @@ def score_histogram(df: DataFrame, bins: int = 10) -> DataFrame:
     counts = df.groupBy("quality_score").agg(F.count(F.lit(1)).alias("n"))
     span = counts.agg(F.min("quality_score").alias("lo"), F.max("quality_score").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    slot = F.least(F.floor((F.col("quality_score") - F.col("lo")) / width) + 1, F.lit(bins))
+    place = F.try_divide(F.col("quality_score") - F.col("lo"), width)
+    slot = F.least(F.floor(F.coalesce(place, F.lit(0.0))) + 1, F.lit(bins))
     return (counts.crossJoin(F.broadcast(span)).withColumn("bin", slot.cast("bigint"))
             .groupBy("bin").agg(F.sum("n").alias("records"),
                                 F.min("quality_score").alias("lowest"),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from gondola import dims
 from gondola.functions import numbers
-from gondola.session import small_side
 
 r4 = lambda c: numbers.round_half_up(c, 4)
 
@@ -45,11 +44,10 @@ def profile(df: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
 def with_outliers(df: DataFrame, prof: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
     """Add ``n_outlier``: prices above mean + 3 sample deviations of their batch.
 
-    The limits (one row per batch) are broadcast after a check of their size.
+    The limits have one row per batch; adaptive execution broadcasts them if they are small.
     """
     limits = prof.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                          (F.col("mean_price") + 3 * F.col("std_price")).alias("_limit"))
-    limits = small_side(limits)
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     counts = (df.join(limits, same).groupBy(*keys)
               .agg(F.count_if(F.col("price") > F.col("_limit")).alias("n_outlier"))
@@ -155,8 +153,8 @@ def examples(df: DataFrame, bad: Column, columns: Sequence[str], k: int,
 
 def gate(df: DataFrame, statuses: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
     """Rows of batches that are not CRITICAL (semi join)."""
-    good = small_side(statuses.filter(F.col("status") != "CRITICAL")
-                      .select(*[F.col(k).alias(f"_g_{k}") for k in keys]))
+    good = (statuses.filter(F.col("status") != "CRITICAL")
+            .select(*[F.col(k).alias(f"_g_{k}") for k in keys]))
     return df.join(good, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys], "left_semi")
 
 

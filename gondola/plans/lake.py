@@ -63,7 +63,13 @@ class Lake:
         return self._once("silver", write)
 
     def kept_paths(self) -> list[str]:
-        return [f"{self.kept_path()}/out_market={m}" for m in adapter.MARKETS]
+        return [f"{self.kept_path()}/out_market={m}" for m in self.markets()]
+
+    def markets(self) -> list[str]:
+        """All markets of the Silver folder, one row each."""
+        rows = (self.spark.read.parquet(self.kept_path()).select("out_market").distinct()
+                .orderBy("out_market").collect())
+        return [r[0] for r in rows]
 
     @cached_property
     def kept(self) -> DataFrame:

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola import schemas
 from gondola.operators import audit, bronze, gold, quality, silver
 from gondola.sources import writers
 
@@ -129,8 +130,15 @@ def run(spark: SparkSession, records: DataFrame, root: str, gated: bool = True
     landed = land_bronze(records, f"{root}/bronze")
     if landed.status == "FAILED":
         return {"bronze": landed}
-    rows = (writers.read_bronze(spark, f"{root}/bronze/data")
-            .filter((F.col("run_id") == landed.run_id) & ~F.col("bronze_error_flag")))
+    batch = (writers.read_bronze(spark, f"{root}/bronze/data")
+             .filter(F.col("run_id") == landed.run_id))
+    # a mistyped optional field is NULL by now; only a missing required one ends a record
+    whole = F.lit(True)
+    for name in schemas.REQUIRED_FIELDS:
+        whole = whole & F.col(name).isNotNull()
+    rows, dropped = batch.filter(whole), batch.filter(~whole).count()
+    if dropped:
+        landed.errors.append(f"{dropped} records without a required field left out")
     cleaned, statuses = clean_silver(rows, f"{root}/silver")
     kept = (spark.read.parquet(f"{root}/silver/data")
             .filter(F.col("transformation_id") == cleaned.run_id))

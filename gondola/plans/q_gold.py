@@ -293,7 +293,7 @@ SELECT ean, product_name_normalized AS product_name, {_PIVOT},
 FROM kept GROUP BY ean, product_name_normalized""")
 def gold_price_pivot(lake: Lake):
     p = F.col("price_normalized")
-    wide = [F.max(F.when(F.col("market") == m, p)).alias(f"{m}_price") for m in adapter.MARKETS]
+    wide = [F.max(F.when(F.col("market") == m, p)).alias(f"{m}_price") for m in lake.markets()]
     return lake.kept.groupBy("ean", F.col("product_name_normalized").alias("product_name")).agg(
         *wide, F.min(p).alias("min_price"), F.max(p).alias("max_price"))
 

@@ -276,11 +276,10 @@ def html_extract_tag_text(lake: Lake):
 
 
 @query("html_unescape", f"""
-SELECT page_id, {_UNESC.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title
-FROM pages""")
+SELECT page_id, {_UNESC.format("replace(replace(html, '&copy;', '©'), '&middot;', '·')")}
+ AS decoded FROM pages""")
 def html_unescape(lake: Lake):
-    title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
-    return lake.table("pages").select("page_id", html.unescape(title).alias("title"))
+    return lake.table("pages").select("page_id", html.unescape(F.col("html")).alias("decoded"))
 
 
 @query("html_extract_price", f"SELECT record_id, price FROM {_CARDS}, range(2) AS e(i)")

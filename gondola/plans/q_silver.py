@@ -28,11 +28,10 @@ def title_case_(lake: Lake):
 
 
 @query("strip_accents", """
-SELECT doc_id, strip_accents(regexp_replace(text, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')) AS plain
-FROM documents""")
+SELECT doc_id, strip_accents(text) AS plain FROM documents""")
 def strip_accents(lake: Lake):
-    letters = F.regexp_replace("text", "[^A-Za-zÀ-ÖØ-öø-ÿ]", "")
-    return lake.table("documents").select("doc_id", text.strip_accents(letters).alias("plain"))
+    return lake.table("documents").select("doc_id", text.strip_accents(F.col("text"))
+                                          .alias("plain"))
 
 
 _VOL = dims.VOLUME_PATTERN
@@ -75,7 +74,12 @@ def to_base_unit(lake: Lake):
 SELECT record_id, CASE WHEN price BETWEEN 0.01 AND 100000 THEN {r('price')} END
  AS price_normalized FROM obs""")
 def norm_price(lake: Lake):
-    return lake.obs.select("record_id", numbers.norm_price(F.col("price")).alias("price_normalized"))
+    """Prices come as text, every other one in Brazilian notation."""
+    number = F.col("price").cast("decimal(18,2)").cast("string")
+    local = F.concat(F.lit("R$ "), F.replace(number, F.lit("."), F.lit(",")))
+    given = F.when(F.crc32("record_id") % 2 == 0, local).otherwise(number)
+    return lake.obs.select("record_id", numbers.norm_price(numbers.comma_to_float(given))
+                           .alias("price_normalized"))
 
 
 @query("price_consistency", """
@@ -93,26 +97,23 @@ def norm_category(lake: Lake):
 
 
 @query("fuzzy_dim_join", """
-SELECT DISTINCT lower(noun) AS term, (SELECT arg_min(standard, ord) FROM category_dim
-  WHERE contains(lower(noun), substr(pattern, 1, 3))
-   OR contains(pattern, substr(lower(noun), 1, 2))) AS standard
-FROM shelf WHERE noun <> '' """)
+SELECT DISTINCT lower(trim(category)) AS term, (SELECT arg_min(standard, ord)
+  FROM category_dim WHERE contains(lower(trim(category)), pattern)
+   OR contains(pattern, lower(trim(category)))) AS standard
+FROM obs WHERE trim(category) <> '' """)
 def fuzzy_dim_join(lake: Lake):
-    """First category, in order, whose start is in the term or that holds the term's start.
+    """First category, in order, whose pattern holds the term or is held by it.
 
     The dimension is a fixed list of 53 rows: it is exploded beside each distinct
     term, and the first match by ordinal is kept, without a nested-loop join.
     """
     dim = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(p).alias("pattern"),
                              F.lit(s).alias("standard")) for i, p, s in dims.category_rows()])
-    term = F.lower(F.split_part("p_name", F.lit(" "), F.lit(2)))
-    terms = lake.table("part").select("p_partkey", term.alias("term"))
-    sold = lake.table("lineitem").select("l_partkey").distinct()
-    terms = (terms.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
-             .filter("term <> ''").select("term").distinct())
+    terms = (lake.obs.select(text.category_key(F.col("category")).alias("term"))
+             .filter("term is not null").distinct())
     pairs = terms.select("term", F.explode(dim).alias("d"))
-    hit = (F.contains(F.col("term"), F.substring("d.pattern", 1, 3))
-           | F.contains(F.col("d.pattern"), F.substring("term", 1, 2)))
+    hit = F.contains(F.col("term"), F.col("d.pattern")) | F.contains(F.col("d.pattern"),
+                                                                     F.col("term"))
     return pairs.groupBy("term").agg(
         F.min_by("d.standard", F.when(hit, F.col("d.ord"))).alias("standard"))
 

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _LOCAL_FALLBACK: dict[str, str] = {}
 
@@ -22,6 +21,8 @@ def build_session(app: str = "gondola", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # small inputs get at least as many splits as there are row groups to share
+        "spark.sql.files.openCostInBytes": "1m",
         **conf,
     }
     for key, value in settings.items():
@@ -58,15 +59,3 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast ``df`` when it is proven to hold at most ``max_rows`` rows.
-
-    The bounded read fetches at most ``max_rows + 1`` rows. A larger table is
-    returned unchanged, so that the join shuffles (with AQE skew splitting).
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -26,23 +26,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when the input has fewer splits than cores.
-
-    Large tables have many splits and are left alone, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """17 record fields plus ``record_id``; ``collected_at`` stays a timestamp."""
     lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    lines = spread(lines, "l_orderkey", "l_partkey", "l_suppkey")
     markets = (read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"),
                                                   F.col("n_regionkey") == F.col("r_regionkey"))
                .select("n_nationkey", F.replace(F.lower("r_name"), F.lit(" "), F.lit("_"))

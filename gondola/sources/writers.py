@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,19 +68,34 @@ def write_audit(df: DataFrame, path: str) -> str:
 def write_table(df: DataFrame, path: str, date: str | None = None) -> str:
     """Overwrite one Gold table, stored by the month of its ``date`` column if it has one.
 
-    Rows are ordered by date inside a file, so that a filter on days reads only
+    The table is built next to the old one and takes its place when it is complete, so a
+    build that fails leaves the old table. Rows are ordered by date inside a file, so that a filter on days reads only
     the row groups that hold them.
     """
+    fresh = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
     if date is None:
-        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-        return path
-    month = f"{date[:-len('date')]}month"
-    (df.withColumn(month, F.substring(date, 1, 7)).hint("rebalance", month)
-     .sortWithinPartitions(month, date).write.mode("overwrite").partitionBy(month)
-     .option("compression", "snappy").parquet(path))
+        df.write.option("compression", "snappy").parquet(fresh)
+    else:
+        month = f"{date[:-len('date')]}month"
+        (df.withColumn(month, F.substring(date, 1, 7)).hint("rebalance", month)
+         .sortWithinPartitions(month, date).write.partitionBy(month)
+         .option("compression", "snappy").parquet(fresh))
+    _swap(df.sparkSession, fresh, path)
     return path
 
 
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished table in the place of the old one; the old one goes last."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, here, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, f"{fresh}__old"))
+    files = here.getFileSystem(conf)
+    if files.exists(here) and not files.rename(here, old):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(new, here):
+        raise OSError(f"cannot move {fresh} to {path}")
+    files.delete(old, True)
+
+
 # --- readers -------------------------------------------------------------------
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

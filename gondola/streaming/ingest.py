@@ -37,6 +37,10 @@ def ingest_new(spark: SparkSession, payload_dir: str, bronze_root: str, checkpoi
     """
     def land(batch: DataFrame, number: int) -> None:
         run_id = f"batch_{number:08d}"
+        known = F.coalesce(F.col("raw_response_type").isin(*FLATTENERS), F.lit(False))
+        (batch.filter(~known).withColumn("run_id", F.lit(run_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id").json(unparsed_path(bronze_root)))
         flat = records(batch)
         bad = F.size(bronze.record_errors()) > 0
         stamp = F.coalesce(F.try_to_timestamp("collected_at"), F.lit("1970-01-01").cast("date"))
@@ -52,5 +56,10 @@ def ingest_new(spark: SparkSession, payload_dir: str, bronze_root: str, checkpoi
             .trigger(availableNow=True).start())
 
 
+def unparsed_path(bronze_root: str) -> str:
+    """Answers of a kind that no flattener knows, as they came, by run."""
+    return f"{bronze_root.rstrip('/')}_unparsed"
+
+
 def landed(spark: SparkSession, bronze_root: str) -> DataFrame:
     return writers.read_bronze(spark, bronze_root)

@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,16 +37,8 @@ def test_neighbours_in_slices_equal_plain_window(walk):
         for n, r in enumerate(grp):
             want.append((r[2], grp[n - 1][3] if n else None,
                          grp[n + 1][3] if n + 1 < len(grp) else None))
-    for hot in (0, 10_000):
-        out = ordered.neighbours(df, ["k"], ["t", "i"], {"b": "v"}, {"a": "v"}, hot_rows=hot)
-        assert rows_of(out, "i", "b", "a") == sorted(want, key=repr), hot
-
-
-def test_position_in_slices_equals_plain_window(walk):
-    _, df = walk
-    plain = ordered.position(df, ["k"], ["t", "i"], "n")
-    sliced = ordered.position(df, ["k"], ["t", "i"], "n", hot_rows=0)
-    assert rows_of(plain, "i", "n") == rows_of(sliced, "i", "n")
+    out = ordered.neighbours(df, ["k"], ["t", "i"], {"b": "v"}, {"a": "v"})
+    assert rows_of(out, "i", "b", "a") == sorted(want, key=repr)
 
 
 def test_price_stats_are_exact(spark):
@@ -160,17 +153,45 @@ def test_fuzzy_pairs_brute_force(spark):
         return round(p * 100)
     want = [(a[0], any(a[2] == b[2] and a[3] != b[3] and abs(cents(a[4]) - cents(b[4]))
                        <= 0.05 * min(cents(a[4]), cents(b[4])) for b in data)) for a in data]
-    for hot in (None, 0):
-        got = history.fuzzy_duplicates(df, hot_rows=hot)
-        assert rows_of(got, "record_id", "is_fuzzy_duplicate") == sorted(want, key=repr)
+    got = history.fuzzy_duplicates(df)
+    assert rows_of(got, "record_id", "is_fuzzy_duplicate") == sorted(want, key=repr)
 
 
 def test_price_history_in_slices(lake):
     code = lake.silver.filter("ean IS NOT NULL").groupBy("ean").count().orderBy(
         F.desc("count"), "ean").first()[0]
     cols = ("record_id", "price", "prev_price", "price_change_pct")
-    assert rows_of(gold.price_history(lake.silver, code), *cols) == \
-        rows_of(gold.price_history(lake.silver, code, hot_rows=0), *cols)
+    got = {r[0]: r for r in rows_of(gold.price_history(lake.silver, code), *cols)}
+    rows = (lake.silver.filter((F.col("ean") == code) & F.col("price_normalized").isNotNull())
+            .select("market", "collected_at", "record_id", "price_normalized").collect())
+    rows.sort(key=lambda r: tuple(r)[:3])
+    for before, row in zip([None, *rows], rows):
+        prev = before[3] if before and before[0] == row[0] else None
+        assert got[row[2]][1:3] == (row[3], prev)
+
+
+def test_equal_scores_fall_in_one_bin(spark):
+    df = spark.createDataFrame([(7.5,)] * 3, "quality_score double")
+    assert [tuple(r) for r in profile.score_histogram(df).collect()] == [(1, 3, 7.5, 7.5)]
+    assert profile.score_histogram(df.limit(0)).collect() == []
+
+
+def test_describe_keeps_raw_limits(spark):
+    df = spark.createDataFrame([(1.991,), (1.994,)], "price double")
+    row = profile.describe(df, [], "price", {}).first()
+    assert (row["min"], row["max"]) == (1.991, 1.994)
+
+
+def test_variance_and_mean_survive_large_and_negative_sums(spark):
+    n, low, high = 1_000_000, 9_999_900, 9_999_901
+    squares = [Decimal(n // 2 * (low ** 2 + high ** 2)), Decimal(2 * 100 ** 2 + 101 ** 2)]
+    df = spark.createDataFrame([(n, n // 2 * (low + high), squares[0]), (3, -301, squares[1])],
+                               "n bigint, s bigint, q decimal(38,0)")
+    from gondola.functions import numbers
+    got = df.select(numbers.stddev_of_cents(*map(F.col, "nsq")),
+                    numbers.mean_of_cents(F.col("s"), F.col("n"))).collect()
+    assert abs(got[0][0] - 0.005 * (n / (n - 1)) ** 0.5) < 1e-12
+    assert [r[1] for r in got] == [99999.01, -1.0]
 
 
 def test_gold_invariants(lake):
@@ -245,3 +266,14 @@ def test_csv_with_mark_and_quotes(spark, tmp_path):
 def test_html_pages_are_whole(spark, tmp_path):
     (tmp_path / "a.html").write_text("<p>\n1</p>\n")
     assert writers.read_pages(spark, str(tmp_path)).first()["html"] == "<p>\n1</p>\n"
+
+
+def test_failed_build_keeps_the_old_gold_table(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for date in (None, "day_date"):
+        good = spark.createDataFrame([("a", "2024-01-05")], "k string, day_date string")
+        writers.write_table(good, path, date)
+        broken = good.withColumn("k", F.raise_error(F.lit("broken build")))
+        with pytest.raises(Exception, match="broken build"):
+            writers.write_table(broken, path, date)
+        assert spark.read.parquet(path).select("k").collect() == [("a",)]

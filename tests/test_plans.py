@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from gondola.operators import gold, ordered
 from gondola.plans import pipeline
-from gondola.session import small_side
 from gondola.sources import adapter, writers
 from tools.check import TABLES, rows
 
@@ -70,17 +69,6 @@ def test_no_query_uses_a_python_worker_or_cartesian(spark, sf_dir):
         assert "Python" not in p and "CartesianProduct" not in p, name
 
 
-def test_small_side_checks_its_size(spark):
-    df = spark.range(50).toDF("k")
-    big = spark.range(1000).toDF("k")
-    assert "BroadcastHashJoin" in plan_of(big.join(small_side(df, 50), "k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" not in plan_of(big.join(small_side(df, 49), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_pipeline_end_to_end(spark, sf_dir, tmp_path):
     records = adapter.observations(spark, sf_dir).withColumn(
         "collected_at", F.date_format("collected_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
@@ -126,6 +114,6 @@ def test_missing_silver_columns_are_named(spark, tmp_path):
 
 def test_hot_key_plan_has_no_single_task_window(spark):
     df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
-    out = ordered.neighbours(df, ["k"], ["t"], {"p": "t"}, hot_rows=0)
+    out = ordered.neighbours(df, ["k"], ["t"], {"p": "t"})
     assert "_slice" in plan_of(out)
     assert out.filter("p = t - 1 OR (t = 0 AND p IS NULL)").count() == 1000

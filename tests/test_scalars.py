@@ -61,7 +61,8 @@ def test_prices(spark):
     check(spark, numbers.parse_brl, {"R$ 1.234,56": 1234.56, "R$ 4,50": 4.5, "grátis": None,
                                      "": None, None: None, "R$ 7,00": 7.0})
     check(spark, numbers.safe_to_float, {"1.5": 1.5, "NaN": None, "x": None, None: None})
-    check(spark, numbers.comma_to_float, {"1,5": 1.5, "2.5": 2.5, "n/d": None})
+    check(spark, numbers.comma_to_float, {
+        "1,5": 1.5, "2.5": 2.5, "n/d": None, "R$ 4,50": 4.5, "r$ 1.234,56": 1234.56, "": None})
     check(spark, numbers.price_tier, {9.99: "Budget", 10.0: "Standard", 49.99: "Standard",
                                       50.0: "Premium"}, "double")
 
@@ -177,3 +178,18 @@ def test_html(spark):
 def test_market_name(spark):
     assert values(spark, text.market_name, ["atacadao", "mix_mateus", "middle_east"]) == \
         ["Atacadão", "Mix Mateus", "Middle_East"]
+
+
+def test_entities_are_read_as_browsers_do(spark):
+    import html as library
+    texts = ["&#9999999;", "&#1114112;", "&#xD800;x", "&#128;", "&#x80;", "&lpar;a&rpar;",
+             "&NotEqualTilde;", "&#0;", "&#1;z", "&#0000000000065;", "&#99999999999999999999;",
+             "&amp;lt;", "&nosuch;", "a & b", "&#13;", "&#x1F600;"]
+    check(spark, html.unescape, {t: library.unescape(t) for t in texts})
+
+
+def test_accents_over_the_whole_plane(spark):
+    check(spark, text.strip_accents, {
+        "\u1ea1b": "ab", "\ufb01n": "fin", "\uff21\uff22": "AB", "e\u0301": "e", "\u00bd": "1\u20442",
+        "\uac00": "\uac00", "plain": "plain", "\u01c6": "dz"})
+    check(spark, text.norm_name, {"\u1ea1b": "Ab"})
