@@ -54,7 +54,7 @@ def bronze_runs(df: DataFrame, seconds: Column | None = None) -> DataFrame:
         empty, F.col("nulls"), F.col("batch"), F.lit(None).cast("string")))
 
 
-def silver_runs(kept: DataFrame) -> DataFrame:
+def silver_runs(kept: DataFrame, seconds: Column | None = None) -> DataFrame:
     """One document per (market, run) of a deduplicated Silver table with ``run_ts``."""
     keys = ["market", "bronze_run_id", "run_ts"]
     checked = quality.assess(kept, keys)
@@ -68,7 +68,7 @@ def silver_runs(kept: DataFrame) -> DataFrame:
     run = F.concat(F.date_format("run_ts", "yyyyMMdd"), F.lit("_SV_"),
                    F.substring(F.md5("bronze_run_id"), 1, 4))
     return j.select(*_document(
-        "silver", run, F.col("run_ts"), F.lit(0.0),
+        "silver", run, F.col("run_ts"), F.lit(0.0) if seconds is None else seconds,
         F.when(F.col("status") == "CRITICAL", "FAILED").otherwise("SUCCESS"),
         {"input": total, "output": F.col("kept_rows"), "deduplicated": F.col("dups"),
          "deduplication_rate": numbers.round_half_up(F.col("dups") / total, 4)},
@@ -76,6 +76,21 @@ def silver_runs(kept: DataFrame) -> DataFrame:
         F.col("bronze_run_id")))
 
 
+def gold_runs(kept: DataFrame, run_id: str, run_ts: Column, seconds: Column, tables: int,
+              failed: int) -> DataFrame:
+    """One document per market of a Gold build: rows read, tables written and failed."""
+    none = F.struct(F.lit(None).cast("double").alias("quality_score"),
+                    F.lit(None).cast("string").alias("status"),
+                    F.lit(None).cast("int").alias("checks_passed"))
+    g = kept.groupBy("market").agg(F.count(F.lit(1)).alias("n")).withColumn("run_ts", run_ts)
+    return g.select(*_document(
+        "gold", F.lit(run_id), F.col("run_ts"), seconds,
+        F.lit("SUCCESS" if not failed else "PARTIAL" if tables else "FAILED"),
+        {"input": F.col("n"), "output": F.lit(tables), "errors": F.lit(failed)}, none,
+        F.create_map().cast("map<string,double>"), F.lit(None).cast("string"),
+        F.lit(None).cast("string")))
+
+
 def layer_totals(audit: DataFrame) -> DataFrame:
     """Records per layer and runs with errors."""
     return audit.groupBy("layer").agg(

@@ -116,3 +116,12 @@ def batch_hash(columns: Sequence[str]) -> Column:
 def date_parts(ts: Column) -> dict[str, Column]:
     return {"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM"),
             "day": F.date_format(ts, "dd")}
+
+
+def batch_guard(batches: DataFrame, records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Announced batches with their record count: a batch without any record is FAILED."""
+    counts = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return batches.join(counts, list(keys), "left").select(
+        *keys, n.alias("records"), F.when(n == 0, "FAILED").otherwise("SUCCESS").alias("status"),
+        F.when(n == 0, "Empty batch").alias("error"))

@@ -146,7 +146,7 @@ def examples(df: DataFrame, bad: Column, columns: Sequence[str], k: int,
              ) -> DataFrame:
     """First ``k`` bad rows per batch in a total order (limited before the shuffle)."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return (df.filter(bad).select(*keys, *order, *columns)
+    return (df.filter(bad).select(*dict.fromkeys([*keys, *order, *columns]))
             .withColumn("example", F.row_number().over(w)).filter(F.col("example") <= k)
             .select(*keys, "example", *columns))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +38,15 @@ def default_searches(spark: SparkSession) -> DataFrame:
     """Searches used when no seed file exists."""
     return spark.createDataFrame(dims.DEFAULT_SEARCHES,
                                  "market STRING, search_term STRING, cep STRING")
+
+
+def searches(spark: SparkSession, path: str) -> DataFrame:
+    """Searches for the codes of a seed file; the default list if there is no such file."""
+    from gondola.sources import writers
+
+    try:
+        return search_configs(writers.read_seed(spark, path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return default_searches(spark)

@@ -91,12 +91,16 @@ def clean_silver(landed: DataFrame, root: str, transformation_id: str | None = N
     writers.write_silver(out, f"{root}/data")
     written = spark.read.parquet(f"{root}/data").filter(F.col("transformation_id") == tid)
     statuses = quality.status(quality.assess(written, keys), keys)
+    files = {"products": f"{root}/data"}
+    documents = audit.silver_runs(written.withColumn("run_ts", F.current_timestamp()),
+                                  F.lit(time.monotonic() - start))
+    files["metadata"] = writers.write_audit(documents, f"{root}/audit")
     row = silver.dedup_summary(written).first()
     critical = statuses.filter("status = 'CRITICAL'").count()
     return LayerResult(
         "silver", tid, "PARTIAL" if critical else "SUCCESS", row["records_input"],
         row["records_output"], row["records_deduplicated"],
-        (time.monotonic() - start) * 1000, {"products": f"{root}/data"},
+        (time.monotonic() - start) * 1000, files,
         [f"{critical} batches with critical quality"] if critical else []), statuses
 
 
@@ -113,13 +117,9 @@ def publish_gold(kept: DataFrame, root: str, run_id: str | None = None) -> Layer
         except Exception as error:  # noqa: BLE001 - reported, the other tables go on
             errors.append(f"{name}: {str(error).splitlines()[0]}")
     status = ("SUCCESS" if not errors else "PARTIAL" if len(errors) < len(files) else "FAILED")
-    log = kept.agg(F.count(F.lit(1)).alias("records_input")).select(
-        F.lit(run_id).alias("transformation_id"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-        "records_input", F.lit(len(files)).alias("tables_created"),
-        F.array(*[F.lit(p) for p in files.values()]).cast("array<string>").alias("files"),
-        F.lit("1.0").alias("schema_version"))
-    writers.write_audit(log, f"{root}/transformation_logs")
+    seconds = F.lit(time.monotonic() - start)
+    writers.write_audit(audit.gold_runs(kept, run_id, F.current_timestamp(), seconds,
+                                        len(files), len(errors)), f"{root}/audit")
     return LayerResult("gold", run_id, status, files_created=files, errors=errors,
                        duration_ms=(time.monotonic() - start) * 1000)
 

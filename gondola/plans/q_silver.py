@@ -311,15 +311,18 @@ def dq_price_outliers(lake: Lake):
 
 
 @query("dq_price_negative", """
-SELECT market, count(*) FILTER (WHERE unit_price - wholesale_price < 0) AS negative,
- min(CASE WHEN unit_price - wholesale_price < 0 THEN record_id END) AS example
-FROM kept GROUP BY market""")
+SELECT market, negative, pos AS example, record_id, price FROM (
+ SELECT market, record_id, price, count(*) OVER (PARTITION BY market) AS negative,
+  row_number() OVER (PARTITION BY market ORDER BY record_id) AS pos
+ FROM (SELECT market, record_id, price - 1000.0::DOUBLE AS price FROM kept) WHERE price < 0)
+WHERE pos <= 3""")
 def dq_price_negative(lake: Lake):
-    """Below-zero amounts; shelf prices here have none, so margins are checked."""
-    bad = (F.col("unit_price") - F.col("wholesale_price")) < 0
-    return lake.kept.groupBy("market").agg(
-        F.count_if(bad).alias("negative"), F.min(F.when(bad, F.col("record_id")))
-        .alias("example"))
+    """Negative prices per market with three examples; shelf prices are lowered to have some."""
+    lowered = lake.kept.withColumn("price", F.col("price") - F.lit(1000.0))
+    bad = F.col("price") < 0
+    n = lowered.filter(bad).groupBy("market").agg(F.count(F.lit(1)).alias("negative"))
+    shown = quality.examples(lowered, bad, ["record_id", "price"], 3, order=["record_id"])
+    return shown.join(n, "market").select("market", "negative", "example", "record_id", "price")
 
 
 @query("dq_price_all_null", """

@@ -88,8 +88,12 @@ def test_pipeline_end_to_end(spark, sf_dir, tmp_path):
 def test_gate_keeps_critical_batches_out(spark, sf_dir, tmp_path):
     records = adapter.observations(spark, sf_dir)
     out = pipeline.run(spark, records, str(tmp_path), gated=True)
-    logs = spark.read.json(f"{tmp_path}/gold/transformation_logs")
-    assert 0 < logs.first()["records_input"] < out["silver"].records_output
+    docs = writers.read_audit(spark, f"{tmp_path}/gold/audit")
+    assert 0 < docs.agg(F.sum("records.input")).first()[0] < out["silver"].records_output
+    for layer in ("bronze", "silver", "gold"):
+        docs = writers.read_audit(spark, f"{tmp_path}/{layer}/audit")
+        n, seconds = docs.agg(F.count("*"), F.min("execution.duration_seconds")).first()
+        assert n > 0 and seconds > 0 and docs.filter(F.col("layer") != layer).isEmpty()
 
 
 def test_empty_and_faulty_batches(spark, sf_dir, tmp_path):
