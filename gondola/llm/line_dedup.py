@@ -79,7 +79,7 @@ class LineRuns:
         path = self._write(fresh, 0)
         self._compact()
         # by path: a plain file scan lets adaptive execution split a hot line
-        keepers = self.spark.read.parquet(path)
+        keepers = self.spark.read.schema("h1 bigint, h2 bigint, keeper bigint").parquet(path)
         return (hashes.join(keepers.hint("merge"), _HASH, "left")
                 .filter("keeper is null or keeper != doc").select("doc", *_HASH))
 

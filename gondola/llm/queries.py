@@ -150,7 +150,60 @@ def op2_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-@query("op4_quality_rules")
+_BINS = {"symbol_share": ("1000 * n_symbols // greatest(word_chars, 1)", "2"),
+         "line_share": ("1000 * n_dup_lines // greatest(n_lines, 1)", "100"),
+         "repeat_share": ("1000 * n_repeat_words // greatest(n_words, 1)", "60"),
+         "word_size": ("least(8 * word_chars // greatest(n_words, 1), 8000)", "q2 // 8")}
+_LEVELS = {"g": "lang, source", "l": "lang", "a": "1"}
+
+
+def _levels() -> str:
+    """Limits of every measure by (language, source), by language, and of all documents."""
+    parts = []
+    for level, keys in _LEVELS.items():
+        names = {"g": "lang, source", "l": "lang, NULL AS source", "a": "NULL AS lang, NULL AS source"}
+        parts.append(f"""
+SELECT '{level}' lv, {names[level]}, m, n, q1 - 6 * s low, q3 + 6 * s high FROM (
+ SELECT *, greatest(q3 - q1, 1, CASE m {" ".join(f"WHEN '{m}' THEN {v}" for m, (_, v) in _BINS.items())} END) s
+ FROM (SELECT {keys.replace('1', "1 AS one")}, m, any_value(n) n, min(v) FILTER (4 * u >= n) q1,
+   min(v) FILTER (4 * u >= 2 * n) q2, min(v) FILTER (4 * u >= 3 * n) q3
+  FROM (SELECT *, count(*) OVER (PARTITION BY {keys}, m ORDER BY v) u,
+          count(*) OVER (PARTITION BY {keys}, m) n FROM v)
+  GROUP BY {keys.replace('1', 'one') if level != 'a' else 'one'}, m))""")
+    return " UNION ALL ".join(parts)
+
+
+@query("op4_quality_rules", rf"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') x,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)),
+                    lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) ls FROM documents),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) n
+        FROM (SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') g
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) i FROM w))) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT k) n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) k FROM d)
+      GROUP BY doc_id),
+f AS (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) n_words,
+             CAST(length(array_to_string(w, '')) AS BIGINT) word_chars,
+             CAST(len(regexp_extract_all(x, '[#*$%&|<>]')) AS BIGINT) n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) n_dup_lines, len(ls) n_lines,
+             coalesce(n, 0) n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words base_failed FROM f),
+c AS (SELECT doc_id, lang, source, base_failed, unnest([{", ".join(f"'{m}'" for m in _BINS)}]) m,
+             unnest([{", ".join(e for e, _ in _BINS.values())}]) v FROM b),
+v AS (SELECT * FROM c WHERE NOT base_failed),
+lim AS ({_levels()}),
+judged AS (SELECT c.doc_id, bool_and(CASE WHEN c.m = 'word_size' THEN v BETWEEN low AND high
+                                     ELSE v <= high END) good
+           FROM (SELECT c.doc_id, c.m, any_value(c.v) v, arg_min(low, p) low, arg_min(high, p) high
+                 FROM c JOIN (SELECT *, CASE lv WHEN 'g' THEN 1 WHEN 'l' THEN 2 ELSE 3 END p
+                              FROM lim) k ON k.m = c.m
+                  AND ((lv = 'g' AND n >= 200 AND k.lang IS NOT DISTINCT FROM c.lang
+                        AND k.source IS NOT DISTINCT FROM c.source)
+                       OR (lv = 'l' AND n >= 200 AND k.lang IS NOT DISTINCT FROM c.lang)
+                       OR lv = 'a') GROUP BY c.doc_id, c.m) c GROUP BY c.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(good, false) kept FROM b LEFT JOIN judged USING (doc_id)""")
 def op4_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
