@@ -29,6 +29,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of one batch stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_text(docs: DataFrame, fields: str, rows: Callable[[], Callable[[bytes | None], tuple]],
              text: str = "text", keep: Sequence[str] | None = None,
              where: Callable[[tuple], bool] | None = None,
@@ -49,7 +56,7 @@ def map_text(docs: DataFrame, fields: str, rows: Callable[[], Callable[[bytes |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = rows()
-        for batch in batches:
+        for batch in pieces(batches):
             inputs = [batch.column(batch.num_columns - 1)]
             inputs += [batch.column(len(kept) + i) for i in range(len(extra))]
             found = [one(*row) for row in zip(*map(_values, inputs))]

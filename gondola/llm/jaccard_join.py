@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.components import components
-from gondola.llm.frames import TEXT, stored
+from gondola.llm.frames import TEXT, pieces, stored
 
 COMMON_WORDS = 1 << 20  # words with a known frequency; the others count as rare
 CLUSTER_ROWS = 1000  # members that one task joins in one trie
@@ -73,13 +73,20 @@ def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document frequency of the most frequent words, in hash order."""
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        words, place = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
+        return words, np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(_words(t.as_py())) for t in batch.column(1)]
-            words, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]),
-                                 return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)],
-                                             ["word", "n"])
+            parts: list[tuple] = []
+            for piece in pieces([batch]):
+                sets = [np.unique(_words(t.as_py())) for t in piece.column(1)]
+                words, n = np.unique(np.concatenate(sets), return_counts=True)
+                parts = [merged([*parts, (words, n)])]
+            for words, n in parts:
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)],
+                                                 ["word", "n"])
 
     top = (docs.mapInArrow(run, "word bigint, n bigint").groupBy("word")
            .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).toArrow())
@@ -112,7 +119,7 @@ def _heads(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
         return size, int(s1), int(s2), found[order].view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             size, s1, s2, prefix = list(zip(*[one(t.as_py()) for t in batch.column(1)])) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(s1, pa.int64()),
@@ -133,7 +140,7 @@ def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
         F.collect_list("pivot").alias("pivots"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = [np.unique(shingles(_words(t.as_py()), n)) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([len(x) for x in found], pa.int64()),
@@ -288,7 +295,7 @@ def _join(rows: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
     k = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        flat = (row for batch in pieces(batches) for row in zip(*[c.to_pylist() for c in batch.columns]))
         for _, group in groupby(flat, key=lambda row: row[:k]):
             docs, sizes, items, roles = list(zip(*group))[k:]
             found = join_cluster(docs, sizes, items, roles, num, den) if len(docs) > 1 else []
@@ -306,7 +313,7 @@ def _from_pivot(rows: DataFrame, num: int, den: int) -> DataFrame:
         "pivot", "doc", "size", "_psize", "items", "_pitems")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for size, psize, items, pitems in zip(*[batch.column(k).to_pylist()
                                                     for k in (2, 3, 4, 5)]):
