@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.functions import numbers
@@ -30,13 +30,14 @@ def beyond_retention(df: DataFrame, today: Column, days: int) -> DataFrame:
     return df.filter(partition_date() < F.date_sub(today, days))
 
 
-def storage_report(df: DataFrame) -> DataFrame:
-    """Bytes and files per market and day, from file metadata alone."""
-    files = df.select("market", "year", "month", "day",
-                      F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_size").alias("size")).distinct()
-    return files.groupBy("market", "year", "month", "day").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+def storage_report(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes and files per market and day, from the file listing: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    part = lambda c: F.regexp_extract("path", f"/{c}=([^/]+)/", 1).alias(c)
+    return (files.select(*map(part, ("market", "year", "month", "day")), "length")
+            .groupBy("market", "year", "month", "day").agg(
+                F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:

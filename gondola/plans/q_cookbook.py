@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gondola import dims
+from gondola import dims, schemas
 from gondola.functions import ean, numbers, text, units
 from gondola.operators import audit, bronze, history, profile, quality, silver
 from gondola.plans.lake import Lake
@@ -82,11 +82,21 @@ def bronze_market_avg(lake: Lake):
         F.count(F.lit(1)).alias("records"), numbers.mean_of_cents(F.sum(c), F.count(c)).alias("avg_price"))
 
 
-@query("bronze_approx_median")
+@query("bronze_approx_median", """
+SELECT market, count(*) AS record_count, TRUE AS close FROM obs GROUP BY market""")
 def bronze_approx_median(lake: Lake):
-    return lake.obs.groupBy("market").agg(
+    """The approximate median lies within one percent of ranks of the middle."""
+    found = lake.obs.groupBy("market").agg(
         F.count(F.lit(1)).alias("record_count"),
         F.percentile_approx("price", 0.5, 10_000).alias("median_price"))
+    ranks = (lake.obs.select("market", "price").join(found, "market")
+             .groupBy("market", "record_count").agg(
+                 F.count("price").alias("n"),
+                 F.count_if(F.col("price") < F.col("median_price")).alias("below"),
+                 F.count_if(F.col("price") <= F.col("median_price")).alias("upto")))
+    return ranks.select("market", "record_count",
+                        ((F.col("below") <= F.col("n") * 0.51)
+                         & (F.col("upto") >= F.col("n") * 0.49)).alias("close"))
 
 
 @query("bronze_describe", f"""
@@ -110,15 +120,20 @@ def bronze_profile(lake: Lake):
     return profile.bronze_profile(lake.obs)
 
 
-@query("bronze_schema")
+_LANDED = ", ".join(
+    f"('{f.name}', '{f.dataType.simpleString()}')" for f in schemas.BRONZE.fields
+    if f.name != "market") + ", " + ", ".join(
+    f"('{c}', 'string')" for c in schemas.BRONZE_PARTITIONS)
+
+
+@query("bronze_schema", f"SELECT * FROM (VALUES {_LANDED}) AS t(column_name, data_type)")
 def bronze_schema(lake: Lake):
-    """Columns and types of the landed files, with how many files' rows carry each."""
-    fields = lake.bronze.schema.fields
-    names = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
-                               F.lit(f.dataType.simpleString()).alias("data_type"),
-                               F.lit(f.nullable).alias("nullable")) for f in fields])
-    present = lake.bronze.agg(F.count(F.lit(1)).alias("records"))
-    return present.select("records", F.explode(names).alias("f")).select("f.*", "records")
+    """Columns and types of the landed files, from the files' own schema."""
+    fields = lake.spark.read.parquet(lake.bronze_path()).schema.fields
+    text = {c: "string" for c in schemas.BRONZE_PARTITIONS}
+    return lake.spark.createDataFrame(
+        [(f.name, text.get(f.name, f.dataType.simpleString())) for f in fields],
+        "column_name string, data_type string")
 
 
 @query("bronze_read_payloads", """
@@ -265,10 +280,14 @@ def audit_bronze_alerts(lake: Lake):
     return audit.bronze_alerts(lake.audit("bronze"), F.lit("2030-01-01").cast("date"))
 
 
-@query("storage_report")
+@query("storage_report", """
+SELECT DISTINCT market, strftime(run_ts, '%Y') AS year, strftime(run_ts, '%m') AS month,
+ strftime(run_ts, '%d') AS day, TRUE AS has_files, TRUE AS has_bytes FROM obs""")
 def storage_report(lake: Lake):
-    """Bytes and files per market and day of the landed Bronze files."""
-    return history.storage_report(lake.spark.read.parquet(lake.bronze_path()))
+    """Folders of the landed Bronze files with files and bytes; sizes have no SQL form."""
+    found = history.storage_report(lake.spark, lake.bronze_path())
+    return found.select("market", "year", "month", "day", (F.col("files") > 0).alias("has_files"),
+                        (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("retention_select", """
@@ -582,10 +601,15 @@ def gold_catalog_view(lake: Lake):
     return view.withColumn("latest_by_market", F.array_join(latest, ","))
 
 
-@query("product_fingerprint")
+@query("product_fingerprint", """
+SELECT market, count(*) AS records, count(DISTINCT concat_ws('|', market,
+ product_name_normalized)) AS products FROM kept GROUP BY market""")
 def product_fingerprint(lake: Lake):
+    """One id per market and name: as many ids as there are such keys."""
     key = F.concat_ws("|", "market", "product_name_normalized")
-    return lake.kept.select("record_id", F.xxhash64(key).alias("product_id"))
+    ids = lake.kept.select("market", F.xxhash64(key).alias("product_id"))
+    return ids.groupBy("market").agg(F.count(F.lit(1)).alias("records"),
+                                     F.count_distinct("product_id").alias("products"))
 
 
 @query("year_summary", """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gondola import dims, schemas
@@ -469,10 +470,18 @@ def bronze_batch_counts(lake: Lake):
     return bronze.batch_counts(d, ["market"])
 
 
-@query("bronze_batch_hash")
+@query("bronze_batch_hash", """
+SELECT market, bronze_run_id, count(*) AS records, TRUE AS identified, TRUE AS unique_id
+FROM obs GROUP BY ALL""")
 def bronze_batch_hash(lake: Lake):
-    return lake.obs.groupBy("market", "bronze_run_id").agg(
+    """Batches with different content have different identities; a hash has no SQL form."""
+    batches = lake.obs.groupBy("market", "bronze_run_id").agg(
+        F.count(F.lit(1)).alias("records"),
         bronze.batch_hash(audit.BUSINESS_COLUMNS).alias("batch_id"))
+    same = F.count(F.lit(1)).over(Window.partitionBy("batch_id"))
+    return batches.select("market", "bronze_run_id", "records",
+                          F.col("batch_id").isNotNull().alias("identified"),
+                          (same == 1).alias("unique_id"))
 
 
 @query("date_parts", """
