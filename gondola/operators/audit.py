@@ -137,18 +137,19 @@ def _day_of(now: Column, text: Column) -> Column:
     return F.datediff(now, F.to_date(text))
 
 
-def health(audit: DataFrame, silver: DataFrame, size_bytes: Column, now: Column) -> DataFrame:
-    """Four status rows: recent runs, mean score, code validity, storage size."""
+def health(audit: DataFrame, silver: DataFrame, size: DataFrame, now: Column) -> DataFrame:
+    """Four status rows: recent runs, mean score, code validity, stored bytes (one row)."""
     recent = F.count_if(_day_of(now, F.col("execution.run_date")) < 1)
     score = numbers.round_half_up(F.coalesce(F.avg("quality.quality_score"), F.lit(0.0)))
     a = audit.agg(recent.cast("double").alias("recent_transformations"), score.alias("quality"))
     valid = numbers.round_half_up(F.avg(F.col("ean_valid").cast("double")), 4)
-    s = silver.agg(F.coalesce(valid, F.lit(0.0)).alias("ean_validity"),
-                   F.coalesce(size_bytes / F.lit(1024.0 ** 3), F.lit(0.0)).alias("disk_usage"))
+    s = silver.agg(F.coalesce(valid, F.lit(0.0)).alias("ean_validity"))
+    d = size.select((F.col("bytes") / F.lit(1024.0 ** 3)).alias("disk_usage"))
     limits = {"recent_transformations": F.col("value") > 0, "quality": F.col("value") > 80,
               "ean_validity": F.col("value") > 0.80, "disk_usage": F.col("value") < 100}
     rows = (a.unpivot([], ["recent_transformations", "quality"], "check_name", "value")
-            .unionByName(s.unpivot([], ["ean_validity", "disk_usage"], "check_name", "value")))
+            .unionByName(s.unpivot([], ["ean_validity"], "check_name", "value"))
+            .unionByName(d.unpivot([], ["disk_usage"], "check_name", "value")))
     ok = F.lit(False)
     for name, rule in limits.items():
         ok = F.when(F.col("check_name") == name, rule).otherwise(ok)

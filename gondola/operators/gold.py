@@ -149,9 +149,14 @@ def cheapest_per_category(latest: DataFrame) -> DataFrame:
 
 
 def products_snapshot(df: DataFrame, date: str | None = None) -> DataFrame:
-    """Current price per market and product, with the cheapest code of its category marked."""
+    """Current price per market and product, with the cheapest code of its category marked.
+
+    Categories are a fixed list, so the cheapest codes are broadcast: a hot category
+    stays where its rows are.
+    """
     latest = snapshot_latest(df, date)
-    best = cheapest_per_category(latest).select("category_normalized", "cheapest_ean")
+    best = F.broadcast(cheapest_per_category(latest)
+                       .select("category_normalized", "cheapest_ean"))
     j = latest.join(best, "category_normalized", "left")
     change = F.col("price_change_pct") if "price_change_pct" in df.columns else F.lit(0.0)
     return j.select(

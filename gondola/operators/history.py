@@ -30,10 +30,20 @@ def beyond_retention(df: DataFrame, today: Column, days: int) -> DataFrame:
     return df.filter(partition_date() < F.date_sub(today, days))
 
 
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the Parquet files below a folder: no file is opened."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the bytes of all files below a folder."""
+    return _listing(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
 def storage_report(spark: SparkSession, path: str) -> DataFrame:
-    """Bytes and files per market and day, from the file listing: no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    """Bytes and files per market and day, from the file listing."""
+    files = _listing(spark, path)
     part = lambda c: F.regexp_extract("path", f"/{c}=([^/]+)/", 1).alias(c)
     return (files.select(*map(part, ("market", "year", "month", "day")), "length")
             .groupBy("market", "year", "month", "day").agg(

@@ -17,7 +17,7 @@ DEDUP_KEYS = ["market", "ean_normalized", "product_name_normalized"]
 
 def new_transformation_id(now: datetime | None = None, suffix: str | None = None) -> str:
     now = now or datetime.now(timezone.utc)
-    return f"{now:%Y%m%d}_SV_{suffix or uuid.uuid4().hex[:4]}"
+    return f"{now:%Y%m%d}_SV_{suffix or uuid.uuid4().hex[:12]}"
 
 
 def normalize(df: DataFrame, transformation_id: str | None = None) -> DataFrame:

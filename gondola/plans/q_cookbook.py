@@ -261,14 +261,16 @@ SELECT check_name, value, CASE WHEN ok THEN 'OK' WHEN check_name = 'ean_validity
  FROM {_SILVER_RUN}
  UNION ALL SELECT 'quality', {r('avg(quality_score)')} AS value, value > 80 FROM {_SILVER_RUN}
  UNION ALL SELECT 'ean_validity', {r('avg(CASE WHEN ean_valid THEN 1.0::DOUBLE ELSE 0 END)', 4)}
-  AS value, value > 0.80 FROM kept
- UNION ALL SELECT 'disk_usage', CAST(sum(length(record_id)) AS DOUBLE) / 1073741824.0 AS value,
-  value < 100 FROM kept)""")
+  AS value, value > 0.80 FROM kept)""")
 def audit_health(lake: Lake):
-    """As of the newest run; sizes are those of the id column, known to both engines."""
+    """As of the newest run, without the stored bytes, which SQL cannot know."""
+    return _health(lake).filter("check_name != 'disk_usage'")
+
+
+def _health(lake: Lake):
     runs = lake.audit("silver")
     now = F.lit(runs.agg(F.max("execution.run_date")).first()[0]).cast("date")
-    return audit.health(runs, lake.kept, F.sum(F.length("record_id")).cast("double"), now)
+    return audit.health(runs, lake.kept, history.stored_bytes(lake.spark, lake.kept_path()), now)
 
 
 @query("audit_bronze_alerts", f"""

@@ -16,36 +16,30 @@ CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": F
        "ignoreTrailingWhiteSpace": False}
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], compression: str,
-                      rebalance: bool) -> str:
+def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
+                      compression: str) -> str:
     """Append partitioned Parquet.
 
-    One run has few partition values, so its tasks write straight from where the
-    rows are, without a shuffle. A load of many runs at once asks for ``rebalance``:
-    AQE then joins small partitions and splits a hot one, so neither many tiny
-    files nor one huge task comes out.
+    Rows are dealt by partition values; AQE joins small parts and splits a hot one, so
+    neither many tiny files (tasks times markets) nor one huge task comes out.
     """
-    out = df.hint("rebalance", *partitions) if rebalance else df
-    (out.write.mode("append").partitionBy(*partitions)
+    (df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions)
      .option("compression", compression).parquet(path))
     return path
 
 
-def write_bronze(df: DataFrame, path: str, run_ts: str = "run_ts", rebalance: bool = False
-                 ) -> str:
+def write_bronze(df: DataFrame, path: str, run_ts: str = "run_ts") -> str:
     """Gzip Parquet under market / year / month / day / run_id of the run time."""
     parts = bronze.date_parts(F.col(run_ts))
     out = df.withColumns({**parts, "run_id": F.col("bronze_run_id")}).drop(run_ts)
-    return write_partitioned(out, path, schemas.BRONZE_PARTITIONS, "gzip", rebalance)
+    return write_partitioned(out, path, schemas.BRONZE_PARTITIONS, "gzip")
 
 
-def write_silver(df: DataFrame, path: str, run_ts: str = "run_ts", rebalance: bool = False
-                 ) -> str:
+def write_silver(df: DataFrame, path: str, run_ts: str = "run_ts") -> str:
     """Snappy Parquet under market / year / month / day / transformation_id."""
     parts = bronze.date_parts(F.col(run_ts))
     out = df.withColumns({**parts, "transformation_id": F.col("silver_transformation_id")})
-    return write_partitioned(out.drop(run_ts), path, schemas.SILVER_PARTITIONS, "snappy",
-                             rebalance)
+    return write_partitioned(out.drop(run_ts), path, schemas.SILVER_PARTITIONS, "snappy")
 
 
 def write_raw_payloads(df: DataFrame, path: str) -> str:

@@ -277,3 +277,10 @@ def test_failed_build_keeps_the_old_gold_table(spark, tmp_path):
         with pytest.raises(Exception, match="broken build"):
             writers.write_table(broken, path, date)
         assert spark.read.parquet(path).select("k").collect() == [("a",)]
+
+
+def test_health_counts_stored_bytes(spark, lake):
+    from gondola.plans.q_cookbook import _health
+    size = history.stored_bytes(spark, lake.kept_path()).first()["bytes"]
+    row = _health(lake).filter("check_name = 'disk_usage'").first()
+    assert size > 0 and row["value"] == size / 1024.0 ** 3 and row["status"] == "OK"
