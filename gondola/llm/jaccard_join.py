@@ -333,8 +333,11 @@ def _from_pivot(rows: DataFrame, num: int, den: int) -> DataFrame:
                                  "linked boolean, ring boolean")
 
 
-def _blocks(count: str, rows: int):
-    return F.expr(f"greatest(1L, ({count} + {rows - 1}) div {rows})")
+def _blocks(side: str, rows: int):
+    """Number of blocks of a side: bounded in members and in bytes of items."""
+    size = CLUSTER_BYTES // 2
+    return F.expr(f"greatest(1L, (n_{side} + {rows - 1}) div {rows}, "
+                  f"(bytes_{side} + {size - 1}) div {size})")
 
 
 def _large(rows: DataFrame, cluster_rows: int, num: int, den: int) -> DataFrame:
@@ -343,27 +346,31 @@ def _large(rows: DataFrame, cluster_rows: int, num: int, den: int) -> DataFrame:
     half = max(1, cluster_rows // 2)
     counts = stand.groupBy("pivot").agg(
         F.count_if("linked").alias("n_linked"), F.count_if("ring").alias("n_ring"),
-        F.count_if(~F.col("linked")).alias("n_open"))
+        F.count_if(~F.col("linked")).alias("n_open"),
+        *[F.coalesce(F.sum(F.when(F.col(c), F.length("diff"))), F.lit(0)).alias(f"bytes_{c}")
+          for c in ("linked", "ring")],
+        F.coalesce(F.sum(F.when(~F.col("linked"), 8 * F.col("size"))), F.lit(0))
+        .alias("bytes_open"))
     placed = stand.join(counts, "pivot").withColumn("_h", F.xxhash64("doc"))
-    block = lambda count: F.pmod("_h", _blocks(count, half))
+    block = lambda side: F.pmod("_h", _blocks(side, half))
     through = stand.filter("linked and doc != pivot").select(
         F.col("doc").alias("a"), F.col("pivot").alias("b"))
     # ring against linked: each block of the one meets each block of the other
     near = placed.filter("n_ring > 0 and (linked or ring)").withColumns({
-        "x": F.when(F.col("ring"), F.array(block("n_ring"))).otherwise(
-            F.sequence(F.lit(0).cast("bigint"), _blocks("n_ring", half) - 1)),
+        "x": F.when(F.col("ring"), F.array(block("ring"))).otherwise(
+            F.sequence(F.lit(0).cast("bigint"), _blocks("ring", half) - 1)),
         "y": F.when(F.col("ring"), F.sequence(F.lit(0).cast("bigint"),
-                                              _blocks("n_linked", half) - 1))
-        .otherwise(F.array(block("n_linked")))})
+                                              _blocks("linked", half) - 1))
+        .otherwise(F.array(block("linked")))})
     near = (near.withColumn("x", F.explode("x")).withColumn("y", F.explode("y"))
             .withColumn("role", F.when(F.col("ring"), STORE).otherwise(LINKED))
             .withColumn("items", F.col("diff")))
     # unlinked against unlinked: block i stores, block j > i probes; i = j does both
     far = (placed.filter("not linked").join(rows.select("pivot", "doc", "items"),
                                             ["pivot", "doc"])
-           .withColumn("own", block("n_open"))
+           .withColumn("own", block("open"))
            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                     _blocks("n_open", half) - 1)))
+                                                     _blocks("open", half) - 1)))
            .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other"),
                          "role": F.when(F.col("own") == F.col("other"), BOTH)
                         .when(F.col("own") < F.col("other"), STORE).otherwise(PROBE)}))

@@ -34,7 +34,7 @@ from gondola.llm.frames import TEXT
 SHARD = ("part int, shard int, vocab int, width int, n_tokens bigint, doc_ids array<bigint>, "
          "symbols binary, rules binary, lengths binary")
 _JOINED = 256  # words encoded in one call
-_CACHED = 1_000_000  # words a Python worker remembers; more are encoded again
+_CACHED = 500_000  # words a Python worker remembers; more are encoded again
 _CHUNK = 1 << 21  # bytes of text taken at a time
 _SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())  # ASCII punctuation
 _BUCKETS = 18  # bits of the pair counting table

@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.frames import TEXT, map_text
+from gondola.llm.frames import TEXT, map_text, pieces
 
 LABELLED = 100_000  # labelled rows the classifier is fitted on, at most
 EVIDENCE = 50_000  # words and beginnings with a weight, at most
 TRIGRAMS = 1 << 17  # character trigrams in the model, at most
-_CACHED = 400_000  # chunks a Python worker remembers
+_CACHED = 200_000  # chunks a Python worker remembers
 _BEAM = 48  # lattice states kept per sign
 
 # fixed values: signs and the letters they are used for
@@ -56,7 +56,7 @@ _SPACED = re.compile(rb"(?<!\S)[a-zA-Z0-9@$!+|](?:[ \t][a-zA-Z0-9@$!+|]){3,}(?!\
 def trigram_counts(docs: DataFrame) -> dict[str, int]:
     """Letter trigrams of all words of all documents; a blank stands at word ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2000):
             words: Counter = Counter()
             for text in batch.column(0):
                 words.update((text.as_py() or b"").lower().split())
@@ -238,7 +238,7 @@ def _mark_counts(rows: DataFrame, shared, wanted) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chars, known = shared.value.reader(), {}
         only = wanted.value if wanted is not None else None
-        for batch in batches:
+        for batch in pieces(batches, 1000):
             counts = Counter(), Counter()
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = {m for ws in text_words(text.as_py() or b"", chars, known)
