@@ -118,8 +118,9 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
     """
     name = targets.columns[0]
     marked = targets.select(F.col(name).alias("_id")).filter("_id is not null").distinct()
+    marked = marked.withColumn("_target", F.lit(True)).hint("merge")  # one plan at every size
     rows = (docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("binary").alias(TEXT))
-            .join(marked.withColumn("_target", F.lit(True)), F.col("_doc") == F.col("_id"), "left")
+            .join(marked, F.col("_doc") == F.col("_id"), "left")
             .select("_doc", F.coalesce("_target", F.lit(False)).alias("_target"), TEXT))
     shared = docs.sparkSession.sparkContext.broadcast(fit(rows, vocab))
 
