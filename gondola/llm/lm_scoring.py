@@ -1,19 +1,28 @@
 """Cross-entropy difference scores from matched target and background n-gram models.
 
-Both models are word bigram models over one shared vocabulary: the most frequent words
-of the whole corpus; every other word is the unknown word. The background is counted
-over all documents, the target over the documents marked as such. Counts are matched:
-both are smoothed with the same weights over the same vocabulary, so a word that neither
+Both models are word bigram models over one vocabulary: all words that come at least
+``least`` times in the whole corpus; rarer ones are the unknown word. The background is
+counted over all documents, the target over the documents marked as such. The same words
+and bigrams are kept in both and smoothed with the same weights, so a word that neither
 model knows makes no difference. A document's score is the mean over its tokens of
 background loss minus target loss: positive where the target explains the text better.
 
-Counts are partial sums per task before any shuffle. With V words the model holds at
-most (V + 2)^2 bigrams, whatever the corpus: it is one dense table of differences
-(``VOCAB`` = 2046 words: 16.8 MB), so scoring needs a broadcast of that size and no shuffle.
+Words and bigrams are 64-bit hashes. Counts are partial sums per batch before any
+shuffle, and tables of as many rows as the corpus has n-grams above the floor. The loss
+difference of a text is a sum over its n-grams: one value per word (its own unigram part,
+and what it takes as context), one more per kept bigram. So each document's distinct
+n-grams are joined with one table of values. N-grams with a share of at least 1 in
+``HOT`` of all tokens, at most 2 * HOT of them, are broadcast and never shuffled: no key
+of the join is hot. Values are whole multiples of 1 / ``UNIT``, so sums are exact.
+
+With ``vocab``, the models hold the most frequent words only, as one dense table of
+differences of (V + 2)^2 bigrams that is broadcast.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,10 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.frames import TEXT, map_text
+from gondola.llm.frames import TEXT, map_text, pieces, stored
 
-VOCAB = 2046  # words of the shared vocabulary, besides the unknown word and the text border
 UNKNOWN, BORDER = 0, 1
+HOT = 1 << 18  # n-grams of a larger share of the tokens than 1 in HOT are broadcast
+UNIT = 1 << 20
+_BACKOFF, _FLOOR = 20.0, 0.5
+_CACHED = 200_000  # words a Python worker remembers
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -47,7 +59,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def vocabulary(rows: DataFrame, size: int = VOCAB) -> dict[bytes, int]:
+def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
     top = word_counts(rows).orderBy(F.desc("n"), "word").limit(size).collect()
     return {bytes(r["word"]): k + 2 for k, r in enumerate(top)}
 
@@ -85,7 +97,8 @@ def bigram_counts(rows: DataFrame, ids: dict[bytes, int]) -> DataFrame:
             .agg(F.sum("target").alias("target"), F.sum("background").alias("background")))
 
 
-def log_probabilities(counts: np.ndarray, backoff: float = 20.0, floor: float = 0.5) -> np.ndarray:
+def log_probabilities(counts: np.ndarray, backoff: float = _BACKOFF,
+                      floor: float = _FLOOR) -> np.ndarray:
     """log p(w | v) of a (V, V) count table: bigram, smoothed by unigram, smoothed by uniform."""
     counts = counts.astype(np.float64)
     single = counts.sum(0)
@@ -93,7 +106,7 @@ def log_probabilities(counts: np.ndarray, backoff: float = 20.0, floor: float =
     return np.log((counts + backoff * single) / (counts.sum(1, keepdims=True) + backoff))
 
 
-def fit(rows: DataFrame, vocab: int = VOCAB) -> tuple[dict[bytes, int], np.ndarray]:
+def fit(rows: DataFrame, vocab: int) -> tuple[dict[bytes, int], np.ndarray]:
     """Shared vocabulary and table of loss differences (background loss - target loss)."""
     ids = vocabulary(rows, vocab)
     width = len(ids) + 2
@@ -105,8 +118,181 @@ def fit(rows: DataFrame, vocab: int = VOCAB) -> tuple[dict[bytes, int], np.ndarr
     return ids, (target - background).astype(np.float32).ravel()
 
 
+class WordKeys(dict):
+    """Odd 64-bit hashes of words; as BORDER is 1 and hashes end in 11, they never meet."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _CACHED:
+            self.clear()
+        key = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") | 3
+        self[word] = key
+        return key
+
+    def line(self, text: bytes | None) -> np.ndarray:
+        """Keys of a text from border to border; empty for a text without words."""
+        found = words(text)
+        return (np.array([BORDER, *[self[w] for w in found], BORDER], np.uint64) if found
+                else np.empty(0, np.uint64))
+
+
+def gram_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One even 64-bit hash per bigram of word keys; words keep their odd keys."""
+    x = (v * np.uint64(0x9E3779B97F4A7C15)) ^ (w + (v >> np.uint64(29)))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) & ~np.uint64(1)
+
+
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """(v, w, target, background): bigrams; with v = 0, words; with v = w = 0, all tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = WordKeys()
+        for batch in pieces(batches, 1000):
+            lines = [keys.line(text.as_py()) for text in batch.column(1)]
+            lengths = [max(0, len(line) - 1) for line in lines]
+            marked = np.repeat(np.array(batch.column(0).to_pylist(), bool), lengths)
+            if not len(marked):
+                continue
+            v = np.concatenate([line[:-1] for line in lines])
+            w = np.concatenate([line[1:] for line in lines])
+            none = np.zeros(1, np.uint64)
+            columns = [[none], [none], [[marked.sum()]], [[len(marked)]]]
+            for key, left in ((gram_keys(v, w), v), (w, None)):
+                _, first, place = np.unique(key, return_index=True, return_inverse=True)
+                columns[0].append(np.zeros(len(first), np.uint64) if left is None else left[first])
+                columns[1].append(w[first])
+                columns[2].append(np.bincount(place[marked], minlength=len(first)))
+                columns[3].append(np.bincount(place, minlength=len(first)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c).astype(np.uint64).view(np.int64)) for c in columns],
+                ["v", "w", "target", "background"])
+
+    return (rows.select("_target", TEXT)
+            .mapInArrow(run, "v bigint, w bigint, target bigint, background bigint")
+            .groupBy("v", "w").agg(F.sum("target").alias("target"),
+                                   F.sum("background").alias("background")))
+
+
+def _keyed(pairs: DataFrame) -> DataFrame:
+    """(key, bonus, background) from (v, w, bonus, background)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram_keys(v, w).view(np.int64)), *batch.columns[2:]],
+                ["key", "value", "background"])
+
+    return (pairs.select("v", "w", "value", "background")
+            .mapInArrow(run, "key bigint, value double, background bigint"))
+
+
+def gram_values(rows: DataFrame, least: int, hot: int) -> tuple[DataFrame, float, int]:
+    """(key, value, background) of all kept n-grams; value of the unknown word; all tokens.
+
+    p(w | v) = (c(v, w) + B p(w)) / (c(v) + B), where c(v, w) is 0 below the floor, c(v)
+    their sum and p(w) the smoothed share of w. The log ratio of both models is then the
+    ratio of p(w), plus that of c(v) + B, plus a bonus where the bigram is kept.
+    """
+    kept = stored(gram_counts(rows).filter((F.col("background") >= least)
+                                           | (F.col("v") == 0) & (F.col("w") == 0)), "lm-grams")
+    single = kept.filter("v = 0 and w <> 0")
+    pairs = kept.filter("v <> 0")
+    every = kept.filter("v = 0 and w = 0").agg(F.sum("target"), F.sum("background")).first()
+    known = single.agg(F.count(F.lit(1)), F.sum("target"), F.sum("background")).first()
+    size = known[0] + 1
+    totals = [every[k] or 0 for k in (0, 1)]
+    share = lambda n, k: (n + _FLOOR) / (totals[k] + _FLOOR * size)
+    unknown = math.log(share(totals[0] - (known[1] or 0), 0)
+                       / share(totals[1] - (known[2] or 0), 1))
+    sides = ("target", "background")
+    single = single.select("w", *sides, *[share(F.col(c), k).alias(f"_p{k}")
+                                          for k, c in enumerate(sides)])
+    ratio = F.log(F.col("_p0") / F.col("_p1"))
+    context = (pairs.groupBy(F.col("v").alias("_v"))
+               .agg(F.sum("target").alias("_c0"), F.sum("background").alias("_c1")))
+    of_words = (single.join(context, F.col("w") == F.col("_v"), "left")
+                .select(F.col("w").alias("key"),
+                        (ratio - unknown + F.coalesce(
+                            F.log((F.col("_c1") + _BACKOFF) / (F.col("_c0") + _BACKOFF)),
+                            F.lit(0.0))).alias("value"), "background"))
+    smooth = single.select(F.col("w").alias("_w"), "_p0", "_p1",
+                           (F.col("background") * hot >= totals[1]).alias("_hot"))
+    bonus = (F.log((F.col("target") + _BACKOFF * F.col("_p0"))
+                   / (F.col("background") + _BACKOFF * F.col("_p1"))) - ratio).alias("value")
+    often = F.broadcast(smooth.filter("_hot"))  # at most ``hot`` words
+    joined = [pairs.join(often, F.col("w") == F.col("_w")),
+              pairs.join(often.select(F.col("_w")), F.col("w") == F.col("_w"), "left_anti")
+              .join(smooth.filter("not _hot").hint("merge"), F.col("w") == F.col("_w"))]
+    of_pairs = [_keyed(j.select("v", "w", bonus, "background")) for j in joined]
+    values = of_words.unionByName(of_pairs[0]).unionByName(of_pairs[1]).select(
+        "key", F.round(F.col("value") * UNIT).cast("bigint").alias("value"), "background")
+    return stored(values, "lm-values"), unknown, totals[1]
+
+
+def _grams(keys: WordKeys, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a text and how often each comes."""
+    line = keys.line(text)
+    return np.unique(np.concatenate([line[1:], gram_keys(line[:-1], line[1:])]),
+                     return_counts=True)
+
+
+def _scored(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, least: int,
+            hot: int) -> DataFrame:
+    values, unknown, tokens = gram_values(rows, least, hot)
+    common = (values.filter(F.col("background") * hot >= tokens)
+              .select("key", "value").toArrow())
+    keys = common["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (keys[order], common["value"].to_numpy()[order]))
+    rare = values.filter(F.col("background") * hot < tokens).select("key", "value")
+    uid = F.xxhash64(F.col(doc_id), F.col(text))
+    parts = docs.select(F.col(doc_id), uid.alias("_uid"), F.col(text).alias(TEXT))
+
+    def split(known: WordKeys, value: bytes | None):
+        grams, counts = _grams(known, value)
+        often, worth = shared.value
+        at = np.minimum(np.searchsorted(often, grams), max(0, len(often) - 1))
+        hit = often[at] == grams if len(often) else np.zeros(len(grams), bool)
+        return grams[~hit], counts[~hit], int((worth[at[hit]] * counts[hit]).sum())
+
+    def heads():
+        known = WordKeys()
+
+        def one(value: bytes | None) -> tuple:
+            n = len(words(value))
+            return (n + 1, split(known, value)[2]) if n else (0, 0)
+        return one
+
+    def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordKeys()
+        for batch in pieces(batches, 200):
+            found = [split(known, t.as_py()) for t in batch.column(1)]
+            uids = np.repeat(batch.column(0).to_numpy(), [len(f[0]) for f in found])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([f[0] for f in found]).view(np.int64)), pa.array(uids),
+                 pa.array(np.concatenate([f[1] for f in found]).astype(np.int32))],
+                ["key", "_uid", "n"])
+
+    head = map_text(parts, "n_tokens bigint, _sum bigint", heads, TEXT, [doc_id, "_uid"])
+    tail = (parts.select("_uid", F.col(TEXT).cast("binary").alias(TEXT))
+            .mapInArrow(tails, "key bigint, _uid bigint, n int")
+            .join(rare.hint("merge"), "key")
+            .groupBy(F.col("_uid").alias("_t")).agg(F.sum(F.col("n") * F.col("value")).alias("_rest")))
+    # rows of the same id and text are one uid: each has its even part of the sum
+    copies = head.groupBy(F.col("_uid").alias("_u")).agg(F.count(F.lit(1)).alias("_copies"))
+    rest = (copies.join(tail, F.col("_u") == F.col("_t"), "left")
+            .select("_u", F.expr("coalesce(_rest, 0) div _copies").alias("_rest")))
+    total = F.col("_sum") + F.col("_rest")
+    return (head.join(rest, F.col("_uid") == F.col("_u"))
+            .select(doc_id, "n_tokens", F.when(F.col("n_tokens") > 0, F.lit(unknown) + total
+                                               / (F.lit(float(UNIT)) * F.col("n_tokens")))
+                    .otherwise(F.lit(0.0)).alias("score")))
+
+
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id",
-                             text: str = "text", vocab: int = VOCAB) -> DataFrame:
+                             text: str = "text", vocab: int | None = None, least: int = 3,
+                             hot: int = HOT) -> DataFrame:
     """Per row: ``doc_id``, ``n_tokens`` and ``score``, the mean loss difference per token.
 
     ``targets`` is a one-column table of target document ids, of any size; it is joined
@@ -115,6 +301,7 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
     0. Without targets, or with all documents as targets, scores hardly differ from 0.
     Rows of one id are all targets or none; a null id is never a target; ids that
     repeat in ``targets`` count once. No documents give no rows. Other columns are ignored.
+    ``least`` is the count floor of words and bigrams, the same for every corpus.
     """
     name = targets.columns[0]
     marked = targets.select(F.col(name).alias("_id")).filter("_id is not null").distinct()
@@ -122,6 +309,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
     rows = (docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("binary").alias(TEXT))
             .join(marked, F.col("_doc") == F.col("_id"), "left")
             .select("_doc", F.coalesce("_target", F.lit(False)).alias("_target"), TEXT))
+    if vocab is None:
+        return _scored(docs, rows, doc_id, text, least, hot)
     shared = docs.sparkSession.sparkContext.broadcast(fit(rows, vocab))
 
     def scorer():
