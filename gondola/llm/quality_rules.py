@@ -83,8 +83,13 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def limits(sketches: DataFrame, keys: list[str], reach: int) -> DataFrame:
-    """(keys, measure, docs, low, high) from the quartiles of each sketch."""
+def limits(sketches: DataFrame, keys: list[str], reach: int,
+           tail: int | None = None) -> DataFrame:
+    """(keys, measure, docs, low, high) from the quartiles of each sketch.
+
+    With ``tail``, the high limit of a share is its ``tail`` hundredth quantile: the least
+    bin that so many of the group's documents do not exceed. Bins that tie with it stay.
+    """
     group = Window.partitionBy(*keys, "measure")
     running = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (sketches.withColumn("_upto", F.sum("n").over(running))
@@ -92,14 +97,18 @@ def limits(sketches: DataFrame, keys: list[str], reach: int) -> DataFrame:
     quartile = lambda q: F.min(F.when(F.col("_upto") * 4 >= F.col("_total") * q, F.col("bin")))
     found = ranked.groupBy(*keys, "measure").agg(
         F.max("_total").alias("docs"), quartile(1).alias("q1"), quartile(2).alias("q2"),
-        quartile(3).alias("q3"))
+        quartile(3).alias("q3"), *([] if tail is None else [
+            F.min(F.when(F.col("_upto") * 100 >= F.col("_total") * tail, F.col("bin")))
+            .alias("_tail")]))
     least = F.expr("q2 div 8")
     for name, value in SHARES.items():
         least = F.when(F.col("measure") == name, F.lit(value)).otherwise(least)
     spread = F.greatest(F.col("q3") - F.col("q1"), least, F.lit(1))
+    high = F.col("q3") + reach * spread
+    if tail is not None:
+        high = F.when(F.col("measure").isin(*SHARES), F.col("_tail")).otherwise(high)
     return found.select(*keys, "measure", "docs",
-                        (F.col("q1") - reach * spread).alias("low"),
-                        (F.col("q3") + reach * spread).alias("high"))
+                        (F.col("q1") - reach * spread).alias("low"), high.alias("high"))
 
 
 def _wide(found: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -112,7 +121,8 @@ def _wide(found: DataFrame, keys: list[str], prefix: str) -> DataFrame:
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   lang: str = "lang", source: str = "source", least: int = 200,
-                  reach: int = 6, min_words: int = 50) -> DataFrame:
+                  reach: int = 6, min_words: int = 50,
+                  tail: int | None = None) -> DataFrame:
     """Per row: counts, ``base_failed``, and ``kept`` by the adaptive limits.
 
     ``base_failed``: fewer than ``min_words`` words, or more than half of them in
@@ -121,7 +131,9 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     from documents that pass the base, so short and broken ones do not move them. Null
     languages and sources are groups of their own. Null and empty texts fail the base;
     repeated rows each count and give a row. No documents give no rows. Other columns
-    are ignored.
+    are ignored. With ``tail``, shares are limited by that quantile of the group (see
+    ``limits``), no fixed spread decides, and ``over_<measure>`` tells the rules that a
+    document of the base breaks.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(lang).cast("string").alias("_lang"),
                        F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
@@ -131,9 +143,9 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     measured = stored(counted.withColumns(measures()), "quality")
     fine = stored(sketch(measured.filter("not base_failed")), "quality-sketch")
     by_lang = merge(fine, ["_lang"])
-    g = _wide(limits(fine, ["_lang", "_source"], reach), ["_lang", "_source"], "g")
-    l = _wide(limits(by_lang, ["_lang"], reach), ["_lang"], "l")  # noqa: E741
-    a = _wide(limits(merge(by_lang, []), [], reach), [], "a")
+    g = _wide(limits(fine, ["_lang", "_source"], reach, tail), ["_lang", "_source"], "g")
+    l = _wide(limits(by_lang, ["_lang"], reach, tail), ["_lang"], "l")  # noqa: E741
+    a = _wide(limits(merge(by_lang, []), [], reach, tail), [], "a")
     joined = (measured
               .join(g, F.col("_lang").eqNullSafe(F.col("g_lang"))
                     & F.col("_source").eqNullSafe(F.col("g_source")), "left")
@@ -145,11 +157,14 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return (F.when(F.col("g_docs") >= least, F.col(f"g{name}"))
                 .when(F.col("l_docs") >= least, F.col(f"l{name}")).otherwise(F.col(f"a{name}")))
 
+    over = {m: F.col(m) > limit(m, "high") for m in SHARES}
+    over |= {m: ~F.col(m).between(limit(m, "low"), limit(m, "high")) for m in SIZES}
     good = ~F.col("base_failed")
-    for m in SHARES:
-        good = good & (F.col(m) <= limit(m, "high"))
-    for m in SIZES:
-        good = good & F.col(m).between(limit(m, "low"), limit(m, "high"))
+    for broken in over.values():
+        good = good & ~broken
+    rules = [] if tail is None else [
+        F.coalesce(~F.col("base_failed") & broken, F.lit(False)).alias(f"over_{m}")
+        for m, broken in over.items()]
     return joined.select(F.col("_id").alias(doc_id), "n_words", "word_chars", "n_symbols",
                          "n_dup_lines", "n_repeat_words", "base_failed",
-                         F.coalesce(good, F.lit(False)).alias("kept"))
+                         F.coalesce(good, F.lit(False)).alias("kept"), *rules)

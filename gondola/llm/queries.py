@@ -208,6 +208,29 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def _tails() -> str:
+    """The SQL of op4_quality_rules with shares limited by their 99 % quantile, rule by rule."""
+    sql = _SQL["op4_quality_rules"]
+    for old, new in {
+        "q3 + 6 * s high": "CASE m WHEN 'word_size' THEN q3 + 6 * s ELSE q99 END high",
+        "min(v) FILTER (4 * u >= 3 * n) q3":
+            "min(v) FILTER (4 * u >= 3 * n) q3, min(v) FILTER (100 * u >= 99 * n) q99",
+        "judged AS (SELECT c.doc_id, ": "judged AS (SELECT c.doc_id, " + ", ".join(
+            f"bool_or(c.m = '{m}' AND (v > high{' OR v < low' if m == 'word_size' else ''})) o_{m}"
+            for m in _BINS) + ", ",
+        "coalesce(good, false) kept": "coalesce(good, false) kept, " + ", ".join(
+            f"NOT base_failed AND coalesce(o_{m}, false) over_{m}" for m in _BINS),
+    }.items():
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+@query("op4_quality_tails", _tails())
+def op4_quality_tails(spark, sf_dir):
+    return quality_rules.quality_rules(read(spark, sf_dir, "documents"), tail=99)
+
+
 @query("op5_lm_scoring")
 def op5_lm_scoring(spark, sf_dir):
     good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
