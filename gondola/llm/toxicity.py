@@ -30,11 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.frames import TEXT, map_text, pieces
+from gondola.llm.frames import TEXT, map_text, pieces, stored
 
 LABELLED = 100_000  # labelled rows the classifier is fitted on, at most
-EVIDENCE = 50_000  # words and beginnings with a weight, at most
-TRIGRAMS = 1 << 17  # character trigrams in the model, at most
+TRIGRAM_LEAST = 3  # rarer character trigrams count in their pairs only
 _CACHED = 200_000  # chunks a Python worker remembers
 _BEAM = 48  # lattice states kept per sign
 
@@ -53,8 +52,11 @@ _SPACED = re.compile(rb"(?<!\S)[a-zA-Z0-9@$!+|](?:[ \t][a-zA-Z0-9@$!+|]){3,}(?!\
 
 # ---- character model ------------------------------------------------------
 
-def trigram_counts(docs: DataFrame) -> dict[str, int]:
-    """Letter trigrams of all words of all documents; a blank stands at word ends."""
+def trigram_counts(docs: DataFrame, least: int = TRIGRAM_LEAST) -> tuple[dict[str, int], ...]:
+    """Letter trigrams of all words of all documents; a blank stands at word ends.
+
+    Those that come ``least`` times, and of all trigrams the counts of last and of first pairs.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 2000):
             words: Counter = Counter()
@@ -77,25 +79,35 @@ def trigram_counts(docs: DataFrame) -> dict[str, int]:
                 np.minimum(owner, len(kept))]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["key", "n"])
 
-    top = (docs.select(F.col(TEXT)).mapInArrow(run, "key bigint, n bigint").groupBy("key")
-           .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(TRIGRAMS).collect())
+    every = stored(docs.select(F.col(TEXT)).mapInArrow(run, "key bigint, n bigint")
+                   .groupBy("key").agg(F.sum("n").alias("n")), "trigrams")
     sign = lambda k, shift: chr(k >> shift & 0x1FFFFF)
-    return {sign(r["key"], 42) + sign(r["key"], 21) + sign(r["key"], 0): r["n"] for r in top}
+
+    def pairs(key: str) -> dict[str, int]:
+        found = every.groupBy(F.expr(key).alias("key")).agg(F.sum("n").alias("n")).collect()
+        return {sign(r["key"], 21) + sign(r["key"], 0): r["n"] for r in found}
+
+    return ({sign(r["key"], 42) + sign(r["key"], 21) + sign(r["key"], 0): r["n"]
+             for r in every.filter(F.col("n") >= least).collect()},
+            pairs(f"key & {(1 << 42) - 1}"), pairs("shiftright(key, 21)"))
 
 
 class CharModel:
     """Interpolated trigram probabilities, as logarithms."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[str, int], two: dict[str, int] | None = None,
+                 after: dict[str, int] | None = None):
+        """``two`` and ``after`` count last and first pairs, by default those of ``counts``."""
         self.three = counts
-        self.two, self.one, self.after = Counter(), Counter(), Counter()
-        for gram, n in counts.items():
+        self.two, self.after = Counter(two), Counter(after)
+        for gram, n in counts.items() if two is None else ():
             self.two[gram[1:]] += n
-            self.one[gram[2]] += n
             self.after[gram[:2]] += n
-        self.before, self.total = Counter(), sum(self.one.values())
+        self.before, self.one = Counter(), Counter()
         for gram, n in self.two.items():
             self.before[gram[0]] += n
+            self.one[gram[1]] += n
+        self.total = sum(self.one.values())
         self.known: dict[str, float] = {}
 
     def cost(self, context: str, sign: str) -> float:
@@ -189,9 +201,11 @@ class Model:
     trigrams: dict[str, int]
     weights: dict[str, float] = field(default_factory=dict)
     scale: list[float] = field(default_factory=lambda: [0.0] * 4)
+    two: dict[str, int] | None = None
+    after: dict[str, int] | None = None
 
     def reader(self) -> CharModel:
-        return CharModel(self.trigrams)
+        return CharModel(self.trigrams, self.two, self.after)
 
 
 class Scorer:
@@ -276,11 +290,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     Evidence is counted on two thirds of the sampled labels, by a hash of the id, and
     the logistic model is fitted on the rest. Rows without label, id or document say
-    nothing. Without a toxic label, or without any, the score is the prior.
+    nothing. Without a toxic label, or without any, the score is the prior. Every mark
+    of at least ``least`` toxic documents is weighed: only the sample bounds their number.
     """
     sc = docs.sparkSession.sparkContext
     source = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("binary").alias(TEXT))
-    model = Model(trigram_counts(source))
+    trigrams, two, after = trigram_counts(source)
+    model = Model(trigrams, two=two, after=after)
     usable = F.lit(True) if usable is None else usable
     chosen = (labels.filter(usable).select(F.col(doc_id).alias("_id"), F.col(label).alias("_y"))
               .filter("_id is not null and _y is not null").distinct()
@@ -293,8 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                                            F.sum((F.col("_y") != 1).cast("long"))).first()
     toxic, other = (n or 0 for n in sizes)
     names = [r["mark"] for r in _mark_counts(rows.filter("_y = 1"), shared, None)
-             .filter(F.col("toxic") >= least).orderBy(F.desc("toxic"), "mark")
-             .limit(4 * EVIDENCE).collect()]
+             .filter(F.col("toxic") >= least).collect()]
     wanted = sc.broadcast(frozenset(names))
     weights = {}
     for r in _mark_counts(rows, shared, wanted).collect():
@@ -303,8 +318,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                   - 1.64 * math.sqrt(1 / a + 1 / b))
         if weight > 0.5:
             weights[r["mark"]] = weight
-    best = sorted(weights, key=lambda m: (-weights[m], m))[:EVIDENCE]
-    model.weights = {m: weights[m] for m in best}
+    model.weights = weights
     weighted = sc.broadcast(model)
 
     def evidence():
