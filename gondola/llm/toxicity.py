@@ -46,8 +46,11 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _SIGNS = "".join(map(re.escape, LOOKALIKE))
 _MIXED = re.compile(rf"[^\W\d_][{_SIGNS}]|[{_SIGNS}][^\W\d_]")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
-_APART = re.compile(rf"[\w{_SIGNS}](?:[._*~-]+[\w{_SIGNS}]){{3,}}")
-_SPACED = re.compile(rb"(?<!\S)[a-zA-Z0-9@$!+|](?:[ \t][a-zA-Z0-9@$!+|]){3,}(?!\S)")
+_APART = re.compile(rf"[\w{_SIGNS}](?:[._*~-]+[\w{_SIGNS}]){{2,}}")
+_SIGN, _BETWEEN = rf"(?:[^\W_]|[{_SIGNS}])", rf"[\s{re.escape(_GAPS)}]"
+# single signs with white space, and any other gaps, between
+_SPACED = re.compile(rf"(?<!\S){_SIGN}(?:{_BETWEEN}+{_SIGN}){{2,}}(?!\S)")
+_HALF = 5  # bytes of a piece that may be one half of a word, at most
 
 
 # ---- character model ------------------------------------------------------
@@ -185,15 +188,29 @@ def chunk_words(chunk: str, model: CharModel) -> list[str]:
     return words
 
 
+def text_pieces(text: bytes) -> set[bytes]:
+    """Distinct pieces of the text, and short neighbours joined: a word may be split once."""
+    chunks = text.split()
+    out = set(chunks)
+    out.update(a + b for a, b in zip(chunks, chunks[1:])
+               if len(a) <= _HALF and len(b) <= _HALF and len(a) + len(b) > 3)
+    return out
+
+
+def spaced_words(text: bytes, model: CharModel) -> Iterator[list[str]]:
+    """Restored words of every run of letters that blanks, line ends or gaps set apart."""
+    for span in set(_SPACED.findall(text.decode(errors="replace"))):
+        yield _LETTERS.findall(restore(span, model))
+
+
 def text_words(text: bytes, model: CharModel, known: dict[bytes, list[str]]) -> Iterator[list[str]]:
     """Words of every distinct piece of the text, and of letters set apart by blanks."""
-    for chunk in set(text.split()):
+    for chunk in text_pieces(text):
         words = known.get(chunk)
         if words is None:
             words = known[chunk] = chunk_words(chunk.decode(errors="replace"), model)
         yield words
-    for span in _SPACED.findall(text):
-        yield _LETTERS.findall(restore(span.decode(), model))
+    yield from spaced_words(text, model)
 
 
 @dataclass
@@ -229,15 +246,15 @@ class Scorer:
             self.known.clear()
         found: set = set()
         known = self.known
-        for chunk in set((text or b"").split()):
+        for chunk in text_pieces(text or b""):
             hits = known.get(chunk)
             if hits is None:
                 hits = known[chunk] = self._found(
                     chunk_words(chunk.decode(errors="replace"), self.chars))
             if hits:
                 found.update(hits)
-        for span in _SPACED.findall(text or b""):
-            found.update(self._found(_LETTERS.findall(restore(span.decode(), self.chars))))
+        for words in spaced_words(text or b"", self.chars):
+            found.update(self._found(words))
         top = sorted((w for w, _ in found), reverse=True)[:2] + [0.0, 0.0]
         return [top[0], top[1], math.log1p(len(found))]
 

@@ -33,3 +33,28 @@ def test_marks_of_toxic_documents_are_all_weighed(spark):
     labels = spark.createDataFrame([(k, int(k < 20)) for k in range(120)], "doc_id bigint, toxic int")
     weights = toxicity.fit(df, labels).weights
     assert set(words) <= set(weights) and len(weights) > 50_000
+
+
+def test_letters_set_apart_are_read():
+    chars = char_model("the idiot is so blöd and a sot with some other plain words élan")
+    for text in ("b l ö d", "b  l  ö  d", "b\nl\nö\nd", "i - d - i - o - t", "¡ s o t", "€ l a n"):
+        assert toxicity._SPACED.search(text), text
+    found = lambda text: {w for ws in toxicity.text_words(text.encode(), chars, {})
+                          for w in ws}
+    assert "blöd" in found("du bist b l ö d heute") and "blöd" in found("b  l\nö  d")
+    assert "sot" in found("un s o t ici") and "idiot" in found("you idi ot there")
+    assert "idiot" in found("so i - d - i - o - t") and "sot" in found("s.o.t")
+    assert toxicity._SPACED.search("plain words of a b day") is None
+
+
+def test_accented_and_spaced_insults_score_as_toxic(spark):
+    rows = [(k, f"wir gehen heute w{k} " + ("blöd und dämlich" if k % 4 == 0 else "nach hause"))
+            for k in range(200)]
+    rows += [(1000, "wir gehen b l ö d heute"), (1001, "wir gehen b  l  ö  d heute"),
+             (1002, "wir gehen bl öd heute"), (1003, "wir gehen nach hause")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(200)],
+                                   "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r["predicted"]
+           for r in toxicity.score(df, toxicity.fit(df, labels), keep=["doc_id"]).collect()}
+    assert [got[k] for k in (1000, 1001, 1002, 1003)] == [1, 1, 1, 0]
