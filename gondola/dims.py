@@ -37,6 +37,8 @@ CATEGORY_MULTI = {
     "bebidas": ["Bebidas", "Bebidas Não Alcoólicas"],
     "bebidas lácteas": ["Bebidas", "Laticínios"],
 }
+# --- fixed values: documented two-level hierarchy, parent and children -------------
+CATEGORY_CHILDREN = {"Laticínios": ["Leites", "Queijos", "Iogurtes", "Derivados"]}
 
 # --- fixed values: brand aliases and legal suffixes ----------------------------
 BRAND_ALIASES = {

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gondola import dims
 from gondola.functions import ean, numbers, scoring, text, units
 from gondola.operators.ordered import best_row, descending, micros, nulls_last
 
@@ -98,3 +99,20 @@ def dedup_summary(kept: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
         after.alias("records_output"),
         F.coalesce(numbers.round_half_up(removed / F.nullif(after + removed, F.lit(0)), 4),
                    F.lit(0.0)).alias("deduplication_rate"))
+
+
+def category_levels(df: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep, parent, child): every standard of a raw category in the two-level dimension.
+
+    A standard is a parent. The child is the one of its children that the raw category
+    names, by equi-join with the (parent, child) dimension; NULL where it names none.
+    """
+    rows = [F.struct(F.lit(parent).alias("_parent"), F.lit(child).alias("child"),
+                     F.lit(child.lower()).alias("_child"))
+            for parent, children in dims.CATEGORY_CHILDREN.items() for child in children]
+    dimension = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    standards = df.select(*keep, text.category_key(F.col("category")).alias("_key"),
+                          F.explode(text.category_multi(F.col("category"))).alias("parent"))
+    same = (F.col("parent") == F.col("_parent")) & (F.col("_key") == F.col("_child"))
+    return (standards.join(F.broadcast(dimension), same, "left")
+            .select(*keep, "parent", "child"))

@@ -352,6 +352,22 @@ def silver_category_multi(lake: Lake):
                               .alias("standard"))
 
 
+_CHILDREN = ", ".join(f"('{parent}', '{child}')" for parent, children
+                      in dims.CATEGORY_CHILDREN.items() for child in children)
+
+
+@query("silver_category_levels", f"""
+SELECT record_id, s.standard AS parent, d.child
+FROM (SELECT record_id, lower(trim(c.category)) AS k,
+       coalesce(m.standard, c.category_normalized) AS standard
+      FROM cleaned c LEFT JOIN (VALUES {_MULTI}) AS m(raw, standard)
+       ON lower(trim(c.category)) = m.raw) s
+LEFT JOIN (VALUES {_CHILDREN}) AS d(parent, child)
+ ON s.standard = d.parent AND s.k = lower(d.child)""")
+def silver_category_levels(lake: Lake):
+    return silver.category_levels(lake.silver, ["record_id"])
+
+
 @query("silver_change_counts", """
 SELECT market, count(*) FILTER (WHERE product_name IS DISTINCT FROM product_name_normalized)
  AS product_names_updated, count(price_normalized) AS prices_validated,
