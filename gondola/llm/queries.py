@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import decontaminate as wm
-from gondola.llm import (jaccard_join, line_dedup, lm_scoring, mixing, preference, quality_rules,
-                         repair, toxicity, warc)
+from gondola.llm import (centroids, jaccard_join, line_dedup, lm_scoring, mixing, preference,
+                         quality_rules, repair, token_counts, toxicity, warc)
 from gondola.llm.frames import read
 from gondola.session import fresh_path
 
@@ -275,3 +275,43 @@ def op10_preference_format(spark, sf_dir):
     spans = lambda c: F.array_join(F.transform(c, lambda m: F.concat(
         m["start"].cast("string"), F.lit("+"), m["length"].cast("string"))), ",")
     return out.withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
+
+
+def _rounds(k: int, dims: int, rounds: int) -> str:
+    """Assignment and new centroids of every round, then the last assignment."""
+    near = """a{r} AS MATERIALIZED (SELECT vec_id, any_value(v) v, min(d) d, arg_min(j, d * {k} + j) j
+  FROM (SELECT vec_id, v, j, list_sum(list_transform(range(1, {m} + 1),
+          lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT d FROM v, c{r}) GROUP BY vec_id)"""
+    step = """,
+c{s} AS MATERIALIZED (SELECT o.j, coalesce(z.c, o.c) c FROM c{r} o LEFT JOIN (
+  SELECT j, list((t - (t % n + n) % n) // n ORDER BY i) c
+  FROM (SELECT j, i, sum(x)::BIGINT t, count(*) n
+        FROM (SELECT j, unnest(v) x, unnest(range({m})) i FROM a{r}) GROUP BY j, i)
+  GROUP BY j) z USING (j)),
+"""
+    parts = []
+    for r in range(rounds):
+        parts += [near.format(r=r, k=k, m=dims), step.format(r=r, s=r + 1, m=dims)]
+    return "".join(parts) + near.format(r=rounds, k=k, m=dims)
+
+
+@query("op12_centroid_clustering", f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) v
+  FROM embeddings WHERE len(embedding) = 64
+   AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 j, v c
+  FROM (SELECT sha256('1:' || vec_id) h, v FROM v ORDER BY h LIMIT 16)),
+{_rounds(16, 64, 3)},
+s AS (SELECT j, sum(d)::BIGINT t FROM a3 GROUP BY j)
+SELECT vec_id, j::INT AS cluster, d AS distance, t cluster_inertia,
+       (SELECT sum(t)::BIGINT FROM s) inertia, sha256(array_to_string(c, ',')) centroid_sha256
+FROM a3 JOIN s USING (j) JOIN c3 USING (j)""")
+def op12_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"),
+                                     tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
