@@ -20,9 +20,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, so that it can be removed when it is read no more."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``stored_at`` has written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import decontaminate as wm
-from gondola.llm import (centroids, jaccard_join, line_dedup, lm_scoring, mixing, preference,
+from gondola.llm import (centroids, jaccard_join, line_dedup, lm_scoring, mixing, phrases, preference,
                          quality_rules, repair, token_counts, toxicity, warc)
 from gondola.llm.frames import read
 from gondola.session import fresh_path
@@ -311,6 +311,35 @@ def op12_centroid_clustering(spark, sf_dir):
     return centroids.cluster(read(spark, sf_dir, "embeddings"))
 
 
+@query("op11_phrase_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(
+             coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') w FROM p),
+g AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') ph, count(*) f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) i FROM w, (VALUES (1), (2), (3)) x(m))
+  GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, m, string_split(ph, ' ') w, ph, f a FROM g WHERE m > 1 AND f >= 10),
+cuts AS (SELECT c.*, l.f l, r.f r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) score
+         FROM (SELECT *, unnest(range(1, m)) k FROM c) c
+         JOIN g l ON l.lang = c.lang AND l.ph = array_to_string(w[1 : k], ' ')
+         JOIN g r ON r.lang = c.lang AND r.ph = array_to_string(w[k + 1 : c.m], ' ')),
+best AS (SELECT * FROM cuts
+         QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+covers AS (SELECT lang, ph, max(a) longer FROM (
+  SELECT lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) ph, a
+  FROM c WHERE m = 3) GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, ph) rank
+           FROM best b LEFT JOIN covers USING (lang, ph)
+           WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, ph phrase, a, l, r, n, score::BIGINT score
+FROM ranked JOIN (SELECT lang, sum(f)::BIGINT n FROM g WHERE m = 1 GROUP BY lang) USING (lang)
+WHERE rank <= 2000""")
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 @query("op13_token_counts")
 def op13_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"),
