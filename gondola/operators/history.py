@@ -100,45 +100,3 @@ def fuzzy_duplicates(df: DataFrame, tolerance: float = 0.05) -> DataFrame:
         F.when(above, F.col("upper_ean")).alias("upper_partner"),
         (F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False)))
         .alias("is_fuzzy_duplicate"))
-
-
-def catalog_view(df: DataFrame) -> DataFrame:
-    """Price range of each catalogue entry, and its newest price per market.
-
-    Level one keeps one row per entry and market; the final list then holds at
-    most one element per market.
-    """
-    entry = ["product_name_normalized", "category_normalized", "brand_normalized", "ean"]
-    c = numbers.cents(F.col("price_normalized"))
-    newest = F.min_by(F.struct("market", F.col("price_normalized").alias("price"),
-                               "collected_at"),
-                      F.struct(descending(micros(F.col("collected_at"))), "record_id"))
-    per = df.filter(F.col("ean").isNotNull()).groupBy(*entry, "market").agg(
-        F.min("price_normalized").alias("lo"), F.max("price_normalized").alias("hi"),
-        F.sum(c).alias("s"), F.count(c).alias("n"), newest.alias("latest"))
-    return per.groupBy(*entry).agg(
-        F.min("lo").alias("min_price"), F.max("hi").alias("max_price"),
-        numbers.mean_of_cents(F.sum("s"), F.sum("n")).alias("avg_price"),
-        F.count(F.lit(1)).alias("market_count"),
-        F.sort_array(F.collect_list("latest")).alias("latest_by_market")).select(
-        F.col("product_name_normalized").alias("product_name"),
-        F.col("category_normalized").alias("category"), F.col("brand_normalized").alias("brand"),
-        "ean", "min_price", "max_price", "avg_price", "market_count", "latest_by_market")
-
-
-def year_summary(df: DataFrame) -> DataFrame:
-    """Per market: months, years and all time, from one pass.
-
-    Months are aggregated first; the rollup then expands month rows, not records.
-    """
-    c = numbers.cents(F.col("price_normalized"))
-    months = df.groupBy("market", F.date_format("collected_at", "yyyy").alias("year"),
-                        F.date_format("collected_at", "MM").alias("month")).agg(
-        F.count(F.lit(1)).alias("records"), F.count(c).alias("priced"), F.sum(c).alias("s"),
-        F.min("price_normalized").alias("lo"), F.max("price_normalized").alias("hi"))
-    sets = [[F.col("market"), F.col("year"), F.col("month")],
-            [F.col("market"), F.col("year")], [F.col("market")]]
-    return months.groupingSets(sets, "market", "year", "month").agg(
-        F.sum("records").alias("records"), F.sum("priced").alias("priced"),
-        (F.sum("s") / 100.0).alias("price_sum"), F.min("lo").alias("min_price"),
-        F.max("hi").alias("max_price"))

@@ -45,14 +45,71 @@ def nulls_last(c: Column) -> list[Column]:
     return [c.isNull(), c]
 
 
+SLICE_BITS = (40, 20)  # widths of value slices, coarse to fine: 2^40 and 2^20 cents
+
+
+def ranked_slices(hist: DataFrame, keys: Sequence[str], value: str, count: str,
+                  bits: Sequence[int] = SLICE_BITS) -> DataFrame:
+    """Histogram rows with ``_before`` (values of their group that are smaller) and ``_total``.
+
+    ``hist`` has one row per (keys, value); NULL values are not ranked. The values of a
+    group are cut into slices of 2^bits, coarse to fine. Every level adds up its slices,
+    and a position is the sum of what lies before on each level. No window holds more
+    than the rows of one slice (2^20 at most; 2^23 coarse slices cover 64 bits), so a
+    group may have any number of rows and of distinct values.
+    """
+    names = [f"_slice{b}" for b in bits]
+    cut = hist.withColumns({n: F.shiftright(value, b) for n, b in zip(names, bits)})
+    ranked = F.when(F.col(value).isNotNull(), F.col(count))
+    out, outer = cut, list(keys)
+    sums = cut.groupBy(*keys, *names).agg(F.sum(ranked).alias("_n"))  # of the finest slices
+    levels = []
+    for depth, name in enumerate(names):
+        level = sums.groupBy(*keys, *names[:depth + 1]).agg(F.sum("_n").alias("_n"))
+        level = level.withColumn("_before", _before("_n", outer, name))
+        if depth == 0:
+            level = level.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+        levels.append((level.drop("_n"), [*keys, *names[:depth + 1]]))
+        outer = [*keys, *names[:depth + 1]]
+    out = out.withColumn("_before0", _before(ranked, outer, value))
+    for depth, (level, on) in enumerate(levels):
+        side = level.select(*[F.col(k).alias(f"_on{depth}_{k}") for k in on],
+                            F.col("_before").alias(f"_before{depth + 1}"),
+                            *(["_total"] if depth == 0 else []))
+        same = [F.col(k).eqNullSafe(F.col(f"_on{depth}_{k}")) for k in on]
+        out = out.join(side, same).drop(*[f"_on{depth}_{k}" for k in on])
+    parts = [f"_before{i}" for i in range(len(levels) + 1)]
+    position = sum((F.col(c) for c in parts[1:]), F.col(parts[0]))
+    return out.withColumn("_before", position).drop(*parts, *names)
+
+
+def _before(count: Column | str, part: Sequence[str], order: str) -> Column:
+    """Sum of the rows before, in a window of ``part``."""
+    w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(count).over(w), F.lit(0))
+
+
+def quartiles(value: str, count: str) -> dict[str, Column]:
+    """Aggregates over :func:`ranked_slices` rows: exact quartiles, interpolated as usual."""
+    out = {}
+    for name, k in (("q25", 1), ("median", 2), ("q75", 3)):
+        step = (F.col("_total") - 1) * k
+        at = {"lo": F.floor(step / 4), "hi": F.ceil(step / 4)}
+        lo, hi = (F.max(F.when((F.col("_before") <= r) & (r < F.col("_before") + F.col(count)),
+                               F.col(value))) for r in at.values())
+        part = F.max(F.pmod(step, F.lit(4)))
+        out[name] = (lo * (4 - part) + hi * part) / F.lit(4.0)
+    return out
+
+
 def price_stats(df: DataFrame, keys: Sequence[str], price: str = "price_normalized",
-                extra: Sequence[tuple[str, Column, str]] = ()) -> DataFrame:
+                extra: Sequence[tuple[str, Column, str]] = (), ranks: bool = True) -> DataFrame:
     """Exact count, mean, median, deviation and range of a price per group.
 
-    Level one counts equal prices per group (both shuffle and memory then depend
-    on distinct prices: accepted prices are whole cents up to 100 000, so a group
-    has at most 10^7 of them); level two combines the counts. Sums are exact
-    integers, hence independent of row order and of retries.
+    Level one counts equal prices per group; level two ranks these counts slice by slice
+    (:func:`ranked_slices`) and combines them, so no task holds the prices of a group.
+    Sums are exact integers, hence independent of row order and of retries. Without
+    ``ranks`` the quartiles are left out, and their shuffle with them.
 
     ``extra`` are ``(name, level-one aggregate, combining function)`` triples;
     ``n_rows`` counts all rows, ``n_prices`` those with a price.
@@ -62,19 +119,20 @@ def price_stats(df: DataFrame, keys: Sequence[str], price: str = "price_normaliz
         F.count(F.lit(1)).alias("_n"), *[agg.alias(f"_x_{name}") for name, agg, _ in extra])
     n = F.when(F.col("_c").isNotNull(), F.col("_n"))
     wide = F.col("_c").cast("decimal(20,0)")
-    stats = hist.groupBy(*keys).agg(
+    rows = ranked_slices(hist, keys, "_c", "_n") if ranks else hist
+    places = quartiles("_c", "_n") if ranks else {}
+    stats = rows.groupBy(*keys).agg(
         F.sum("_n").alias("n_rows"), F.coalesce(F.sum(n), F.lit(0)).alias("n_prices"),
         F.sum(F.col("_c") * F.col("_n")).alias("_s"),
         F.sum((wide * wide * F.col("_n")).cast("decimal(38,0)")).alias("_q"),
         F.min("_c").alias("_lo"), F.max("_c").alias("_hi"),
-        F.expr("percentile(_c, array(0.25D, 0.5D, 0.75D), _n)").alias("_p"),
+        *[c.alias(f"_p_{name}") for name, c in places.items()],
         *[getattr(F, how)(f"_x_{name}").alias(name) for name, _, how in extra])
     count, total, squares = F.col("n_prices"), F.col("_s"), F.col("_q")
-    quarter = {"q25": 0, "median": 1, "q75": 2}
     return stats.select(
         *keys, "n_rows", "n_prices", total.alias("sum_cents"),
         numbers.mean_of_cents(total, count).alias("mean"),
-        *[(F.get("_p", i) / F.lit(100.0)).alias(name) for name, i in quarter.items()],
+        *[(F.col(f"_p_{name}") / F.lit(100.0)).alias(name) for name in places],
         numbers.stddev_of_cents(count, total, squares).alias("stddev"),
         (F.col("_lo") / F.lit(100.0)).alias("low"), (F.col("_hi") / F.lit(100.0)).alias("high"),
         *[name for name, _, _ in extra])

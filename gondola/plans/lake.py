@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.operators import audit, bronze, silver
+from gondola.operators import audit, bronze, silver, states
 from gondola.session import fresh_path
 from gondola.sources import adapter, writers
 
@@ -85,6 +85,24 @@ class Lake:
         """Landed Bronze, read back from its partitioned folder."""
         return writers.read_bronze(self.spark, self.bronze_path())
 
+    def _states(self, name: str, build) -> DataFrame:
+        path = self._once(f"states-{name}", lambda path: states.refresh(build(), path))
+        return states.read_states(self.spark, path)
+
+    @cached_property
+    def raw_months(self) -> DataFrame:
+        """Month states of raw prices per market."""
+        return self._states("raw", lambda: states.market_states(self.obs, "price"))
+
+    @cached_property
+    def months(self) -> DataFrame:
+        """Month states of normalised prices per market."""
+        return self._states("market", lambda: states.market_states(self.silver))
+
+    @cached_property
+    def catalog_months(self) -> DataFrame:
+        return self._states("catalog", lambda: states.catalog_states(self.kept))
+
     def payload_path(self) -> str:
         return self._once("payloads", lambda path: writers.write_raw_payloads(
             adapter.graphql_payloads(self.spark, self.sf_dir).drop("record_id")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gondola import dims, schemas
 from gondola.functions import ean, numbers, text, units
-from gondola.operators import audit, bronze, history, profile, quality, silver
+from gondola.operators import audit, bronze, history, profile, quality, silver, states
 from gondola.plans.lake import Lake
 from gondola.plans.oracle_views import r
 from gondola.plans.q_records import iso
@@ -82,13 +82,22 @@ def bronze_market_avg(lake: Lake):
         F.count(F.lit(1)).alias("records"), numbers.mean_of_cents(F.sum(c), F.count(c)).alias("avg_price"))
 
 
-@query("bronze_approx_median", """
-SELECT market, count(*) AS record_count, TRUE AS close FROM obs GROUP BY market""")
+@query("bronze_approx_median")
 def bronze_approx_median(lake: Lake):
+    """Median of raw prices per market, merged from the sketches of its months.
+
+    Sketches draw random numbers, so SQL holds the bound of the rank instead
+    (``bronze_median_bound``).
+    """
+    return states.medians(states.market_rollup(lake.raw_months).filter("year IS NULL")).select(
+        "market", "record_count", "median_price", "rank_bound")
+
+
+@query("bronze_median_bound", """
+SELECT market, count(*) AS record_count, TRUE AS close FROM obs GROUP BY market""")
+def bronze_median_bound(lake: Lake):
     """The approximate median lies within one percent of ranks of the middle."""
-    found = lake.obs.groupBy("market").agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.percentile_approx("price", 0.5, 10_000).alias("median_price"))
+    found = bronze_approx_median(lake)
     ranks = (lake.obs.select("market", "price").join(found, "market")
              .groupBy("market", "record_count").agg(
                  F.count("price").alias("n"),
@@ -613,7 +622,7 @@ SELECT product_name_normalized AS product_name, category_normalized AS category,
   AND l.brand_normalized IS NOT DISTINCT FROM k.brand_normalized) AS latest_by_market
 FROM kept k WHERE ean IS NOT NULL GROUP BY ALL""")
 def gold_catalog_view(lake: Lake):
-    view = history.catalog_view(lake.kept)
+    view = states.catalog_rollup(lake.catalog_months)
     latest = F.transform("latest_by_market", lambda s: F.concat_ws(
         "@", s["market"], F.date_format(s["collected_at"], "yyyy-MM-dd")))
     return view.withColumn("latest_by_market", F.array_join(latest, ","))
@@ -637,4 +646,32 @@ SELECT market, year, month, count(*) AS records, count(price_normalized) AS pric
 FROM (SELECT *, strftime(collected_at, '%Y') AS year, strftime(collected_at, '%m') AS month
  FROM cleaned) GROUP BY market, ROLLUP (year, month)""")
 def year_summary(lake: Lake):
-    return history.year_summary(lake.silver)
+    """Merged from month states: a new month adds its rows, old records are not read."""
+    return states.market_rollup(lake.months).drop("codes", "prices")
+
+
+@query("year_codes")
+def year_codes(lake: Lake):
+    """Estimated distinct product codes per market: months, years and all time."""
+    return states.distinct_codes(states.market_rollup(lake.months))
+
+
+@query("year_codes_bound", """
+SELECT market, year, month, TRUE AS close
+FROM (SELECT market, strftime(collected_at, '%Y') AS year, strftime(collected_at, '%m') AS month
+ FROM cleaned) GROUP BY market, ROLLUP (year, month)""")
+def year_codes_bound(lake: Lake):
+    """Estimates lie within six standard errors (and one code) of the exact counts."""
+    exact = lake.silver.select("market", "ean", states.month_of(F.col("collected_at")).alias("m"))
+    exact = exact.distinct().withColumns({"year": F.substring("m", 1, 4),
+                                          "month": F.substring("m", 6, 2)})
+    sets = [[F.col("market"), F.col("year"), F.col("month")],
+            [F.col("market"), F.col("year")], [F.col("market")]]
+    counts = exact.groupingSets(sets, "market", "year", "month").agg(
+        F.count_distinct("ean").alias("n"))
+    found = year_codes(lake)
+    same = [counts[c].eqNullSafe(found[c]) for c in ("market", "year", "month")]
+    gap = F.abs(found["codes"] - counts["n"])
+    return counts.join(found, same).select(
+        counts["market"], counts["year"], counts["month"],
+        (gap <= F.lit(0.1) * counts["n"] + 1).alias("close"))
