@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from gondola.llm.frames import TEXT, pieces, removed, stored_at
 
-BLOCK = 1 << 22  # words that a task holds before it closes its largest block
+BLOCK = 1 << 20  # words that a task holds before it closes its largest block
 SLICE = 1 << 20  # bytes of one text taken at a time
-SHARD = 1 << 21  # entries of a shard, by their upper bound
+SHARD = 1 << 20  # entries of a shard, by their upper bound
 GAP = b"\xff"  # no byte of UTF-8: marks the end of a piece
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + _BREAKS + b"\t",
