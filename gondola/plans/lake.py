@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.operators import audit, bronze, silver, states
+from gondola.operators.dedup_index import DedupIndex
 from gondola.session import fresh_path
 from gondola.sources import adapter, writers
 
@@ -85,6 +86,16 @@ class Lake:
         """Landed Bronze, read back from its partitioned folder."""
         return writers.read_bronze(self.spark, self.bronze_path())
 
+    @cached_property
+    def dedup_index(self) -> DedupIndex:
+        """Duplicates of Silver, from one run over the older records and one over the rest."""
+        late = F.col("collected_at") >= F.lit("1996-01-01").cast("timestamp_ntz")
+
+        def write(path: str) -> None:
+            index = DedupIndex(self.spark, path)
+            index.add(self.silver.filter(~late), 1).add(self.silver.filter(late), 2)
+        return DedupIndex(self.spark, self._once("dedup-index", write))
+
     def _states(self, name: str, build) -> DataFrame:
         path = self._once(f"states-{name}", lambda path: states.refresh(build(), path))
         return states.read_states(self.spark, path)

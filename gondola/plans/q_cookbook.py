@@ -396,8 +396,8 @@ def silver_change_counts(lake: Lake):
 @query("silver_dedup_index", """
 SELECT record_id, kept_id AS duplicate_of_id FROM ranked WHERE rn > 1""")
 def silver_dedup_index(lake: Lake):
-    return silver.mark_losers(lake.silver).filter("is_duplicate").select("record_id",
-                                                                         "duplicate_of_id")
+    """The kept index after two runs: records until the end of 1995, then the later ones."""
+    return lake.dedup_index.pairs()
 
 
 def _tenths(c: str) -> str:
