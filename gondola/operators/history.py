@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.functions import numbers
-from gondola.operators.ordered import best_row, descending, micros, neighbours
+from gondola.operators.ordered import best_row, descending, islands, micros
 
 
 def partition_date() -> Column:
@@ -78,25 +78,26 @@ def fuzzy_duplicates(df: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Level 3: same market and name, another code, price within ``tolerance``.
 
     ``df`` has one row per (market, name, code). Rows are put in price order per
-    (market, name); a partner within the limit exists exactly when the neighbour
-    above or below is one, because a neighbour is never further away. So each row
-    looks at two rows, and pairs are not enumerated. Partner codes are the
-    nearest ones.
+    (market, name); a partner within the limit exists exactly when the neighbour above or
+    below is one, because a neighbour is never further away. Partner codes are these
+    neighbours, and a chain of partners is a group: numbered by price from 1, represented
+    by its cheapest record. Pairs are not enumerated, and a group may be of any size.
     """
     rows = df.filter(F.col("ean_normalized").isNotNull()
                      & F.col("price_normalized").isNotNull()
                      & F.col("product_name_normalized").isNotNull()).select(
         "record_id", "market", "product_name_normalized", "ean_normalized", "price_normalized",
         numbers.cents(F.col("price_normalized")).alias("c"))
-    seen = neighbours(rows, ["market", "product_name_normalized"], ["c", "record_id"],
-                      {"lower_c": "c", "lower_ean": "ean_normalized"},
-                      {"upper_c": "c", "upper_ean": "ean_normalized"})
     c = F.col("c")
     below = (c - F.col("lower_c")) <= F.lit(tolerance) * F.col("lower_c")
     above = (F.col("upper_c") - c) <= F.lit(tolerance) * c
+    seen = islands(rows, ["market", "product_name_normalized"], ["c", "record_id"],
+                   {"lower_c": "c", "lower_ean": "ean_normalized"},
+                   {"upper_c": "c", "upper_ean": "ean_normalized"}, below, "record_id")
     return seen.select(
         "record_id", "market", "product_name_normalized", "ean_normalized", "price_normalized",
         F.when(below, F.col("lower_ean")).alias("lower_partner"),
         F.when(above, F.col("upper_ean")).alias("upper_partner"),
+        F.col("island").alias("group_no"), F.col("island_first").alias("representative"),
         (F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False)))
         .alias("is_fuzzy_duplicate"))

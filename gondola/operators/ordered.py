@@ -163,8 +163,12 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     spans slices, and the row at a slice edge looks up the edge row of the slice next
     to it. Where groups are bounded, a plain window does the same.
     """
-    after = after or {}
-    cut = _slices(df, keys, order)
+    return _beside(_slices(df, keys, order), keys, order, before, after or {}).drop("_slice")
+
+
+def _beside(cut: DataFrame, keys: Sequence[str], order: Sequence[str], before: dict[str, str],
+            after: dict[str, str]) -> DataFrame:
+    """``neighbours`` of rows that are cut into slices already."""
     part = [*keys, "_slice"]
     w = Window.partitionBy(*part).orderBy(*order)
     sources = sorted({*before.values(), *after.values()})
@@ -185,4 +189,35 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              for new, src in before.items()}
     fixed |= {new: F.when(F.col("_end"), F.col("_next")[src]).otherwise(F.col(new))
               for new, src in after.items()}
-    return joined.withColumns(fixed).select(*df.columns, *before, *after)
+    return joined.withColumns(fixed).select(*cut.columns, *before, *after)
+
+
+def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: dict[str, str],
+            after: dict[str, str], linked: Column, carry: str) -> DataFrame:
+    """Chains of rows that are each linked with the row before, over hot groups.
+
+    ``before`` and ``after`` add columns as :func:`neighbours` does, and ``linked`` says
+    over them whether a row belongs to the island of the row before it. Adds
+    ``island`` (numbered from 1 within ``keys``) and ``island_first`` (the ``carry`` column
+    of the island's first row). Islands may cross any number of slices: a slice hands on
+    how many islands began in it and the first row of its last one.
+    """
+    rows = _beside(_slices(df, keys, order), keys, order, before, after)
+    opens = ~F.coalesce(linked, F.lit(False))
+    rows = rows.withColumn("_opens", F.when(opens, F.struct(F.col(carry).alias("v"))))
+    part = [*keys, "_slice"]
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = rows.withColumns({"_number": F.count("_opens").over(w),
+                              "_first": F.last("_opens", ignorenulls=True).over(w)})
+    own = F.when(F.col("_opens").isNotNull(), F.struct(*order))
+    slices = rows.groupBy(*part).agg(F.count("_opens").alias("_n"),
+                                     F.max_by("_opens", own).alias("_last"))
+    across = (Window.partitionBy(*keys).orderBy("_slice")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    handed = slices.select(*[F.col(k).alias(f"_k_{k}") for k in part],
+                           F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_before"),
+                           F.last("_last", ignorenulls=True).over(across).alias("_open"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in part]
+    return inner.join(handed, same).select(
+        *df.columns, *before, *after, (F.col("_before") + F.col("_number")).alias("island"),
+        F.coalesce("_first", "_open")["v"].alias("island_first"))

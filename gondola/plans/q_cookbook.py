@@ -590,23 +590,37 @@ def dedup_cross_market_level2(lake: Lake):
 
 
 @query("dedup_fuzzy_level3", """
+WITH RECURSIVE rows_ AS MATERIALIZED (
+ SELECT *, row_number() OVER (PARTITION BY market, product_name_normalized ORDER BY c, record_id) i
+ FROM kept WHERE ean_normalized IS NOT NULL AND price_normalized IS NOT NULL
+  AND product_name_normalized IS NOT NULL),
+chain(market, name, i, c, group_no, representative) AS (
+ SELECT market, product_name_normalized, i, c, CAST(1 AS BIGINT), record_id FROM rows_ WHERE i = 1
+ UNION ALL
+ SELECT t.market, t.name, n.i, n.c,
+  t.group_no + CASE WHEN n.c - t.c <= 0.05::DOUBLE * t.c THEN 0 ELSE 1 END,
+  CASE WHEN n.c - t.c <= 0.05::DOUBLE * t.c THEN t.representative ELSE n.record_id END
+ FROM chain t JOIN rows_ n ON n.market = t.market AND n.product_name_normalized = t.name
+  AND n.i = t.i + 1)
 SELECT a.record_id, a.market, a.product_name_normalized, a.ean_normalized, a.price_normalized,
+ CASE WHEN a.c - d.c <= 0.05::DOUBLE * d.c THEN d.ean_normalized END AS lower_partner,
+ CASE WHEN u.c - a.c <= 0.05::DOUBLE * a.c THEN u.ean_normalized END AS upper_partner,
+ t.group_no, t.representative,
  EXISTS (SELECT 1 FROM kept b WHERE b.market = a.market
   AND b.product_name_normalized = a.product_name_normalized
   AND b.ean_normalized <> a.ean_normalized AND b.price_normalized IS NOT NULL
   AND CAST(abs(a.c - b.c) AS DOUBLE) <= 0.05::DOUBLE * least(a.c, b.c)) AS is_fuzzy_duplicate
-FROM kept a WHERE a.ean_normalized IS NOT NULL AND a.price_normalized IS NOT NULL
- AND a.product_name_normalized IS NOT NULL""")
+FROM rows_ a JOIN chain t ON t.market = a.market AND t.name = a.product_name_normalized AND t.i = a.i
+LEFT JOIN rows_ d ON d.market = a.market AND d.product_name_normalized = a.product_name_normalized
+ AND d.i = a.i - 1
+LEFT JOIN rows_ u ON u.market = a.market AND u.product_name_normalized = a.product_name_normalized
+ AND u.i = a.i + 1""")
 def dedup_fuzzy_level3(lake: Lake):
-    """Records with a near-priced twin of the same name and another code.
+    """Near-priced records of one name: partner codes, group and its representative.
 
-    Prices are put in order and only neighbours are compared: a twin within the
-    limit exists exactly when the next row up or down is within it. The check
-    query tests every pair.
+    The check query walks every chain row by row, and tests every pair.
     """
-    return history.fuzzy_duplicates(lake.kept).select(
-        "record_id", "market", "product_name_normalized", "ean_normalized", "price_normalized",
-        "is_fuzzy_duplicate")
+    return history.fuzzy_duplicates(lake.kept)
 
 
 @query("gold_catalog_view", f"""

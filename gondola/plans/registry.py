@@ -47,4 +47,9 @@ def with_views(body: str) -> str:
                 visit(views[name])
     visit(body)
     ctes = ",\n".join(f"{n} AS ({views[n]})" for n in views if n in needed)
-    return f"WITH {ctes}\n{body}" if ctes else body
+    if not ctes:
+        return body
+    recursive = "WITH RECURSIVE "  # a body may define more, in that form
+    if body.lstrip().startswith(recursive):
+        return f"{recursive}{ctes},\n{body.lstrip()[len(recursive):]}"
+    return f"WITH {ctes}\n{body}"

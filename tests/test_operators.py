@@ -284,3 +284,30 @@ def test_health_counts_stored_bytes(spark, lake):
     size = history.stored_bytes(spark, lake.kept_path()).first()["bytes"]
     row = _health(lake).filter("check_name = 'disk_usage'").first()
     assert size > 0 and row["value"] == size / 1024.0 ** 3 and row["status"] == "OK"
+
+
+def test_price_islands_cross_slices_of_a_hot_group(spark):
+    rng = random.Random(11)
+    rows = [(f"r{i:04}", "hot" if i % 3 else rng.choice(["a", "b", None]), "Milk", f"e{i}",
+             round(rng.choice([1.0, 50.0]) * 1.002 ** rng.randrange(400)
+                   * rng.choice([1, 1, 1, 1.3]), 2)) for i in range(700)]
+    df = spark.createDataFrame(
+        rows, "record_id string, market string, product_name_normalized string, "
+        "ean_normalized string, price_normalized double").repartition(6)
+    got = {r["record_id"]: r for r in history.fuzzy_duplicates(df).collect()}
+    want, groups = {}, {}
+    for rid, market, _, ean, price in rows:
+        groups.setdefault(market, []).append((round(price * 100), rid, ean))
+    for members in groups.values():
+        members.sort()
+        number, first = 0, None
+        for i, (c, rid, _) in enumerate(members):
+            below = i > 0 and c - members[i - 1][0] <= 0.05 * members[i - 1][0]
+            above = i + 1 < len(members) and members[i + 1][0] - c <= 0.05 * c
+            if not below:
+                number, first = number + 1, rid
+            want[rid] = (members[i - 1][2] if below else None,
+                         members[i + 1][2] if above else None, number, first, below or above)
+    assert {k: (r["lower_partner"], r["upper_partner"], r["group_no"], r["representative"],
+                r["is_fuzzy_duplicate"]) for k, r in got.items()} == want
+    assert max(w[2] for w in want.values()) > 3  # several islands, some over many slices
