@@ -198,47 +198,66 @@ def pair_entries(relation: DataFrame, shards: dict[str, int]) -> DataFrame:
 
 
 def counted(entries: DataFrame, least: int, words: bool, answers: bool = True) -> DataFrame:
-    """Totals of every shard: a row of its frequent groups, and a row for each block it answers."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        counts = [unpacked(r["counts"], "<u4") for r in rows]
-        if words:
-            keys = pa.array([w for r in rows for w in _words(r["keys"])], pa.binary())
-            keys = keys.dictionary_encode()
-            names, code = keys.dictionary.to_pylist(), keys.indices.to_numpy()
-        else:
-            names, code = np.unique(np.concatenate([unpacked(r["keys"], "<u8") for r in rows]),
-                                    return_inverse=True)
-        totals = np.zeros(len(names), "<u8")
-        np.add.at(totals, code, np.concatenate(counts))
-        often = totals >= least
-        rank = (np.cumsum(often) - 1).astype("<u4")
-        lang, shard = rows[0]["lang"], rows[0]["shard"]
-        kept = np.flatnonzero(often)
-        key = (GAP.join([names[i] for i in kept.tolist()]) if words
-               else packed(np.asarray(names)[kept]))
-        out = [(lang, shard, None, key, packed(totals[kept]), None, None)] if len(kept) else []
-        if answers:
-            stops = np.cumsum([len(c) for c in counts])
-            for r, own in zip(rows, np.split(code, stops[:-1])):
-                at = np.flatnonzero(often[own])
-                if len(at):
-                    out.append((lang, shard, r["block"], None, None, packed(at.astype("<u4")),
-                                packed(rank[own[at]])))
-        return pa.Table.from_batches([_rows(_ANSWERS, out)])
-
-    return entries.groupBy("lang", "shard").applyInArrow(run, _ANSWERS)
+    """Totals of every shard: a row of its frequent groups, and a row for each block it answers.
+
+    Shards are dealt by hash and sorted, so a task takes one shard after the other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+        for batch in pieces(batches, 1):
+            row = batch.to_pylist()[0]
+            if rows and (row["lang"], row["shard"]) != (rows[0]["lang"], rows[0]["shard"]):
+                yield _totals(rows, least, words, answers)
+                rows = []
+            rows.append(row)
+        if rows:
+            yield _totals(rows, least, words, answers)
+
+    return (entries.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
+            .mapInArrow(run, _ANSWERS))
+
+
+def _totals(rows: list[dict], least: int, words: bool, answers: bool) -> pa.RecordBatch:
+    counts = [unpacked(r["counts"], "<u4") for r in rows]
+    if words:
+        keys = pa.array([w for r in rows for w in _words(r["keys"])], pa.binary())
+        keys = keys.dictionary_encode()
+        names, code = keys.dictionary.to_pylist(), keys.indices.to_numpy()
+    else:
+        names, code = np.unique(np.concatenate([unpacked(r["keys"], "<u8") for r in rows]),
+                                return_inverse=True)
+    totals = np.zeros(len(names), "<u8")
+    np.add.at(totals, code, np.concatenate(counts))
+    often = totals >= least
+    rank = (np.cumsum(often) - 1).astype("<u4")
+    lang, shard = rows[0]["lang"], rows[0]["shard"]
+    kept = np.flatnonzero(often)
+    key = (GAP.join([names[i] for i in kept.tolist()]) if words
+           else packed(np.asarray(names)[kept]))
+    out = [(lang, shard, None, key, packed(totals[kept]), None, None)] if len(kept) else []
+    if answers:
+        stops = np.cumsum([len(c) for c in counts])
+        for r, own in zip(rows, np.split(code, stops[:-1])):
+            at = np.flatnonzero(often[own])
+            if len(at):
+                out.append((lang, shard, r["block"], None, None, packed(at.astype("<u4")),
+                            packed(rank[own[at]])))
+    return _rows(_ANSWERS, out)
 
 
 def kept_places(relation: DataFrame, answers: DataFrame, offsets: dict[tuple[str, int], int],
                 shards: dict[str, int], words: bool) -> DataFrame:
-    """The semi-join: places of frequent groups under their numbers, others 0."""
+    """The semi-join: places of frequent groups under their numbers, others 0.
+
+    A block's answers are at most one number per group of the block. Blocks without any
+    frequent group have nothing to extend and go.
+    """
     fields = "lang string, block bigint, n bigint, seq binary"
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row in left.to_pylist():  # one row: the block
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            row = batch.to_pylist()[0]
             seq, lang = unpacked(row["seq"], "<u4"), row["lang"]
             if words:
                 which = _word_shards(_words(row["words"]), shards[lang])
@@ -246,19 +265,18 @@ def kept_places(relation: DataFrame, answers: DataFrame, offsets: dict[tuple[str
                 keys, _, seq = _pair_groups(seq)
                 which = _pair_shards(keys, shards[lang])
             number, dealt = np.zeros(len(which) + 1, "<u4"), dict(_dealt(which))
-            for answer in right.select(["shard", "at", "ranks"]).to_pylist():
+            for answer in row["answers"]:
                 shard = answer["shard"]
                 at = dealt[shard][unpacked(answer["at"], "<u4")]
                 number[at + 1] = unpacked(answer["ranks"], "<u4") + np.uint32(
                     offsets[lang, shard] + 1)
             seq = _without_runs(number[seq])
-            out.append((lang, row["block"], int((seq != 0).sum()), packed(seq)))
-        return pa.Table.from_batches([_rows(fields, out)])
+            yield _rows(fields, [(lang, row["block"], int((seq != 0).sum()), packed(seq))])
 
     columns = ["lang", "block", "seq", *(["words"] if words else [])]
-    return (relation.select(*columns).groupBy("block")
-            .cogroup(answers.filter("block IS NOT NULL").select("block", "shard", "at", "ranks")
-                     .groupBy("block")).applyInArrow(run, fields))
+    told = (answers.filter("block IS NOT NULL").groupBy("block")
+            .agg(F.collect_list(F.struct("shard", "at", "ranks")).alias("answers")))
+    return relation.select(*columns).join(told, "block").mapInArrow(run, fields)
 
 
 # ---- frequent groups as rows ------------------------------------------------
