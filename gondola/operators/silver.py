@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,18 +101,41 @@ def dedup_summary(kept: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
                    F.lit(0.0)).alias("deduplication_rate"))
 
 
-def category_levels(df: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep, parent, child): every standard of a raw category in the two-level dimension.
+def category_edges(spark: SparkSession) -> DataFrame:
+    """The documented (parent, child) dimension."""
+    rows = [F.struct(F.lit(parent).alias("parent"), F.lit(child).alias("child"))
+            for parent, children in dims.CATEGORY_CHILDREN.items() for child in children]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
 
-    A standard is a parent. The child is the one of its children that the raw category
-    names, by equi-join with the (parent, child) dimension; NULL where it names none.
+def category_closure(edges: DataFrame) -> DataFrame:
+    """(node, ancestor, depth): every ancestor of every child of a (parent, child) dimension.
+
+    A recursion over the dimension alone, of any depth that the session allows (100
+    levels); a cycle exceeds it and is reported as an error.
     """
-    rows = [F.struct(F.lit(parent).alias("_parent"), F.lit(child).alias("child"),
-                     F.lit(child.lower()).alias("_child"))
-            for parent, children in dims.CATEGORY_CHILDREN.items() for child in children]
-    dimension = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return edges.sparkSession.sql("""
+        WITH RECURSIVE up(node, ancestor, depth) AS (
+          SELECT child, parent, CAST(1 AS BIGINT) FROM {edges}
+          UNION ALL
+          SELECT up.node, e.parent, up.depth + 1 FROM up JOIN {edges} e ON e.child = up.ancestor)
+        SELECT node, ancestor, min(depth) AS depth FROM up GROUP BY node, ancestor""", edges=edges)
+
+
+def category_levels(df: DataFrame, keep: list[str], edges: DataFrame | None = None) -> DataFrame:
+    """(keep, parent, child, depth): every standard of a raw category, and its node below it.
+
+    A standard is an ancestor. The child is the node that the raw category names, if it
+    lies below that standard at any depth; where it names none, the child is NULL and the
+    depth 0. The dimension is joined by (ancestor, name); it stays small or is shuffled,
+    as adaptive execution finds.
+    """
+    edges = category_edges(df.sparkSession) if edges is None else edges
+    nodes = category_closure(edges).select(
+        F.col("ancestor").alias("_parent"), F.col("node").alias("child"),
+        F.lower("node").alias("_child"), F.col("depth").alias("_depth"))
     standards = df.select(*keep, text.category_key(F.col("category")).alias("_key"),
                           F.explode(text.category_multi(F.col("category"))).alias("parent"))
     same = (F.col("parent") == F.col("_parent")) & (F.col("_key") == F.col("_child"))
-    return (standards.join(F.broadcast(dimension), same, "left")
-            .select(*keep, "parent", "child"))
+    depth = F.coalesce(F.col("_depth"), F.lit(0).cast("bigint")).alias("depth")
+    return standards.join(nodes, same, "left").select(*keep, "parent", "child", depth)

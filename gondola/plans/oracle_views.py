@@ -95,7 +95,9 @@ VIEWS["obs"] = f"""
    || CASE l_partkey % 3 WHEN 0 THEN 'ML ' WHEN 1 THEN ' Kg ' ELSE ' un ' END AS product_name,
   CASE WHEN l_linenumber <> 7 THEN {r('each_price')} END AS price,
   {r('each_price * (1.0::DOUBLE - l_discount)')} AS unit_price,
-  CASE p_type WHEN 'ECONOMY' THEN 'Leite e Derivados' WHEN 'SMALL' THEN 'Refrigerantes'
+  CASE p_type WHEN 'ECONOMY' THEN CASE l_partkey % 4 WHEN 0 THEN 'Leite e Derivados'
+    WHEN 1 THEN 'Leites' WHEN 2 THEN 'Queijos' ELSE 'Bebidas Lácteas' END
+   WHEN 'SMALL' THEN 'Refrigerantes'
    WHEN 'MEDIUM' THEN 'Carnes e Aves' WHEN 'LARGE' THEN 'PADARIA'
    WHEN 'STANDARD' THEN 'Brinquedos' END AS category,
   CASE WHEN l_partkey % 5 = 1 THEN upper(p_brand) || ' S/A'

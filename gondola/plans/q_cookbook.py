@@ -352,29 +352,38 @@ _MULTI = ", ".join(f"('{raw}', '{s}')" for raw, many in dims.CATEGORY_MULTI.item
                    for s in many)
 
 
-@query("silver_category_multi", f"""
-SELECT record_id, coalesce(m.standard, c.category_normalized) AS standard
-FROM cleaned c LEFT JOIN (VALUES {_MULTI}) AS m(raw, standard)
- ON lower(trim(c.category)) = m.raw""")
-def silver_category_multi(lake: Lake):
-    return lake.silver.select("record_id", F.explode(text.category_multi(F.col("category")))
-                              .alias("standard"))
-
-
+_MULTI = ", ".join(f"('{raw}', '{s}')" for raw, many in dims.CATEGORY_MULTI.items()
+                   for s in many)
 _CHILDREN = ", ".join(f"('{parent}', '{child}')" for parent, children
                       in dims.CATEGORY_CHILDREN.items() for child in children)
+_NODES = f"""edges(parent, child) AS (VALUES {_CHILDREN}),
+up(node, ancestor, depth) AS (SELECT child, parent, CAST(1 AS BIGINT) FROM edges UNION ALL
+ SELECT up.node, e.parent, up.depth + 1 FROM up JOIN edges e ON e.child = up.ancestor),
+standards AS (SELECT record_id, lower(trim(c.category)) AS k,
+  coalesce(m.standard, c.category_normalized) AS standard
+ FROM cleaned c LEFT JOIN (VALUES {_MULTI}) AS m(raw, standard) ON lower(trim(c.category)) = m.raw)"""
+
+
+@query("silver_category_multi", f"""
+WITH RECURSIVE {_NODES}
+SELECT record_id, standard, node AS child, coalesce(depth, 0) AS depth
+FROM standards LEFT JOIN up ON ancestor = standard AND lower(node) = k""")
+def silver_category_multi(lake: Lake):
+    """Every standard of a record's category, with the node below it that the category names."""
+    return silver.category_levels(lake.silver, ["record_id"]).withColumnRenamed(
+        "parent", "standard")
 
 
 @query("silver_category_levels", f"""
-SELECT record_id, s.standard AS parent, d.child
-FROM (SELECT record_id, lower(trim(c.category)) AS k,
-       coalesce(m.standard, c.category_normalized) AS standard
-      FROM cleaned c LEFT JOIN (VALUES {_MULTI}) AS m(raw, standard)
-       ON lower(trim(c.category)) = m.raw) s
-LEFT JOIN (VALUES {_CHILDREN}) AS d(parent, child)
- ON s.standard = d.parent AND s.k = lower(d.child)""")
+WITH RECURSIVE {_NODES}
+SELECT standard AS parent, node AS child, depth, count(*) AS records,
+ count(DISTINCT record_id) AS distinct_records
+FROM standards JOIN up ON ancestor = standard AND lower(node) = k GROUP BY ALL""")
 def silver_category_levels(lake: Lake):
-    return silver.category_levels(lake.silver, ["record_id"])
+    """Records below each standard, per child that their category names."""
+    levels = silver.category_levels(lake.silver, ["record_id"]).filter("child IS NOT NULL")
+    return levels.groupBy("parent", "child", "depth").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("record_id").alias("distinct_records"))
 
 
 @query("silver_change_counts", """

@@ -15,11 +15,13 @@ from gondola.functions.numbers import round_half_up
 
 MARKETS = ["africa", "america", "asia", "europe", "middle_east"]
 
-# fixed values: part type -> raw shelf category
+# fixed values: part type -> raw shelf category; dairy parts are dealt over four by their key
 CATEGORY_OF_TYPE = {
-    "ECONOMY": "Leite e Derivados", "SMALL": "Refrigerantes", "MEDIUM": "Carnes e Aves",
-    "LARGE": "PADARIA", "STANDARD": "Brinquedos",
+    "SMALL": "Refrigerantes", "MEDIUM": "Carnes e Aves", "LARGE": "PADARIA",
+    "STANDARD": "Brinquedos",
 }
+DAIRY_TYPE = "ECONOMY"
+DAIRY_CATEGORIES = ["Leite e Derivados", "Leites", "Queijos", "Bebidas Lácteas"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,7 +55,8 @@ def _products(part: DataFrame) -> DataFrame:
             .when(key % 7 == 0, F.concat("_body", ((F.col("_digit") + 1) % 10).cast("string")))
             .otherwise(F.concat("_body", F.col("_digit").cast("string"))))
     unit = F.when(key % 3 == 0, "ML ").when(key % 3 == 1, " Kg ").otherwise(" un ")
-    category = F.lit(None).cast("string")
+    dairy = F.array(*map(F.lit, DAIRY_CATEGORIES))[(key % len(DAIRY_CATEGORIES)).cast("int")]
+    category = F.when(F.col("p_type") == DAIRY_TYPE, dairy)
     for kind, raw in CATEGORY_OF_TYPE.items():
         category = F.when(F.col("p_type") == kind, raw).otherwise(category)
     made = part.select(
