@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gondola import dims
 from gondola.functions import ean, html, numbers, scoring, text, units
-from gondola.operators import quality, silver
+from gondola.operators import containment, quality, silver
 from gondola.plans.lake import Lake
 from gondola.plans.oracle_views import check_digit, norm_brand, norm_name, r, title_case
 from gondola.plans.registry import query
@@ -102,20 +102,12 @@ SELECT DISTINCT lower(trim(category)) AS term, (SELECT arg_min(standard, ord)
    OR contains(pattern, lower(trim(category)))) AS standard
 FROM obs WHERE trim(category) <> '' """)
 def fuzzy_dim_join(lake: Lake):
-    """First category, in order, whose pattern holds the term or is held by it.
-
-    The dimension is a fixed list of 53 rows: it is exploded beside each distinct
-    term, and the first match by ordinal is kept, without a nested-loop join.
-    """
-    dim = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(p).alias("pattern"),
-                             F.lit(s).alias("standard")) for i, p, s in dims.category_rows()])
-    terms = (lake.obs.select(text.category_key(F.col("category")).alias("term"))
-             .filter("term is not null").distinct())
-    pairs = terms.select("term", F.explode(dim).alias("d"))
-    hit = F.contains(F.col("term"), F.col("d.pattern")) | F.contains(F.col("d.pattern"),
-                                                                     F.col("term"))
-    return pairs.groupBy("term").agg(
-        F.min_by("d.standard", F.when(hit, F.col("d.ord"))).alias("standard"))
+    """First category, in order, whose pattern holds the term or is held by it."""
+    rows = [F.struct(F.lit(i).alias("ord"), F.lit(p).alias("pattern"), F.lit(s).alias("standard"))
+            for i, p, s in dims.category_rows()]
+    dim = lake.spark.range(1).select(F.inline(F.array(*rows)))
+    terms = lake.obs.select(text.category_key(F.col("category")).alias("term"))
+    return containment.first_match(terms.filter("term is not null"), dim)
 
 
 @query("category_hierarchy", """
