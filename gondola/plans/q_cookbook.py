@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from gondola import dims, schemas
 from gondola.functions import ean, numbers, text, units
-from gondola.operators import audit, bronze, history, profile, quality, silver, states
+from gondola.operators import (audit, bronze, history, json_paths, profile, quality, silver,
+                               states)
 from gondola.plans.lake import Lake
 from gondola.plans.oracle_views import r
 from gondola.plans.q_records import iso
@@ -145,15 +146,59 @@ def bronze_schema(lake: Lake):
         "column_name string, data_type string")
 
 
-@query("bronze_read_payloads", """
-SELECT kind AS raw_response_type, k.payload_key, count(*) AS payloads
-FROM obs, (VALUES ('graphql_response', 'data'), ('search_response', 'hits'))
- AS k(kind, payload_key) GROUP BY ALL""")
+def _paths(kind: str, rows: list[tuple[str, str, str]]) -> str:
+    """One line per path of an answer: how many values each observation contributes."""
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS raw_response_type, '{path}' AS path, '{t}' AS type, "
+        f"CAST(sum({n}) AS BIGINT) AS n FROM shaped" for path, t, n in rows)
+
+
+def _has(column: str, times: str) -> str:
+    return f"CASE WHEN {column} IS NOT NULL THEN {times} ELSE 0 END"
+
+
+_NODE = "$.data.search.products.edges[].node"
+_CRUMBS = f"{_NODE}.breadcrumbList.itemListElement"
+_ANSWER = _paths("graphql_response", [
+    ("$", "OBJECT", "1"), ("$.data", "OBJECT", "1"), ("$.data.search", "OBJECT", "1"),
+    ("$.data.search.products", "OBJECT", "1"), ("$.data.search.products.edges", "ARRAY", "1"),
+    ("$.data.search.products.edges[]", "OBJECT", "e"), (_NODE, "OBJECT", "e"),
+    (f"{_NODE}.id", "STRING", "e"), (f"{_NODE}.sku", "STRING", "e"),
+    (f"{_NODE}.name", "STRING", "e"), (f"{_NODE}.brand", "OBJECT", _has("brand", "e")),
+    (f"{_NODE}.brand.name", "STRING", _has("brand", "e")), (f"{_NODE}.offers", "OBJECT", "e"),
+    (f"{_NODE}.offers.highPrice", "STRING", _has("price", "e")),
+    (f"{_NODE}.offers.lowPrice", "STRING", _has("wholesale_price", "e")),
+    (f"{_NODE}.breadcrumbList", "OBJECT", "e"), (_CRUMBS, "ARRAY", "e"),
+    (f"{_CRUMBS}[]", "OBJECT", "e * m"), (f"{_CRUMBS}[].name", "STRING",
+     "e * (m - CASE WHEN m >= 2 AND category IS NULL THEN 1 ELSE 0 END)"),
+    (f"{_NODE}.image", "ARRAY", _has("image_url", "e")),
+    (f"{_NODE}.image[]", "OBJECT", _has("image_url", "2 * e")),
+    (f"{_NODE}.image[].url", "STRING", _has("image_url", "2 * e"))]) + " UNION ALL " + _paths(
+    "search_response", [
+        ("$", "OBJECT", "1"), ("$.hits", "ARRAY", "1"), ("$.hits[]", "OBJECT", "h"),
+        ("$.hits[].objectID", "STRING", "h"), ("$.hits[].sku", "STRING", "h"),
+        ("$.hits[].name", "STRING", "h"), ("$.hits[].barcode", "STRING", _has("ean", "h")),
+        ("$.hits[].brand", "STRING", _has("brand", "h")),
+        ("$.hits[].category", "STRING", _has("category", "h")),
+        ("$.hits[].sale_price", "STRING", _has("price", "h")),
+        ("$.hits[].wholesale_sale_price", "STRING", _has("wholesale_price", "h")),
+        ("$.hits[].image", "STRING", _has("image_url", "h"))])
+
+
+@query("bronze_read_payloads", f"""
+WITH shaped AS (
+ SELECT *, l_partkey % 4 AS m, CASE l_partkey % 6 WHEN 5 THEN 0 WHEN 4 THEN 2 ELSE 1 END AS e,
+  CASE WHEN l_partkey % 5 = 3 THEN 0 ELSE 2 END AS h FROM obs)
+SELECT raw_response_type, path, type, n AS "values" FROM ({_ANSWER}) WHERE n > 0
+UNION ALL SELECT k.kind, NULL, 'MALFORMED', count(*)
+FROM obs, (VALUES ('graphql_response'), ('search_response')) AS k(kind)
+WHERE cep IS NOT NULL GROUP BY k.kind""")
 def bronze_read_payloads(lake: Lake):
+    """Paths and types of all raw answers; answers with a postal code come once more, cut off."""
     logs = writers.read_payloads(lake.spark, lake.payload_path())
-    keys = F.explode(F.json_object_keys("raw_payload")).alias("payload_key")
-    return (logs.select("raw_response_type", keys).groupBy("raw_response_type", "payload_key")
-            .agg(F.count(F.lit(1)).alias("payloads")))
+    cut = F.expr("substr(raw_payload, 1, length(raw_payload) - 1)")
+    damaged = logs.filter("cep IS NOT NULL").withColumn("raw_payload", cut)
+    return json_paths.json_paths(logs.unionByName(damaged), "raw_payload", ["raw_response_type"])
 
 
 @query("bronze_price_rules", """

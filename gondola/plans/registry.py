@@ -49,7 +49,7 @@ def with_views(body: str) -> str:
     ctes = ",\n".join(f"{n} AS ({views[n]})" for n in views if n in needed)
     if not ctes:
         return body
-    recursive = "WITH RECURSIVE "  # a body may define more, in that form
-    if body.lstrip().startswith(recursive):
-        return f"{recursive}{ctes},\n{body.lstrip()[len(recursive):]}"
+    for head in ("WITH RECURSIVE ", "WITH "):  # a body may define more
+        if body.lstrip().startswith(head):
+            return f"{head}{ctes},\n{body.lstrip()[len(head):]}"
     return f"WITH {ctes}\n{body}"
