@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from gondola.plans.oracle_views import r
 from gondola.plans.q_records import iso
 from gondola.plans.registry import query
 from gondola.session import fresh_path
-from gondola.sources import adapter, writers
+from gondola.sources import adapter, archive, writers
 
 
 # --- Bronze ---------------------------------------------------------------------------
@@ -357,6 +358,26 @@ def retention_select(lake: Lake):
         F.count(F.lit(1)).alias("records"))
 
 
+@query("retention_archive", """
+SELECT CASE WHEN CAST(run_ts AS DATE) >= (SELECT max(CAST(run_ts AS DATE)) FROM obs) - 365
+ THEN 'live' ELSE 'archive' END AS root, market, CAST(run_ts AS DATE) AS partition_date,
+ count(*) AS records, min(record_id) AS first_record, max(record_id) AS last_record
+FROM obs GROUP BY ALL""")
+def retention_archive(lake: Lake):
+    """Folders beyond the retention moved from a copy of Bronze to an archive beside it."""
+    newest = lake.audit("bronze").agg(F.max("execution.run_date")).first()[0]
+    roots = {name: fresh_path(lake.spark, f"bronze-{name}") for name in ("live", "archive")}
+    writers.write_partitioned(lake.bronze, roots["live"], schemas.BRONZE_PARTITIONS, "gzip")
+    archive.archive_expired(lake.spark, roots["live"], roots["archive"],
+                            dt.date.fromisoformat(newest), 365)
+    sides = [writers.read_bronze(lake.spark, path).withColumn("root", F.lit(name))
+             for name, path in roots.items()]
+    return sides[0].unionByName(sides[1]).groupBy(
+        "root", "market", history.partition_date().alias("partition_date")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("record_id").alias("first_record"),
+        F.max("record_id").alias("last_record"))
+
+
 @query("incomplete_runs", """
 SELECT DISTINCT market, bronze_run_id AS run_id FROM obs
 WHERE strftime(run_ts, '%m') = '02' AND market = 'asia'""")
