@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,11 +10,12 @@ from gondola import dims, schemas
 from gondola.functions import ean, numbers, text, units
 from gondola.operators import (audit, bronze, history, json_paths, profile, quality, silver,
                                states)
+from gondola.plans import clustered
 from gondola.plans.lake import Lake
 from gondola.plans.oracle_views import r
 from gondola.plans.q_records import iso
 from gondola.plans.registry import query
-from gondola.session import fresh_path
+from gondola.session import fresh_path, reliable_checkpoint
 from gondola.sources import adapter, archive, writers
 
 
@@ -244,21 +244,16 @@ def bronze_replayed_batches(lake: Lake):
 
 
 @query("bigquery_ctas", """
-SELECT market, collected_date, count(*) AS records, min(record_id) AS first_record
-FROM (SELECT *, CAST(date_trunc('month', collected_at) AS DATE) AS collected_date FROM obs)
-GROUP BY ALL""")
+SELECT r.market, collected_date, count(*) AS records, min(r.record_id) AS first_record,
+ max(p.newest) AS newest_of_product
+FROM (SELECT *, CAST(date_trunc('month', collected_at) AS DATE) AS collected_date FROM obs) r
+JOIN (SELECT market, source_product_id, strftime(max(collected_at), '%Y-%m-%dT%H:%M:%SZ') AS newest
+ FROM obs GROUP BY ALL) p USING (market, source_product_id)
+GROUP BY r.market, collected_date""")
 def bigquery_ctas(lake: Lake):
-    """External table over the landed files, then CREATE TABLE AS SELECT into partitions."""
-    path = fresh_path(lake.spark, "native")
-    name = f"bronze_native_{uuid.uuid4().hex}"
-    lake.spark.sql(f"""
-        CREATE TABLE {name} USING PARQUET PARTITIONED BY (collected_date)
-        LOCATION '{path}' AS
-        SELECT /*+ REBALANCE(collected_date) */ record_id, market, search_term, price,
-               CAST(date_trunc('month', to_timestamp(collected_at)) AS DATE) AS collected_date
-        FROM {{bronze_raw}}""", bronze_raw=lake.bronze)
-    return lake.spark.table(name).groupBy("market", "collected_date").agg(
-        F.count(F.lit(1)).alias("records"), F.min("record_id").alias("first_record"))
+    """Native tables made from the landed files, clustered alike, joined where they lie."""
+    with clustered.native_tables(lake.spark, fresh_path(lake.spark, "native"), lake.bronze) as t:
+        return reliable_checkpoint(clustered.months_with_newest(lake.spark, t))
 
 
 # --- run documents -----------------------------------------------------------------------
