@@ -38,6 +38,7 @@ from gondola.llm.frames import TEXT, pieces, removed, stored_at
 BLOCK = 1 << 20  # words that a task holds before it closes its largest block
 SLICE = 1 << 20  # bytes of one text taken at a time
 SHARD = 1 << 20  # entries of a shard, by their upper bound
+PARTS = 64  # parts of a language that are ranked apart before they meet
 GAP = b"\xff"  # no byte of UTF-8: marks the end of a piece
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + _BREAKS + b"\t",
@@ -409,11 +410,15 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int =
     covers = (phrases.filter(F.size("words") > 2)
               .select("lang", F.explode(inside).alias("words"), F.col("f").alias("_longer"))
               .groupBy("lang", "words").agg(F.max("_longer").alias("_longer")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    part = Window.partitionBy("lang", "_part").orderBy(*best)  # the best of parts of a language
+    order = Window.partitionBy("lang").orderBy(*best)
     phrase = F.array_join(F.transform("words", lambda w: w.cast("string")), " ")
     return (scored(found).join(covers, ["lang", "words"], "left")
             .filter(F.col("_longer").isNull() | (den * F.col("_longer") < num * F.col("a")))
             .withColumn("phrase", phrase)
+            .withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+            .withColumn("_place", F.row_number().over(part)).filter(F.col("_place") <= top)
             .withColumn("rank", F.row_number().over(order).cast("bigint"))
             .filter(F.col("rank") <= top).join(totals, "lang")
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
