@@ -26,11 +26,12 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gondola.llm.frames import TEXT, pieces, removed, stored_at
@@ -325,6 +326,18 @@ def _shards(sizes: DataFrame) -> dict[str, int]:
     return {r["lang"]: max(1, -(-int(r["n"] or 0) // SHARD)) for r in sizes.collect()}
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Rows hold megabytes here: few of them go to a worker at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, text: str = "text",
                      lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words that occur ``least`` times, and words per language.
@@ -334,6 +347,13 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, text: s
     length is stored.
     """
     spark = docs.sparkSession
+    with _small_batches(spark):
+        return _levels(docs, longest, least, text, lang)
+
+
+def _levels(docs: DataFrame, longest: int, least: int, text: str,
+            lang: str) -> tuple[DataFrame, DataFrame]:
+    spark = docs.sparkSession
     relation, path = stored_at(occurrences(docs, text, lang), "phrase-words")
     totals = relation.groupBy("lang").agg(F.sum("n").alias("n"))
     totals, _ = stored_at(totals, "phrase-totals")
@@ -342,6 +362,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, text: s
                                    longest > 1), "phrase-counts-1")
     offsets = _offsets(answers)
     level = _groups(answers, offsets, True).select("lang", "id", F.array("word").alias("words"), "f")
+    level, _ = stored_at(level, "phrase-groups-1")
     found = level.drop("id")
     for length in range(2, longest + 1):
         kept, kept_path = stored_at(
