@@ -16,13 +16,32 @@ PRICE_SPAN = r'(?s)<span\b[^>]*class="[^"]*text-price-default[^"]*"[^>]*>(.*?)</
 ID_IN_HREF = r"-(\d+)(?:\?|$)"
 
 
-def _entity_map() -> Column:
-    """Entity name -> characters, as one literal: the names that end in a semicolon."""
-    pairs = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+# entities nearly all texts are made of; "&amp;" comes last, so that what it gives stays as it is
+COMMON = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
+          ("&amp;", "&")]
+# an ampersand that is neither one of these nor a plain one before a blank or the end
+UNCOMMON = "&(?!(?:" + "|".join(e[1:-1] for e, _ in COMMON) + r");|[\t\n\f <&;]|$)"
+NUMBER = r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+));?"
+NAME = r"^([a-zA-Z][a-zA-Z0-9]{0,31});"
+# names that count without a semicolon as well; the longest that fits is read
+OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+
+
+def _literal_map(pairs: dict[str, str]) -> Column:
     return F.str_to_map(F.lit("\u0001".join(f"{n}\u0002{c}" for n, c in pairs.items())),
                         F.lit("\u0001"), F.lit("\u0002"))
 
 
+def _named(name: Column) -> Column:
+    """Characters of an entity name: a short map per first letter, as a map is searched in order."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for n, c in html5.items():
+        if n.endswith(";"):
+            by_letter.setdefault(n[0], {})[n[:-1]] = c
+    maps = F.array(*[_literal_map(by_letter.get(chr(c), {"": ""})) for c in range(65, 123)])
+    return F.try_element_at(F.get(maps, F.ascii(name) - 65), name)
+
+
 def _code_point(digits: Column, base: int) -> Column:
     """Character of a number in decimal or hexadecimal digits, of any length.
 
@@ -42,25 +61,37 @@ def _code_point(digits: Column, base: int) -> Column:
             .when(valid & control, "").otherwise(char))
 
 
+def _decoded(p: Column) -> Column:
+    """What follows an ampersand, up to the next one, with its entity decoded."""
+    number = blank_to_null(F.regexp_extract(p, NUMBER, 1))
+    whole_number = F.length(F.regexp_extract(p, NUMBER, 0))
+    name = blank_to_null(F.regexp_extract(p, NAME, 1))
+    char = (F.when(number.rlike("^#[xX]"), _code_point(F.substr(number, F.lit(3)), 16))
+            .when(number.isNotNull(), _code_point(F.substr(number, F.lit(2)), 10))
+            .otherwise(_named(name)))
+    size = F.when(number.isNotNull(), whole_number).otherwise(F.length(name) + 1)
+    opened = blank_to_null(F.regexp_extract(p, f"^({'|'.join(OPEN_NAMES)})", 1))
+    half = F.try_element_at(_literal_map({n: html5[n] for n in OPEN_NAMES}), opened)
+    return F.coalesce(F.concat(char, F.substr(p, size + 1)),
+                      F.concat(half, F.substr(p, F.length(opened) + 1)),
+                      F.concat(F.lit("&"), p))
+
+
 def unescape(c: Column) -> Column:
     """Decode named and numeric entities in one pass; unknown ones stay as they are.
 
-    The text is cut at each ``&``, so a decoded ``&amp;`` can never start another
-    entity. Text without ``&`` skips all of it.
+    Half-written entities count as browsers read them: numbers without a semicolon, and the
+    longest of the names that need none (``&notit;`` is the sign of "not" and ``it;``).
+    Text without ``&`` is left alone, and text with common entities only is decoded by
+    replacement; the rest is cut at each ``&``, so that a decoded ``&amp;`` can never start
+    another entity.
     """
-    entity = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
-
-    def piece(p: Column) -> Column:
-        name = blank_to_null(F.regexp_extract(p, entity, 1))
-        char = (F.when(name.rlike("^#[xX]"), _code_point(F.substr(name, F.lit(3)), 16))
-                .when(name.startswith("#"), _code_point(F.substr(name, F.lit(2)), 10))
-                .otherwise(F.try_element_at(_entity_map(), name)))
-        rest = F.substr(p, F.length(name) + 2)
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p))
-
-    parts = F.split(c, "&")
-    decoded = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(piece(p)))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
+    plain = c
+    for entity, char in COMMON:
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    decoded = F.transform(F.split(c, "&"), lambda p, i: F.when(i == 0, p).otherwise(_decoded(p)))
+    return (F.when(~F.contains(c, F.lit("&")), c).when(~c.rlike(UNCOMMON), plain)
+            .otherwise(F.array_join(decoded, "")))
 
 
 def clean_text(c: Column) -> Column:

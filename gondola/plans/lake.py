@@ -114,11 +114,27 @@ class Lake:
     def catalog_months(self) -> DataFrame:
         return self._states("catalog", lambda: states.catalog_states(self.kept))
 
+    def _landed(self, name: str, answers) -> DataFrame:
+        """Raw answers as a collector leaves them: landed once, in files of even size."""
+        path = self._once(f"landed-{name}", lambda path: answers(self.spark, self.sf_dir)
+                          .hint("rebalance").write.parquet(path))
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def graphql(self) -> DataFrame:
+        return self._landed("graphql", adapter.graphql_payloads)
+
+    @cached_property
+    def search_hits(self) -> DataFrame:
+        return self._landed("hits", adapter.search_hit_payloads)
+
+    @cached_property
+    def html(self) -> DataFrame:
+        return self._landed("html", adapter.html_payloads)
+
     def payload_path(self) -> str:
         return self._once("payloads", lambda path: writers.write_raw_payloads(
-            adapter.graphql_payloads(self.spark, self.sf_dir).drop("record_id")
-            .unionByName(adapter.search_hit_payloads(self.spark, self.sf_dir)
-                         .drop("record_id")), path))
+            self.graphql.drop("record_id").unionByName(self.search_hits.drop("record_id")), path))
 
     def audit_path(self) -> str:
         def write(path: str) -> None:

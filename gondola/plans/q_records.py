@@ -211,8 +211,7 @@ SELECT record_id, 'atacadao' AS market, product_name, price, price AS unit_price
  'https://www.atacadao.com.br/' AS source_url, image_url, wholesale_price
 FROM {_EDGES}, range(2) AS e(i) WHERE i < n_edges""")
 def flatten_graphql(lake: Lake):
-    return payloads.flatten_graphql(adapter.graphql_payloads(lake.spark, lake.sf_dir),
-                                    ("record_id",))
+    return payloads.flatten_graphql(lake.graphql, ("record_id",))
 
 
 @query("flatten_search_hits", f"""
@@ -223,8 +222,7 @@ SELECT record_id, 'mix_mateus' AS market, product_name, price, price AS unit_pri
  'https://www.mixmateus.com.br/' AS source_url, image_url, wholesale_price
 FROM {_EDGES}, range(2) AS e(i) WHERE l_partkey % 5 <> 3""")
 def flatten_search_hits(lake: Lake):
-    return payloads.flatten_search_hits(adapter.search_hit_payloads(lake.spark, lake.sf_dir),
-                                        ("record_id",))
+    return payloads.flatten_search_hits(lake.search_hits, ("record_id",))
 
 
 _CARDS = """(SELECT *, CASE WHEN l_partkey % 3 <> 0 OR l_partkey % 6 <> 0
@@ -243,11 +241,11 @@ SELECT record_id, 'carrefour' AS market, card_name AS product_name, price, price
  coalesce(image_url, '/none.png') AS image_url, CAST(NULL AS DOUBLE) AS wholesale_price
 FROM {_CARDS}, range(2) AS e(i) WHERE card_name IS NOT NULL OR price IS NOT NULL""")
 def flatten_html(lake: Lake):
-    return payloads.flatten_html(adapter.html_payloads(lake.spark, lake.sf_dir), ("record_id",))
+    return payloads.flatten_html(lake.html, ("record_id",))
 
 
 def _graphql_nodes(lake: Lake):
-    p = adapter.graphql_payloads(lake.spark, lake.sf_dir)
+    p = lake.graphql
     doc = F.from_json("raw_payload", schemas.GRAPHQL)
     return p.select("record_id", F.explode(doc["data"]["search"]["products"]["edges"])
                     .alias("edge")).select("record_id", "edge.node")
@@ -270,12 +268,12 @@ def nested_array_first(lake: Lake):
 
 
 def _cards(lake: Lake):
-    return payloads.html_cards(adapter.html_payloads(lake.spark, lake.sf_dir))
+    return payloads.html_cards(lake.html)
 
 
 @query("html_extract_cards", "SELECT record_id, CAST(2 AS BIGINT) AS cards FROM obs")
 def html_extract_cards(lake: Lake):
-    pages = adapter.html_payloads(lake.spark, lake.sf_dir)
+    pages = lake.html
     return pages.select("record_id",
                         F.size(html.cards(F.col("raw_payload"))).cast("bigint").alias("cards"))
 
@@ -331,7 +329,7 @@ def url_join(lake: Lake):
 SELECT count(*) AS kept_cards FROM {_CARDS}, range(2) AS e(i)
 WHERE card_name IS NOT NULL OR price IS NOT NULL""")
 def card_filter(lake: Lake):
-    flat = payloads.flatten_html(adapter.html_payloads(lake.spark, lake.sf_dir))
+    flat = payloads.flatten_html(lake.html)
     return flat.agg(F.count(F.lit(1)).alias("kept_cards"))
 
 

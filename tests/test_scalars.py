@@ -193,3 +193,17 @@ def test_accents_over_the_whole_plane(spark):
         "\u1ea1b": "ab", "\ufb01n": "fin", "\uff21\uff22": "AB", "e\u0301": "e", "\u00bd": "1\u20442",
         "\uac00": "\uac00", "plain": "plain", "\u01c6": "dz"})
     check(spark, text.norm_name, {"\u1ea1b": "Ab"})
+
+
+def test_every_entity_name_with_and_without_semicolon(spark):
+    import html as library
+    import random
+    from html.entities import html5
+    names = sorted({n.rstrip(";") for n in html5})
+    rng = random.Random(1)
+    texts = [f"&{n};" for n in names] + [f"&{n}" for n in names] + [f"x&{n}y;&" for n in names]
+    texts += [f"&{n};&amp;{n};&amp{n}" for n in rng.sample(names, 300)]
+    signs = ["&", "#", "x", ";", "amp", "lt", "not", "it", "1", "65", "128", " ", "&amp;", "&lt;",
+             "\n", "é", "<", "notin", " ", "&#39;", "AMP", "Copy", "copy", "0", "f"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 12))) for _ in range(4000)]
+    check(spark, html.unescape, {t: library.unescape(t) for t in texts})
