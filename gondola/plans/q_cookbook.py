@@ -131,20 +131,26 @@ def bronze_profile(lake: Lake):
     return profile.bronze_profile(lake.obs)
 
 
-_LANDED = ", ".join(
-    f"('{f.name}', '{f.dataType.simpleString()}')" for f in schemas.BRONZE.fields
-    if f.name != "market") + ", " + ", ".join(
-    f"('{c}', 'string')" for c in schemas.BRONZE_PARTITIONS)
+_LANDED = ([(f.name, f.dataType.simpleString()) for f in schemas.BRONZE.fields
+            if f.name != "market"] + [(c, "string") for c in schemas.BRONZE_PARTITIONS])
+# what every landed record has; other columns are those of the records
+_ALWAYS = {"bronze_ingestion_timestamp", "bronze_data_version", "bronze_error_flag",
+           *schemas.BRONZE_PARTITIONS}
+_SCHEMA_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, "
+    f"count({'*' if c in _ALWAYS else c}) AS present FROM obs" for c, t in _LANDED)
 
 
-@query("bronze_schema", f"SELECT * FROM (VALUES {_LANDED}) AS t(column_name, data_type)")
+@query("bronze_schema", _SCHEMA_SQL)
 def bronze_schema(lake: Lake):
-    """Columns and types of the landed files, from the files' own schema."""
-    fields = lake.spark.read.parquet(lake.bronze_path()).schema.fields
-    text = {c: "string" for c in schemas.BRONZE_PARTITIONS}
-    return lake.spark.createDataFrame(
-        [(f.name, text.get(f.name, f.dataType.simpleString())) for f in fields],
-        "column_name string, data_type string")
+    """Columns and types of the landed files, and how many records have a value in each."""
+    landed = lake.bronze
+    counts = landed.agg(*[F.count(c).alias(c) for c in landed.columns])
+    types = {f.name: f.dataType.simpleString() for f in landed.schema}
+    kind = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
+    return (counts.unpivot([], landed.columns, "column_name", "present")
+            .select("column_name", F.element_at(kind, F.col("column_name")).alias("data_type"),
+                    "present"))
 
 
 def _paths(kind: str, rows: list[tuple[str, str, str]]) -> str:
@@ -303,7 +309,7 @@ def audit_recent_runs(lake: Lake):
     return audit.recent_runs(lake.audit("silver"))
 
 
-@query("audit_health", f"""
+@query("audit_health_checks", f"""
 SELECT check_name, value, CASE WHEN ok THEN 'OK' WHEN check_name = 'ean_validity' THEN 'ALERT'
  ELSE 'WARNING' END AS status FROM (
  SELECT 'recent_transformations' AS check_name, CAST(count(*) FILTER (WHERE
@@ -312,11 +318,17 @@ SELECT check_name, value, CASE WHEN ok THEN 'OK' WHEN check_name = 'ean_validity
  UNION ALL SELECT 'quality', {r('avg(quality_score)')} AS value, value > 80 FROM {_SILVER_RUN}
  UNION ALL SELECT 'ean_validity', {r('avg(CASE WHEN ean_valid THEN 1.0::DOUBLE ELSE 0 END)', 4)}
   AS value, value > 0.80 FROM kept)""")
-def audit_health(lake: Lake):
-    """As of the newest run, without the stored bytes, which SQL cannot know."""
+def audit_health_checks(lake: Lake):
+    """As of the newest run, the checks that SQL can know."""
     return _health(lake).filter("check_name != 'disk_usage'")
 
 
+@query("audit_health")
+def audit_health(lake: Lake):
+    """As of the newest run: recent runs, score, code validity, and stored bytes (in GB)."""
+    return _health(lake)
+
+
 def _health(lake: Lake):
     runs = lake.audit("silver")
     now = F.lit(runs.agg(F.max("execution.run_date")).first()[0]).cast("date")
@@ -332,14 +344,20 @@ def audit_bronze_alerts(lake: Lake):
     return audit.bronze_alerts(lake.audit("bronze"), F.lit("2030-01-01").cast("date"))
 
 
-@query("storage_report", """
+@query("storage_report")
+def storage_report(lake: Lake):
+    """Files and bytes of every folder of the landed Bronze files."""
+    return history.storage_report(lake.spark, lake.bronze_path())
+
+
+@query("storage_folders", """
 SELECT DISTINCT market, strftime(run_ts, '%Y') AS year, strftime(run_ts, '%m') AS month,
  strftime(run_ts, '%d') AS day, TRUE AS has_files, TRUE AS has_bytes FROM obs""")
-def storage_report(lake: Lake):
-    """Folders of the landed Bronze files with files and bytes; sizes have no SQL form."""
-    found = history.storage_report(lake.spark, lake.bronze_path())
-    return found.select("market", "year", "month", "day", (F.col("files") > 0).alias("has_files"),
-                        (F.col("bytes") > 0).alias("has_bytes"))
+def storage_folders(lake: Lake):
+    """The folders of the report; sizes have no SQL form."""
+    return storage_report(lake).select(
+        "market", "year", "month", "day", (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("retention_select", """
@@ -713,14 +731,14 @@ def gold_catalog_view(lake: Lake):
 
 
 @query("product_fingerprint", """
-SELECT market, count(*) AS records, count(DISTINCT concat_ws('|', market,
- product_name_normalized)) AS products FROM kept GROUP BY market""")
+SELECT record_id, market, CASE WHEN product_name_normalized IS NOT NULL
+ THEN CAST('0x' || substr(md5(market || product_name_normalized), 1, 15) AS BIGINT) END AS product_id
+FROM kept""")
 def product_fingerprint(lake: Lake):
-    """One id per market and name: as many ids as there are such keys."""
-    key = F.concat_ws("|", "market", "product_name_normalized")
-    ids = lake.kept.select("market", F.xxhash64(key).alias("product_id"))
-    return ids.groupBy("market").agg(F.count(F.lit(1)).alias("records"),
-                                     F.count_distinct("product_id").alias("products"))
+    """A 60-bit product id per market and name; NULL without a name."""
+    digest = F.md5(F.concat("market", "product_name_normalized"))
+    product_id = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return lake.kept.select("record_id", "market", product_id.alias("product_id"))
 
 
 @query("year_summary", """

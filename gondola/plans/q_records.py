@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gondola import dims, schemas
@@ -468,18 +467,21 @@ def bronze_batch_counts(lake: Lake):
     return bronze.batch_counts(d, ["market"])
 
 
-@query("bronze_batch_hash", """
-SELECT market, bronze_run_id, count(*) AS records, TRUE AS identified, TRUE AS unique_id
-FROM obs GROUP BY ALL""")
+_ROW = " || chr(31) || ".join(
+    f"coalesce('=' || {f'CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)' if c in schemas.NUMERIC_FIELDS else c}, '')"
+    for c in audit.BUSINESS_COLUMNS)
+
+
+@query("bronze_batch_hash", f"""
+SELECT market, bronze_run_id, count(*) AS records, concat_ws('-', count(*),
+ sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)), sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)))
+ AS batch_id
+FROM (SELECT market, bronze_run_id, md5({_ROW}) AS h FROM obs) GROUP BY market, bronze_run_id""")
 def bronze_batch_hash(lake: Lake):
-    """Batches with different content have different identities; a hash has no SQL form."""
-    batches = lake.obs.groupBy("market", "bronze_run_id").agg(
+    """Identity of every batch: equal content, equal identity."""
+    return lake.obs.groupBy("market", "bronze_run_id").agg(
         F.count(F.lit(1)).alias("records"),
         bronze.batch_hash(audit.BUSINESS_COLUMNS).alias("batch_id"))
-    same = F.count(F.lit(1)).over(Window.partitionBy("batch_id"))
-    return batches.select("market", "bronze_run_id", "records",
-                          F.col("batch_id").isNotNull().alias("identified"),
-                          (same == 1).alias("unique_id"))
 
 
 @query("date_parts", """

@@ -311,3 +311,29 @@ def test_price_islands_cross_slices_of_a_hot_group(spark):
     assert {k: (r["lower_partner"], r["upper_partner"], r["group_no"], r["representative"],
                 r["is_fuzzy_duplicate"]) for k, r in got.items()} == want
     assert max(w[2] for w in want.values()) > 3  # several islands, some over many slices
+
+
+def test_storage_report_equals_the_folders(spark, lake):
+    import os
+    from urllib.parse import unquote
+    want = {}
+    for base, _, names in os.walk(lake.bronze_path()):
+        parts = dict(p.split("=", 1) for p in unquote(base).split("/") if "=" in p)
+        for name in names:
+            if name.endswith(".parquet"):
+                key = tuple(parts[c] for c in ("market", "year", "month", "day"))
+                files, size = want.get(key, (0, 0))
+                want[key] = files + 1, size + os.path.getsize(f"{base}/{name}")
+    got = {tuple(r[:4]): (r["files"], r["bytes"])
+           for r in history.storage_report(spark, lake.bronze_path()).collect()}
+    assert got == want and want
+
+
+def test_batch_identity_tells_null_from_empty_and_shifted_values(spark):
+    rows = {"null": (None, "ab", 1.5), "empty": ("", "ab", 1.5), "shift": ("a", "b", 1.5),
+            "shift2": ("ab", "", 1.5), "price": ("a", "b", 1.500001), "nan": ("a", "b", float("nan"))}
+    df = spark.createDataFrame([(k, *v) for k, v in rows.items()],
+                               "k string, product_name string, brand string, price double")
+    ids = {r["k"]: r["h"] for r in df.groupBy("k").agg(
+        bronze.batch_hash(["product_name", "brand", "price"]).alias("h")).collect()}
+    assert len(set(ids.values())) == len(rows)
