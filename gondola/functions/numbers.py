@@ -73,6 +73,24 @@ def mean_of_cents(total: Column, n: Column) -> Column:
                   / F.lit(100.0))
 
 
+def exact_price_sums(price: Column) -> dict[str, Column]:
+    """Aggregates of whole cents: count, sum and sum of squares, the same in any row order."""
+    c = cents(price).cast("decimal(19,0)")
+    return {"n": F.count(price), "s": F.sum(c), "q": F.sum((c * c).cast("decimal(38,0)"))}
+
+
+def mean_and_deviation(n: Column, s: Column, q: Column) -> tuple[Column, Column]:
+    """Mean and sample deviation in currency units from :func:`exact_price_sums`."""
+    mean = F.when(n > 0, s.cast("double") / n.cast("double") / F.lit(100.0))
+    return mean, stddev_of_cents(n, s, q)
+
+
+def exact_mean(c: Column, digits: int) -> Column:
+    """Aggregate: mean of a value with ``digits`` decimals, added up in whole numbers."""
+    scale = float(10 ** digits)
+    return F.sum(F.floor(c * F.lit(scale) + F.lit(0.5)).cast("bigint")) / F.count(c) / F.lit(scale)
+
+
 def stddev_of_cents(n: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation in currency units; NULL below two values."""
     return F.sqrt(variance_of_cents(n, total, squares))

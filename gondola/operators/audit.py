@@ -76,8 +76,8 @@ def silver_runs(kept: DataFrame, seconds: Column | None = None) -> DataFrame:
         F.col("bronze_run_id")))
 
 
-def gold_runs(kept: DataFrame, run_id: str, run_ts: Column, seconds: Column, tables: int,
-              failed: int) -> DataFrame:
+def gold_runs(kept: DataFrame, run_id: str, run_ts: Column, seconds: Column, status: str,
+              tables: int, failed: int) -> DataFrame:
     """One document per market of a Gold build: rows read, tables written and failed."""
     none = F.struct(F.lit(None).cast("double").alias("quality_score"),
                     F.lit(None).cast("string").alias("status"),
@@ -85,7 +85,7 @@ def gold_runs(kept: DataFrame, run_id: str, run_ts: Column, seconds: Column, tab
     g = kept.groupBy("market").agg(F.count(F.lit(1)).alias("n")).withColumn("run_ts", run_ts)
     return g.select(*_document(
         "gold", F.lit(run_id), F.col("run_ts"), seconds,
-        F.lit("SUCCESS" if not failed else "PARTIAL" if tables else "FAILED"),
+        F.lit(status),
         {"input": F.col("n"), "output": F.lit(tables), "errors": F.lit(failed)}, none,
         F.create_map().cast("map<string,double>"), F.lit(None).cast("string"),
         F.lit(None).cast("string")))
@@ -121,7 +121,8 @@ def silver_metrics(audit: DataFrame) -> DataFrame:
     return audit.groupBy("market").agg(
         F.sum("records.output").alias("records_output"),
         F.sum("records.deduplicated").alias("deduplicated"),
-        numbers.round_half_up(F.avg("quality.quality_score")).alias("quality_score"),
+        numbers.round_half_up(numbers.exact_mean(F.col("quality.quality_score"), 2))
+        .alias("quality_score"),
         F.avg("execution.duration_seconds").alias("duration_s"))
 
 
@@ -140,9 +141,10 @@ def _day_of(now: Column, text: Column) -> Column:
 def health(audit: DataFrame, silver: DataFrame, size: DataFrame, now: Column) -> DataFrame:
     """Four status rows: recent runs, mean score, code validity, stored bytes (one row)."""
     recent = F.count_if(_day_of(now, F.col("execution.run_date")) < 1)
-    score = numbers.round_half_up(F.coalesce(F.avg("quality.quality_score"), F.lit(0.0)))
+    score = numbers.round_half_up(F.coalesce(
+        numbers.exact_mean(F.col("quality.quality_score"), 2), F.lit(0.0)))
     a = audit.agg(recent.cast("double").alias("recent_transformations"), score.alias("quality"))
-    valid = numbers.round_half_up(F.avg(F.col("ean_valid").cast("double")), 4)
+    valid = numbers.round_half_up(F.count_if("ean_valid") / F.count("ean_valid"), 4)
     s = silver.agg(F.coalesce(valid, F.lit(0.0)).alias("ean_validity"))
     d = size.select((F.col("bytes") / F.lit(1024.0 ** 3)).alias("disk_usage"))
     limits = {"recent_transformations": F.col("value") > 0, "quality": F.col("value") > 80,

@@ -18,27 +18,31 @@ def profile(df: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
     """Every count the checks need, one row per batch, from one pass.
 
     ``df`` is a Silver table after deduplication. All aggregates combine before
-    the shuffle, so a batch may be of any size.
+    the shuffle, so a batch may be of any size. Means and deviations come from whole cents
+    and tenths, so a price at a limit stays on its side whatever the order of rows.
     """
     price = F.col("price")
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in dims.NULL_RATE_LIMITS]
     score = F.col("data_completeness")
     brand = F.lower("brand")
-    return df.groupBy(*keys).agg(
+    sums = numbers.exact_price_sums(price)
+    mean, std = numbers.mean_and_deviation(*(F.col(f"_{k}") for k in sums))
+    out = df.groupBy(*keys).agg(
+        *[c.alias(f"_{k}") for k, c in sums.items()],
         F.count(F.lit(1)).alias("n"), *nulls,
         F.count("price").alias("n_price"),
         F.count_if((price < dims.PRICE_MIN) | (price > dims.PRICE_MAX)).alias("out_of_range"),
         F.count_if(price < 0).alias("negative"),
-        F.avg("price").alias("mean_price"), F.stddev_samp("price").alias("std_price"),
         F.count("ean").alias("n_ean"),
         F.count_if(F.col("ean").isNotNull() & F.col("ean_valid")).alias("n_valid_ean"),
         F.coalesce(F.sum("duplicate_count"), F.lit(0)).alias("dup_removed"),
         F.count_if(F.col("duplicate_count") > 0).alias("dup_kept_rows"),
         F.count_if(F.col("is_duplicate")).alias("dup_marked"),
-        F.avg(score).alias("avg_completeness"), F.min(score).alias("min_completeness"),
+        numbers.exact_mean(score, 1).alias("avg_completeness"), F.min(score).alias("min_completeness"),
         F.count_if(score < dims.MIN_COMPLETENESS).alias("n_incomplete"),
         F.count_if(brand.isin(dims.SUSPICIOUS_BRANDS)).alias("n_suspicious"),
         F.count_if(F.col("category_normalized") == dims.UNCATEGORIZED).alias("n_uncategorized"))
+    return out.withColumns({"mean_price": mean, "std_price": std}).drop(*[f"_{k}" for k in sums])
 
 
 def with_outliers(df: DataFrame, prof: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:

@@ -90,8 +90,9 @@ def clean_silver(landed: DataFrame, root: str, transformation_id: str | None = N
     out = kept.drop(*partitions).withColumn("run_ts", F.current_timestamp())
     writers.write_silver(out, f"{root}/data")
     written = spark.read.parquet(f"{root}/data").filter(F.col("transformation_id") == tid)
-    statuses = quality.status(quality.assess(written, keys), keys)
-    files = {"products": f"{root}/data"}
+    files = {"products": f"{root}/data", "statuses": f"{root}/statuses/transformation_id={tid}"}
+    quality.status(quality.assess(written, keys), keys).write.parquet(files["statuses"])
+    statuses = spark.read.parquet(files["statuses"])  # judged once: the gate reads them again
     documents = audit.silver_runs(written.withColumn("run_ts", F.current_timestamp()),
                                   F.lit(time.monotonic() - start))
     files["metadata"] = writers.write_audit(documents, f"{root}/audit")
@@ -119,7 +120,7 @@ def publish_gold(kept: DataFrame, root: str, run_id: str | None = None) -> Layer
     status = ("SUCCESS" if not errors else "PARTIAL" if len(errors) < len(files) else "FAILED")
     seconds = F.lit(time.monotonic() - start)
     writers.write_audit(audit.gold_runs(kept, run_id, F.current_timestamp(), seconds,
-                                        len(files), len(errors)), f"{root}/audit")
+                                        status, len(files), len(errors)), f"{root}/audit")
     return LayerResult("gold", run_id, status, files_created=files, errors=errors,
                        duration_ms=(time.monotonic() - start) * 1000)
 

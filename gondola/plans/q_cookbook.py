@@ -555,7 +555,9 @@ def silver_price_describe(lake: Lake):
 SELECT record_id, product_name, price, category_normalized FROM kept,
  (SELECT avg(price) + 3 * stddev_samp(price) AS lim FROM kept) WHERE price > lim""")
 def silver_price_outliers(lake: Lake):
-    lim = lake.kept.agg((F.avg("price") + 3 * F.stddev_samp("price")).alias("lim"))
+    sums = numbers.exact_price_sums(F.col("price"))
+    mean, std = numbers.mean_and_deviation(*map(F.col, sums))
+    lim = lake.kept.agg(*[c.alias(k) for k, c in sums.items()]).select((mean + 3 * std).alias("lim"))
     return (lake.kept.select("record_id", "product_name", "price", "category_normalized")
             .join(F.broadcast(lim), F.col("price") > F.col("lim")).drop("lim"))
 
