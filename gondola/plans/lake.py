@@ -30,6 +30,12 @@ class Lake:
 
     @cached_property
     def obs(self) -> DataFrame:
+        """Raw records as they were collected: landed once, in files of even size."""
+        path = self._once("observations", lambda path: self._observed()
+                          .hint("rebalance").write.parquet(path))
+        return self.spark.read.parquet(path)
+
+    def _observed(self) -> DataFrame:
         """Raw records plus the run that collected them: one run per market and month."""
         ts = F.date_trunc("month", "collected_at").cast("timestamp_ntz")
         month = F.date_format("run_ts", "yyyyMMdd")
