@@ -1,48 +1,62 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Documents of a source, in hash order, form blocks. Time runs in slots, one block each.
-A period gives every source as many slots as its integer share; the j-th block of a
-source with m of the L slots is released at floor((j - 1) L / m) and due at
-ceil(j L / m), and each slot takes the released block with the earliest deadline. All
-deadlines are met, so at any time a source is less than one block away from its weight.
-
-Periods repeat until a source runs out. Its last, smaller share makes one period of its
-own, and then the others go on with theirs: nothing is dropped or repeated. A period's
-slots depend only on its shares, so each distinct kind of period is scheduled once, by
-one task, and the blocks of all its periods follow by arithmetic.
+With weights that add up to 1, block j (from 0) of a source with weight w is released at
+floor(j / w) and due at ceil((j + 1) / w), and each slot takes the released block with the
+earliest deadline. All deadlines are met, so at any time a source is less than one block
+away from its weight. Windows follow from the weights themselves, in whole numbers over
+the whole mix: nothing is rounded to a period, so nothing adds up.
+
+When a source runs out, time goes on with the sum of the other weights: they keep their
+proportions, and nothing is dropped or repeated. ``stop`` ends the mix there instead, for
+a result that is to target from end to end, and leaves the rest out.
+
+The schedule is made by one task and holds one row per block: ``MAX_BLOCKS`` at most, as
+blocks hold more documents where there are more. Documents are then joined with it.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.frames import ranked, stored
 
+MAX_BLOCKS = 1 << 22  # blocks of a schedule, but for one more per source
+_SCALE = 1 << 80  # parts of a unit of time
+_WEIGHT = 1 << 40  # the weights are whole numbers with this sum
 
-def schedule_period(shares: list[int]) -> list[tuple[int, int, int]]:
-    """(slot, source, block) of a period in which source i has ``shares[i]`` blocks."""
-    length = sum(shares)
-    release = {i: [(j - 1) * length // m for j in range(1, m + 1)] for i, m in enumerate(shares)}
-    waiting = [(release[i][0], i, 0) for i, m in enumerate(shares) if m]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(length):
-        while waiting and waiting[0][0] <= slot:
-            _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * length // shares[i]), i, j))
-        due, i, j = heapq.heappop(ready)
-        if due < slot + 1:
-            raise ArithmeticError("a block misses its deadline")
-        out.append((slot, i, j))
-        if j + 1 < shares[i]:
-            heapq.heappush(waiting, (release[i][j + 1], i, j + 1))
-    return out
+
+def earliest_deadline_first(weights: Sequence[int], blocks: Sequence[int],
+                            stop: bool = False) -> Iterator[tuple[int, int, int]]:
+    """(slot, source, block) in the order of the slots, for integer weights of any sum.
+
+    Time is the number of blocks that the present sources have had, over the sum of their
+    weights. With ``stop`` it ends at the first source that has no block left.
+    """
+    live, had = sum(w for w, m in zip(weights, blocks) if m), 0
+    done = [0] * len(weights)
+    waiting = [(0, i) for i, m in enumerate(blocks) if m]
+    ready: list[tuple[int, int]] = []
+    for slot in range(sum(blocks)):
+        had += 1
+        now = had * _SCALE // live
+        while waiting and (waiting[0][0] < now or not ready):
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, ((done[i] + 1) * _SCALE // weights[i], i))
+        i = heapq.heappop(ready)[1]
+        yield slot, i, done[i]
+        done[i] += 1
+        if done[i] < blocks[i]:
+            heapq.heappush(waiting, (done[i] * _SCALE // weights[i], i))
+            continue
+        if stop:
+            return
+        live, had = live - weights[i], had - done[i]
 
 
 def tempered_weights(docs: DataFrame, source: str = "source", power: float = 0.5) -> DataFrame:
@@ -51,100 +65,69 @@ def tempered_weights(docs: DataFrame, source: str = "source", power: float = 0.5
         F.pow(F.count(F.lit(1)).cast("double"), F.lit(power)).alias("weight"))
 
 
-def shares(weights: DataFrame, present: DataFrame, period: int) -> DataFrame:
-    """(source, blocks, share): slots per period in proportion to the weights, one at least.
+def present_weights(weights: DataFrame, present: DataFrame) -> DataFrame:
+    """(source, blocks, w): whole-number weights of the sources that have blocks.
 
     Sources that no weight names get the least positive weight; a weight that is null
-    or not positive counts as unnamed. Shares are largest remainders of ``period``.
+    or not positive counts as unnamed.
     """
     named = weights.filter("weight > 0").groupBy("source").agg(F.sum("weight").alias("weight"))
     joined = present.join(named.withColumnRenamed("source", "_named"),
                           F.col("source").eqNullSafe(F.col("_named")), "left").drop("_named")
     least = named.agg(F.coalesce(F.min("weight"), F.lit(1.0)).alias("_least"))
-    whole = joined.crossJoin(F.broadcast(least)).withColumn("w", F.coalesce("weight", "_least"))
-    total = whole.agg(F.sum("w").alias("_total"))
-    exact = whole.crossJoin(F.broadcast(total)).withColumn("x", F.col("w") / F.col("_total") * period)
-    floored = exact.withColumn("_low", F.greatest(F.floor("x"), F.lit(1)))
-    spare = floored.agg((F.lit(period) - F.sum("_low")).alias("_spare"))
-    place = F.row_number().over(Window.orderBy(F.desc(F.col("x") - F.floor("x")), "source"))
-    return (floored.withColumn("_place", place).crossJoin(F.broadcast(spare))
-            .select("source", "blocks",
-                    (F.col("_low") + (F.col("_place") <= F.col("_spare")).cast("long"))
-                    .alias("share")))
-
-
-def _kinds(parts: DataFrame) -> DataFrame:
-    """(kind, first, last, number, source, m): shares of every distinct kind of period.
-
-    A source has whole shares in periods before blocks div share, the rest of its
-    blocks in that one, and none after it, so kinds change only there.
-    """
-    cuts = (parts.select(F.explode(F.array(
-        F.lit(0).cast("bigint"), F.expr("blocks div share"),
-        F.expr("blocks div share + 1"))).alias("first")).distinct())
-    after = F.lead("first").over(Window.orderBy("first"))
-    spans = cuts.withColumn("last", after - 1).filter("last is not null")
-    listed = spans.agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
-    m = F.least(F.greatest(F.col("blocks") - F.col("first") * F.col("share"), F.lit(0)),
-                F.col("share"))
-    return (parts.crossJoin(F.broadcast(listed)).select("*", F.inline("_spans"))
-            .withColumn("m", m).filter("m > 0"))
-
-
-def schedule(parts: DataFrame, period: int) -> DataFrame:
-    """(source, block, slot) of all blocks, from the (source, blocks, share) of the sources.
-
-    There are at most two kinds of period per source, and a period has ``period`` slots
-    or the number of sources, whichever is more. The table of kinds grows with the square
-    of the number of sources: sources are collections, thousands at most, not hosts.
+    whole = joined.crossJoin(F.broadcast(least)).withColumn("x", F.coalesce("weight", "_least"))
+    total = whole.agg(F.sum("x").alias("_total"))  # one row, as before
+    part = F.round(F.col("x") / F.col("_total") * _WEIGHT).cast("bigint")
+    return whole.crossJoin(F.broadcast(total)).select(
+        "source", "blocks", F.greatest(part, F.lit(1)).alias("w"))
+
+
+def schedule(parts: DataFrame, stop: bool = False) -> DataFrame:
+    """(source, block, slot) of all blocks, from the (source, blocks, w) of the sources.
+
+    One task reads a row per source and writes a row per block.
     """
-    kinds = stored(_kinds(parts).select("first", "last", "source", "share", "m"), "mix-kinds")
-
-    def plan(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("source", na_position="first").reset_index(drop=True)
-        slots = schedule_period(rows["m"].astype(int).tolist())
-        return pd.DataFrame({
-            "first": rows["first"].iloc[0], "last": rows["last"].iloc[0],
-            "source": rows["source"].iloc[[i for _, i, _ in slots]].to_list(),
-            "share": rows["share"].iloc[[i for _, i, _ in slots]].to_list(),
-            "length": len(slots), "offset": [s for s, _, _ in slots],
-            "nth": [j for _, _, j in slots]})
-
-    slots = kinds.groupBy("first").applyInPandas(
-        plan, "first bigint, last bigint, source string, share bigint, length bigint, "
-              "offset bigint, nth bigint")
-    spans = kinds.groupBy("first", "last").agg(F.sum("m").alias("length"))
-    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    bases = spans.select(F.col("first").alias("_first"), F.coalesce(
-        F.sum(F.col("length") * (F.col("last") - F.col("first") + 1)).over(before),
-        F.lit(0)).alias("_base"))
-    turns = slots.join(bases, F.col("first") == F.col("_first")).withColumn(
-        "_turn", F.explode(F.sequence("first", "last")))
-    return turns.select(
-        "source", (F.col("_turn") * F.col("share") + F.col("nth")).alias("block"),
-        (F.col("_base") + (F.col("_turn") - F.col("first")) * F.col("length") + F.col("offset"))
-        .alias("slot"))
+    def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames))
+        rows = rows.sort_values("source", na_position="first").reset_index(drop=True)
+        names, out = rows["source"].tolist(), []
+        for slot, i, block in earliest_deadline_first(
+                rows["w"].tolist(), rows["blocks"].tolist(), stop):
+            out.append((names[i], block, slot))
+            if len(out) == 50_000:
+                yield pd.DataFrame(out, columns=["source", "block", "slot"])
+                out = []
+        yield pd.DataFrame(out, columns=["source", "block", "slot"])
+
+    one = parts.select("source", "blocks", "w").coalesce(1)
+    return stored(one.mapInPandas(plan, "source string, block bigint, slot bigint"), "mix-slots")
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, doc_id: str = "doc_id",
-        source: str = "source", block_docs: int = 16, period: int = 1000) -> DataFrame:
+        source: str = "source", block_docs: int = 16, stop: bool = False) -> DataFrame:
     """(doc_id, source, mix_source_block, mix_slot, mix_position) of every document.
 
     ``mix_position`` orders the mix: slots in turn, then the order in the block. Blocks
-    hold ``block_docs`` documents of one source, the last one of a source maybe fewer.
-    ``weights`` (source, weight) default to the square root of the document counts. A null
-    source is a source of its own, a null id an id. Rows of one source and id are one
-    document and share its place. Texts are not read, so empty and very long ones count
-    like any. Weights of absent sources have no effect. No documents give no rows. Only
-    the id and the source are read; other columns are left behind.
+    hold ``block_docs`` documents of one source (more where that would be over
+    ``MAX_BLOCKS``), the last one of a source maybe fewer. ``weights`` (source, weight)
+    default to the square root of the document counts. With ``stop``, documents beyond
+    the first source that runs out are left out. A null source is a source of its own, a
+    null id an id. Rows of one source and id are one document and share its place. Texts
+    are not read, so empty and very long ones count like any. Weights of absent sources
+    have no effect. No documents give no rows. Only the id and the source are read; other
+    columns are left behind.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(source).cast("string").alias("_source"))
     if weights is None:
         weights = tempered_weights(rows, "_source")
     distinct = rows.distinct()
     present = stored(distinct.groupBy(F.col("_source").alias("source")).agg(
-        F.expr(f"(count(1) + {block_docs - 1}) div {block_docs}").alias("blocks")), "mix-sources")
-    slots = schedule(shares(weights, present, period), period)
+        F.count(F.lit(1)).alias("n")), "mix-sources")
+    total = present.agg(F.sum("n")).first()[0] or 0
+    block_docs = max(block_docs, -(-total // MAX_BLOCKS))
+    present = present.select("source", F.expr(f"(n + {block_docs - 1}) div {block_docs}")
+                             .alias("blocks"))
+    slots = schedule(present_weights(weights, present), stop)
     turns = slots.select(F.col("source").alias("_s"), F.col("block").alias("_b"),
                          F.col("slot").alias("mix_slot"))
     placed = ranked(distinct, ["_source"], ["_id"], "_rank").withColumn(
@@ -165,12 +148,3 @@ def ordered(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id",
     return (docs.join(at, F.col(doc_id).eqNullSafe(F.col("_id"))
                       & F.col(source).cast("string").eqNullSafe(F.col("_s")))
             .repartitionByRange("_at").sortWithinPartitions("_at").select(*docs.columns))
-
-
-def lags(slots: Iterator[str], weights: dict[str, float]) -> float:
-    """Largest deviation, in blocks, of a sequence of sources from its weights."""
-    done, worst = dict.fromkeys(weights, 0), 0.0
-    for at, source in enumerate(slots, 1):
-        done[source] += 1
-        worst = max(worst, *(abs(done[s] - w * at) for s, w in weights.items()))
-    return worst

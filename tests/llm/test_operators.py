@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -202,25 +203,50 @@ def test_other_tokenizers_get_whole_texts():
 
 # ---- mixing ---------------------------------------------------------------
 
-@pytest.mark.parametrize("shares", [[5, 3, 2], [1, 1, 1], [997, 2, 1], [7, 7, 5, 1, 13], [4]])
-def test_pfair_stays_within_one_block(shares):
-    total = sum(shares)
-    slots = mixing.schedule_period(shares)
-    assert [s for s, _, _ in slots] == list(range(total))
-    assert Counter(i for _, i, _ in slots) == {i: m for i, m in enumerate(shares)}
-    weights = {i: m / total for i, m in enumerate(shares)}
-    assert mixing.lags([i for _, i, _ in slots], weights) < 1
-
-
-def test_mix_keeps_all_rows_and_the_weights(spark):
+def worst_lag(sources, weights):
+    """Largest deviation, in blocks, from the given weights, until a source runs out."""
+    total = sum(weights.values())
+    done, worst = dict.fromkeys(weights, 0), 0.0
+    for at, source in enumerate(sources, 1):
+        done[source] += 1
+        worst = max(worst, *(abs(done[s] - w * at / total) for s, w in weights.items()))
+    return worst
+
+
+@pytest.mark.parametrize("weights", [
+    [1 / 3, 2 / 3], [0.45, 0.45, 0.1], [1, 1, 1], [0.9973, 0.0017, 0.001], [7, 7, 5, 1, 13], [4],
+    [math.pi, math.e, 1e-3, 2 ** 0.5, 10.01], [1] + [0.0007] * 300])
+def test_pfair_stays_within_one_block_of_the_given_weights(weights):
+    whole = [round(w / sum(weights) * 2 ** 40) for w in weights]
+    blocks = [math.ceil(60_000 * w / sum(weights)) + 1 for w in weights]
+    slots = list(mixing.earliest_deadline_first(whole, blocks, stop=True))
+    assert len(slots) > 59_000 and [s for s, _, _ in slots] == list(range(len(slots)))
+    if len(weights) > 50:
+        slots = slots[:8000]
+    assert worst_lag([i for _, i, _ in slots], dict(enumerate(weights))) < 1
+
+
+def test_all_blocks_come_and_the_rest_keeps_its_proportions():
+    weights, blocks = [2 ** 30, 2 ** 29, 2 ** 28 + 7], [50, 400, 300]
+    slots = [(i, j) for _, i, j in mixing.earliest_deadline_first(weights, blocks)]
+    for i, m in enumerate(blocks):
+        assert [j for k, j in slots if k == i] == list(range(m))
+    out = max(at for at, (i, _) in enumerate(slots) if i == 0)
+    assert worst_lag([i for i, _ in slots[:out]], dict(enumerate(weights))) < 1
+    rest = [i for i, _ in slots[out + 1:out + 400]]
+    assert worst_lag(rest, {1: weights[1], 2: weights[2]}) < 2
+
+
+def test_mix_keeps_all_rows_and_the_weights(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(k, rng.choices(["big", "mid", "tiny", None], [60, 25, 12, 3])[0]) for k in range(900)]
     rows += [(None, "big"), (7, rows[7][1])]
     df = spark.createDataFrame([(*r, "t", 0) for r in rows],
                                "doc_id bigint, source string, text string, mix_slot int")
-    weights = spark.createDataFrame([("big", 2.0), ("mid", 1.0), ("tiny", 1.0), ("absent", 5.0),
+    given = {"big": 2.0, "mid": 1 / 3, "tiny": 0.7, None: 1 / 3}  # the unnamed gets the least
+    weights = spark.createDataFrame([("big", 2.0), ("mid", 1 / 3), ("tiny", 0.7), ("absent", 5.0),
                                      ("mid", None)], "source string, weight double")
-    got = mixing.mix(df, weights, block_docs=4, period=40).orderBy("mix_position").collect()
+    got = mixing.mix(df, weights, block_docs=4).orderBy("mix_position").collect()
     assert len(got) == 901 and len({r["mix_position"] for r in got}) == 901
     assert {(r["doc_id"], r["source"]) for r in got} == set(rows)
     slots, seen = [], set()
@@ -232,14 +258,20 @@ def test_mix_keeps_all_rows_and_the_weights(spark):
     blocks = Counter(s for _, s in slots)
     assert blocks == {s: -(-n // 4) for s, n in Counter(
         s for _, s in set(rows)).items()}
-    # until the first source runs out, every prefix follows the shares
-    head = [s for _, s in slots[:40]]
-    assert mixing.lags(head, {s: head.count(s) / 40 for s in set(head)}) < 1
+    order = [s for _, s in slots]
+    ends = min(max(at for at, x in enumerate(order) if x == s) for s in given)
+    assert ends > 10 and worst_lag(order[:ends], given) < 1  # the weights that were given
+    cut = mixing.mix(df, weights, block_docs=4, stop=True).collect()
+    assert {r["mix_slot"] for r in cut} == set(range(ends + 1))
     assert mixing.mix(df.limit(0), weights).collect() == []
-    files = mixing.ordered(df, mixing.mix(df, weights, block_docs=4, period=40))
+    files = mixing.ordered(df, mixing.mix(df, weights, block_docs=4))
     order = [r["doc_id"] for r in files.select("doc_id").toLocalIterator()]
     at = {r["doc_id"]: r["mix_position"] for r in got}
     assert len(order) == len(rows) and [at[d] for d in order] == sorted(at[d] for d in order)
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 50)  # larger blocks, all rows
+    few = mixing.mix(df, weights, block_docs=4).collect()
+    assert len(few) == 901 and len({r["mix_position"] for r in few}) == 901
+    assert max(r["mix_slot"] for r in few) < 54
 
 
 def test_ranks_of_a_hot_group_do_not_depend_on_buckets(spark):
