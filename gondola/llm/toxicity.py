@@ -12,7 +12,8 @@ toxic than in other labelled documents, by a lower confidence bound of the log o
 A logistic model of the strongest pieces of evidence, fitted on labelled documents
 that the evidence was not taken from, gives the probability.
 
-Character counts cover all documents. Labels are read from a bounded sample
+Character counts cover all documents; those with a share of 1 in ``SHARE`` of all letters
+at least, so at most that many, are held by every worker, others are smoothed. Labels are read from a bounded sample
 (``LABELLED`` rows in hash order), so the sample can be broadcast and no text is
 shuffled. Language, source and id of a document are not looked at.
 """
@@ -22,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 from gondola.llm.frames import TEXT, map_text, pieces, stored
 
 LABELLED = 100_000  # labelled rows the classifier is fitted on, at most
-TRIGRAM_LEAST = 3  # rarer character trigrams count in their pairs only
-_CACHED = 200_000  # chunks a Python worker remembers
-_BEAM = 48  # lattice states kept per sign
+SHARE = 1 << 19  # trigrams and pairs with a share of 1 / SHARE of all letters are kept
+PRIOR = 0.05  # score of a text without evidence, where labels say nothing
+_CACHED = 250_000  # pieces a Python worker remembers, twice
 
 # fixed values: signs and the letters they are used for
 LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b",
@@ -50,51 +51,65 @@ _APART = re.compile(rf"[\w{_SIGNS}](?:[._*~-]+[\w{_SIGNS}]){{2,}}")
 _SIGN, _BETWEEN = rf"(?:[^\W_]|[{_SIGNS}])", rf"[\s{re.escape(_GAPS)}]"
 # single signs with white space, and any other gaps, between
 _SPACED = re.compile(rf"(?<!\S){_SIGN}(?:{_BETWEEN}+{_SIGN}){{2,}}(?!\S)")
-_HALF = 5  # bytes of a piece that may be one half of a word, at most
+_ENDS = ".,;:?()[]{}<>\"“”„«»‘’…"  # signs around a word that are no letters of it
 
 
 # ---- character model ------------------------------------------------------
 
-def trigram_counts(docs: DataFrame, least: int = TRIGRAM_LEAST) -> tuple[dict[str, int], ...]:
-    """Letter trigrams of all words of all documents; a blank stands at word ends.
+def trigram_counts(docs: DataFrame, share: int = SHARE) -> tuple[dict[str, int], ...]:
+    """Letter trigrams of all words of all documents, and their last and first pairs.
 
-    Those that come ``least`` times, and of all trigrams the counts of last and of first pairs.
+    A blank stands at word ends. Grams below 1 / ``share`` of all letters are left out, so
+    at most ``share`` of each kind come to the driver, whatever scripts the texts have.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
         for batch in pieces(batches, 2000):
-            words: Counter = Counter()
             for text in batch.column(0):
-                words.update((text.as_py() or b"").lower().split())
-            kept: Counter = Counter()
-            for word, n in words.items():
-                for letters in _LETTERS.findall(word.decode(errors="replace").lower()):
-                    kept[letters] += n
-            if not kept:
-                continue
-            # two blanks between words: every trigram lies in one word
-            signs = np.frombuffer(("  " + "  ".join(kept) + "  ").encode("utf-32-le"),
-                                  np.uint32).astype(np.int64)
-            blank = signs == 32
-            owner = np.cumsum(blank[1:-1] & blank[:-2]) - 1
-            key = signs[:-2] << 42 | signs[1:-1] << 21 | signs[2:]
-            values, place = np.unique(key, return_inverse=True)
-            counts = np.bincount(place, np.array([*kept.values(), 0], float)[
-                np.minimum(owner, len(kept))]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["key", "n"])
+                words.update((text.as_py() or b"").decode(errors="replace").lower().split())
+            if len(words) > _CACHED:
+                yield _trigrams(words)
+                words = Counter()
+        if words:
+            yield _trigrams(words)
 
     every = stored(docs.select(F.col(TEXT)).mapInArrow(run, "key bigint, n bigint")
                    .groupBy("key").agg(F.sum("n").alias("n")), "trigrams")
+    total = every.agg(F.sum("n")).first()[0] or 0
     sign = lambda k, shift: chr(k >> shift & 0x1FFFFF)
 
+    def kept(grams: DataFrame) -> list:
+        return grams.filter(F.col("n") * share >= total).collect()
+
     def pairs(key: str) -> dict[str, int]:
-        found = every.groupBy(F.expr(key).alias("key")).agg(F.sum("n").alias("n")).collect()
-        return {sign(r["key"], 21) + sign(r["key"], 0): r["n"] for r in found}
+        found = every.groupBy(F.expr(key).alias("key")).agg(F.sum("n").alias("n"))
+        return {sign(r["key"], 21) + sign(r["key"], 0): r["n"] for r in kept(found)}
 
     return ({sign(r["key"], 42) + sign(r["key"], 21) + sign(r["key"], 0): r["n"]
-             for r in every.filter(F.col("n") >= least).collect()},
+             for r in kept(every)},
             pairs(f"key & {(1 << 42) - 1}"), pairs("shiftright(key, 21)"))
 
 
+def _trigrams(words: Counter) -> pa.RecordBatch:
+    kept: Counter = Counter()
+    for word, n in words.items():
+        bare = word.strip(_ENDS)
+        for letters in (bare,) if bare.isalpha() else _LETTERS.findall(word):
+            kept[letters] += n
+    # two blanks between words: every trigram lies in one word
+    signs = np.frombuffer(("  " + "  ".join(kept) + "  ").encode("utf-32-le", "replace"),
+                          np.uint32).astype(np.int64)
+    blank = signs == 32
+    owner = np.cumsum(blank[1:-1] & blank[:-2]) - 1
+    key = signs[:-2] << 42 | signs[1:-1] << 21 | signs[2:]
+    values, place = np.unique(key, return_inverse=True)
+    counts = np.bincount(place, np.array([*kept.values(), 0], float)[
+        np.minimum(owner, len(kept))]).astype(np.int64)
+    some = counts > 0
+    return pa.RecordBatch.from_arrays([pa.array(values[some]), pa.array(counts[some])],
+                                      ["key", "n"])
+
+
 class CharModel:
     """Interpolated trigram probabilities, as logarithms."""
 
@@ -162,7 +177,7 @@ def restore(text: str, model: CharModel) -> str:
                         context = "  "
                 if context not in new or new[context][0] < value:
                     new[context] = value, (path, letters)
-        best = dict(sorted(new.items(), key=lambda x: -x[1][0])[:_BEAM])
+        best = new  # two letters each: as many as the last two signs may stand for
     ends = ((score + (0.0 if state[1] == " " else model.cost(state, " ")), path)
             for state, (score, path) in best.items())
     path, out = max(ends, key=lambda x: x[0])[1], []
@@ -188,36 +203,22 @@ def chunk_words(chunk: str, model: CharModel) -> list[str]:
     return words
 
 
-def text_pieces(text: bytes) -> set[bytes]:
-    """Distinct pieces of the text, and short neighbours joined: a word may be split once."""
-    chunks = text.split()
-    out = set(chunks)
-    out.update(a + b for a, b in zip(chunks, chunks[1:])
-               if len(a) <= _HALF and len(b) <= _HALF and len(a) + len(b) > 3)
-    return out
-
-
-def spaced_words(text: bytes, model: CharModel) -> Iterator[list[str]]:
+def spaced_words(text: str, model: CharModel) -> Iterator[list[str]]:
     """Restored words of every run of letters that blanks, line ends or gaps set apart."""
-    for span in set(_SPACED.findall(text.decode(errors="replace"))):
+    for span in set(_SPACED.findall(text)):
         yield _LETTERS.findall(restore(span, model))
 
 
-def text_words(text: bytes, model: CharModel, known: dict[bytes, list[str]]) -> Iterator[list[str]]:
-    """Words of every distinct piece of the text, and of letters set apart by blanks."""
-    for chunk in text_pieces(text):
-        words = known.get(chunk)
-        if words is None:
-            words = known[chunk] = chunk_words(chunk.decode(errors="replace"), model)
-        yield words
-    yield from spaced_words(text, model)
+def _logit(p: float) -> float:
+    return math.log(p / (1 - p))
 
 
 @dataclass
 class Model:
     trigrams: dict[str, int]
     weights: dict[str, float] = field(default_factory=dict)
-    scale: list[float] = field(default_factory=lambda: [0.0] * 4)
+    # without fitting: the prior, and evidence as it is
+    scale: list[float] = field(default_factory=lambda: [1.0, 0.5, 0.0, _logit(PRIOR)])
     two: dict[str, int] | None = None
     after: dict[str, int] | None = None
 
@@ -225,37 +226,93 @@ class Model:
         return CharModel(self.trigrams, self.two, self.after)
 
 
+class Reader:
+    """Finds the wanted marks of texts, and remembers which pieces hold none.
+
+    A piece is looked at once: plain words are known by their first four letters, and
+    only a piece with other signs inside goes through the lattice.
+    """
+
+    def __init__(self, chars: CharModel, wanted: Container[str] | None, joins: bool = False):
+        """``wanted`` None finds all marks. With weights, the heaviest mark of each word counts.
+
+        ``joins`` reads neighbours as one word that is split, too.
+        """
+        self.chars, self.wanted = chars, wanted
+        self.weights = wanted if isinstance(wanted, dict) else None
+        self.first = None if wanted is None else {m.rstrip("*")[:4] for m in wanted}
+        self.starts = {m[:k] for m in wanted for k in range(1, len(m.rstrip("*")))} if joins else ()
+        self.hits: dict[str, tuple[str, ...]] = {}
+        self.some: set[str] = set()
+        self.seen, self.older = set(), set()
+
+    def _marks(self, words: Iterable[str]) -> tuple[str, ...]:
+        if self.weights is not None:
+            heavy = (max(marks(w), key=lambda m: self.weights.get(m, 0.0)) for w in words)
+            return tuple({m for m in heavy if m in self.weights})
+        return tuple({m for w in words for m in marks(w)
+                      if self.wanted is None or m in self.wanted})
+
+    def _learn(self, new: set[str]) -> None:
+        for piece in new:
+            bare = piece.strip(_ENDS)
+            if bare.isalpha() and not _STRETCHED.search(bare):
+                if self.first is not None and bare[:4] not in self.first:
+                    continue
+                found = self._marks((bare,))
+            else:
+                found = self._marks(chunk_words(piece, self.chars))
+            if found:
+                self.hits[piece] = found
+                self.some.add(piece)
+        self.seen |= new
+
+    def _forget(self) -> None:
+        """Drop the older half of the pieces without marks, and all where those with are many."""
+        self.older, self.seen = self.seen, set()
+        if len(self.hits) > _CACHED:
+            self.hits, self.some, self.older = {}, set(), set()
+
+    def _joined(self, a: str, b: str) -> tuple[str, ...]:
+        """The word that two neighbours make, if it counts as a whole and not by its beginning."""
+        word = a.lstrip(_ENDS) + b.rstrip(_ENDS + "!")
+        return (word,) if len(word) > 3 and word in self.wanted else ()
+
+    def find(self, text: str) -> set[str]:
+        if len(self.seen) > _CACHED:
+            self._forget()
+        text = text.lower()
+        pieces_ = text.split()
+        distinct = set(pieces_)
+        new = distinct - self.seen - self.older
+        if new:
+            self._learn(new)
+        found: set[str] = set()
+        for piece in distinct & self.some:
+            found.update(self.hits[piece])
+        if self.starts and not distinct.isdisjoint(self.starts):
+            opens, last = self.starts, len(pieces_) - 1
+            for i in [i for i, p in enumerate(pieces_) if p in opens]:
+                if i < last:
+                    found.update(self._joined(pieces_[i], pieces_[i + 1]))
+        for words in spaced_words(text, self.chars):
+            found.update(self._marks(words))
+        return found
+
+
 class Scorer:
-    """Evidence of a text; pieces seen before are remembered."""
+    """Evidence and score of a text."""
 
     def __init__(self, model: Model):
-        self.model, self.chars = model, model.reader()
-        self.known: dict[bytes, tuple] = {}
-
-    def _found(self, words: Iterable[str]) -> tuple:
-        out = []
-        for word in words:
-            best = max(marks(word), key=lambda m: self.model.weights.get(m, 0.0))
-            if best in self.model.weights:
-                out.append((self.model.weights[best], best))
-        return tuple(out)
+        self.model = model
+        self.reader = Reader(model.reader(), model.weights, joins=True)
 
     def evidence(self, text: bytes | None) -> list[float]:
         """Strongest and second strongest weight, and how much evidence there is."""
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        found: set = set()
-        known = self.known
-        for chunk in text_pieces(text or b""):
-            hits = known.get(chunk)
-            if hits is None:
-                hits = known[chunk] = self._found(
-                    chunk_words(chunk.decode(errors="replace"), self.chars))
-            if hits:
-                found.update(hits)
-        for words in spaced_words(text or b"", self.chars):
-            found.update(self._found(words))
-        top = sorted((w for w, _ in found), reverse=True)[:2] + [0.0, 0.0]
+        if not self.model.weights:
+            return [0.0, 0.0, 0.0]
+        found = self.reader.find((text or b"").decode(errors="replace"))
+        top = sorted((self.model.weights[m] for m in found), reverse=True)[:2] + [0.0, 0.0]
         return [top[0], top[1], math.log1p(len(found))]
 
     def score(self, text: bytes | None) -> float:
@@ -267,16 +324,12 @@ class Scorer:
 def _mark_counts(rows: DataFrame, shared, wanted) -> DataFrame:
     """(mark, toxic, other): in how many documents each mark stands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chars, known = shared.value.reader(), {}
-        only = wanted.value if wanted is not None else None
+        reader = Reader(shared.value.reader(), None if wanted is None else wanted.value)
         for batch in pieces(batches, 1000):
             counts = Counter(), Counter()
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = {m for ws in text_words(text.as_py() or b"", chars, known)
-                         for w in ws for m in marks(w)}
-                counts[0 if label else 1].update(found if only is None else found & only)
-                if len(known) > _CACHED:
-                    known.clear()
+                counts[0 if label else 1].update(
+                    reader.find((text.as_py() or b"").decode(errors="replace")))
             names = list(counts[0] | counts[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()),
@@ -307,8 +360,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     Evidence is counted on two thirds of the sampled labels, by a hash of the id, and
     the logistic model is fitted on the rest. Rows without label, id or document say
-    nothing. Without a toxic label, or without any, the score is the prior. Every mark
-    of at least ``least`` toxic documents is weighed: only the sample bounds their number.
+    nothing. Where the labels hold one class only, or none, every score is ``PRIOR``, which
+    is below the limit, so nothing is predicted toxic. Every mark of at least ``least``
+    toxic documents is weighed: only the sample bounds their number.
     """
     sc = docs.sparkSession.sparkContext
     source = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("binary").alias(TEXT))
@@ -325,6 +379,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     sizes = chosen.filter("_fold < 2").agg(F.sum((F.col("_y") == 1).cast("long")),
                                            F.sum((F.col("_y") != 1).cast("long"))).first()
     toxic, other = (n or 0 for n in sizes)
+    if not toxic or not other:  # nothing to tell apart: every text gets the prior
+        return model
     names = [r["mark"] for r in _mark_counts(rows.filter("_y = 1"), shared, None)
              .filter(F.col("toxic") >= least).collect()]
     wanted = sc.broadcast(frozenset(names))
@@ -344,8 +400,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     data = map_text(joined.filter("_fold = 2"), "e array<double>", evidence, TEXT,
                     ["_y"]).collect()
-    if data:
-        y = np.array([float(r["_y"] == 1) for r in data])
+    y = np.array([float(r["_y"] == 1) for r in data])
+    if len(y) and 0 < y.sum() < len(y):
         model.scale = _logistic(np.array([r["e"] for r in data]), y)
     return model
 
