@@ -88,7 +88,10 @@ def schedule(parts: DataFrame, stop: bool = False) -> DataFrame:
     One task reads a row per source and writes a row per block.
     """
     def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames))
+        found = list(frames)
+        if not found:
+            return
+        rows = pd.concat(found)
         rows = rows.sort_values("source", na_position="first").reset_index(drop=True)
         names, out = rows["source"].tolist(), []
         for slot, i, block in earliest_deadline_first(
@@ -145,6 +148,8 @@ def ordered(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id",
     """Rows of docs in the order of :func:`mix`: files written from them follow the mix."""
     at = places.select(F.col(doc_id).alias("_id"), F.col(source).alias("_s"),
                        F.col("mix_position").alias("_at"))
-    return (docs.join(at, F.col(doc_id).eqNullSafe(F.col("_id"))
-                      & F.col(source).cast("string").eqNullSafe(F.col("_s")))
-            .repartitionByRange("_at").sortWithinPartitions("_at").select(*docs.columns))
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("_doc"),
+                        F.col(source).cast("string").alias("_source"))
+    return (whole.join(at, F.col("_doc").eqNullSafe(F.col("_id"))
+                       & F.col("_source").eqNullSafe(F.col("_s")))
+            .repartitionByRange("_at").sortWithinPartitions("_at").select("_row.*"))

@@ -62,3 +62,55 @@ def test_run_is_the_stages(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert got.count() == got.select("doc_id").distinct().count() > 0
+
+
+NAMES = ["score", "predicted", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+         "item_ids", "hit_spans", "component_id", "n_shingles", "mix_slot", "mix_position",
+         "mix_source_block", "start", "n_tokens", "ids_crc32", "_id", "_s", "_at", "_row", "_doc",
+         "_rank", "_part", "_file", "toxic"]
+
+
+def odd_documents(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, None, "en", "a"), (2, "", "en", "a"), (3, text, "en", "a"), (3, text, "en", "a"),
+            (4, text, None, None), (None, "no id here", "de", "b"), (None, None, None, None),
+            (5, "long words " * 20_000, "fr", "b"), (6, "short", "en", None), (7, "\n \t", "es", "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    return docs.select("*", F.length("text").cast("bigint").alias("n_chars"),
+                       *[F.concat(F.lit(f"own {n} "), F.coalesce(F.col("doc_id"), F.lit(0)))
+                         .alias(n) for n in NAMES])
+
+
+def odd_tables(spark, path, docs, labels, benchmark):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(benchmark, "item_id bigint, text string").write.parquet(
+        f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_stages_keep_the_columns_of_odd_documents(spark, tmp_path):
+    docs = odd_documents(spark)
+    sf = odd_tables(spark, tmp_path, docs, [(1, 0), (3, 1), (None, 1), (9, 1)],
+                    [(1, "short"), (2, None), (None, "no such words at all")])
+    left = {"toxicity": 10, "near_duplicates": 9, "benchmark_decontamination": 8, "mix_sources": 8}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, docs, sf), f"odd-{name}")
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        assert out.exceptAll(docs).isEmpty() and out.count() == left[name]
+        docs = out
+    index = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert index.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    rows = sorted(index.collect(), key=lambda r: r["start"])
+    assert len(rows) == 8 and all(a["start"] + a["n_tokens"] == b["start"]
+                                  for a, b in zip(rows, rows[1:]))
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    docs = odd_documents(spark)
+    sf = odd_tables(spark, tmp_path, docs, [], [])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs.limit(0), sf)
+        assert out.count() == 0
+        if name not in ("near_duplicates", "token_files"):
+            assert stored(stage(spark, docs, sf), f"bare-{name}").count() == docs.count()
