@@ -33,18 +33,20 @@ def by_hand(rows, marked, least):
             if x else (0, 0.0) for x in lines]
 
 
-@pytest.mark.parametrize("hot", [1 << 18, 30, 1])
+@pytest.mark.parametrize("parts,shard", [(1, 1 << 20), (7, 1 << 20), (7, 40), (30, 7)])
 @pytest.mark.parametrize("least", [1, 3])
-def test_all_words_above_the_floor_count(spark, hot, least):
+def test_all_words_above_the_floor_count(spark, monkeypatch, parts, shard, least):
+    monkeypatch.setattr(lm_scoring, "SHARD", shard)
     rng = random.Random(3)
     names = [f"w{k}" for k in range(40)]
     rows = [(k, " ".join(rng.choices(names, range(40, 0, -1), k=rng.randrange(60)))) for k in range(40)]
     rows += [(None, "w1 w2 W3"), (50, None), (51, ""), (52, "only here")]
     rows += [rows[4], rows[4], (4, "another w1 text"), (None, "w1 w2 w3")]
     marked = {1, 2, 3, 4, 52}
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, score string")
+    df = df.coalesce(1) if parts == 1 else df.repartition(parts)
     targets = spark.createDataFrame([(d,) for d in [*marked, 2, None]], "doc_id bigint")
-    got = lm_scoring.cross_entropy_difference(df, targets, least=least, hot=hot)
+    got = lm_scoring.cross_entropy_difference(df, targets, least=least)
     assert got.columns == ["doc_id", "n_tokens", "score"]
     want = sorted((repr(d), n, s) for (d, _), (n, s) in zip(rows, by_hand(rows, marked, least)))
     got = sorted((repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in got.collect())
@@ -64,3 +66,25 @@ def test_words_beyond_the_most_frequent_make_a_difference(spark):
     got = {r["doc_id"]: r["score"]
            for r in lm_scoring.cross_entropy_difference(df, targets).collect()}
     assert got[1003] > got[2000] + 0.01  # equal where all of them are the unknown word
+
+
+def test_block_of_several_slices(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SLICE", 5)
+    block = lm_scoring._Block()
+    text = "one Two three\n\x0bfour  five onetwothree"
+    block.add(1, text.encode())
+    block.add(2, b" \t ")
+    names = list(block.number)
+    seq = [names[k] for part in block.parts for k in part]
+    assert seq == [*text.lower().encode().split(), b""] and block.lengths == [7, 0]
+
+
+def test_no_targets_and_only_targets(spark):
+    df = spark.createDataFrame([("a", "x y z x y z"), ("b", "x y"), (None, None)],
+                               "doc_id string, text string")
+    none = spark.createDataFrame([], "doc_id string")
+    every = spark.createDataFrame([("a",), ("b",)], "doc_id string")
+    for targets in (none, every):
+        got = lm_scoring.cross_entropy_difference(df, targets, least=1).collect()
+        assert len(got) == 3 and all(abs(r["score"]) < 0.5 for r in got)
+        assert {r["doc_id"]: r["n_tokens"] for r in got} == {"a": 7, "b": 3, None: 0}

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gondola.llm import (components, decontaminate, frames, line_dedup, lm_scoring, mixing,
+from gondola.llm import (components, decontaminate, frames, line_dedup, mixing,
                          preference, quality_rules, repair, toxicity, warc)
 
 DOCS = "doc_id bigint, text string, item_ids string, score string"
@@ -323,41 +323,6 @@ def test_limits_follow_the_group(spark):
     assert quality_rules.quality_rules(df.limit(0)).collect() == []
 
 
-# ---- LM scoring -----------------------------------------------------------
-
-def test_scores_against_plain_python(spark):
-    rng = random.Random(7)
-    rows = [(k, " ".join(rng.choice(["a", "b", "c", "D", "rare%d" % k]) for _ in range(30)))
-            for k in range(20)] + [(50, None), (51, ""), (None, "a b"), (3, "a a a")]
-    wanted = [1, 2, 3, 1, None, 99]
-    df = spark.createDataFrame([(*r, "q") for r in rows], "doc_id bigint, text string, score string")
-    targets = spark.createDataFrame([(t,) for t in wanted], "id bigint")
-    vocab = 4
-    counts = Counter(w for _, t in rows for w in (t or "").lower().split())
-    top = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:vocab]
-    number = {w: k + 2 for k, w in enumerate(top)}
-    tables = np.zeros((2, vocab + 2, vocab + 2))
-    for doc, text in rows:
-        line = [number.get(w, 0) for w in (text or "").lower().split()]
-        for a, b in zip([1, *line], [*line, 1]) if line else ():
-            tables[1][a][b] += 1
-            tables[0][a][b] += doc in (1, 2, 3)
-    logs = [lm_scoring.log_probabilities(t) for t in tables]
-    got = lm_scoring.cross_entropy_difference(df, targets, vocab=vocab).collect()
-    assert len(got) == len(rows)
-    for r, (doc, text) in zip(sorted(got, key=lambda r: repr(r["doc_id"])),
-                              sorted(rows, key=lambda r: repr(r[0]))):
-        if doc == 3:
-            continue
-        line = [number.get(w, 0) for w in (text or "").lower().split()]
-        pairs = list(zip([1, *line], [*line, 1])) if line else []
-        want = np.mean([logs[0][a][b] - logs[1][a][b] for a, b in pairs]) if pairs else 0.0
-        assert r["n_tokens"] == len(pairs) and abs(r["score"] - want) < 1e-5
-    assert abs(np.exp(logs[0]).sum(1) - 1).max() < 1e-9
-    none = lm_scoring.cross_entropy_difference(df.limit(0), targets).collect()
-    assert none == []
-
-
 # ---- toxicity -------------------------------------------------------------
 
 def test_disguised_words_are_restored():
