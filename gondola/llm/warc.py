@@ -3,20 +3,26 @@
 Headers only are shuffled to find the first record of each payload. Pages then
 meet their decision, become WARC/1.1 records with fresh headers, and are written
 by the text writer with the record separator CRLF CRLF as line end: plain archive
-files on any file system Spark can write, under its commit protocol.
+files on any file system Spark can write, under its commit protocol. A task begins a new
+file (folder ``roll=...``) after ``FILE_BYTES``, so no file grows with the input; the reader
+unpacks a file piece by piece and holds one record at a time besides the packed bytes.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gondola.llm.frames import pieces
+
+FILE_BYTES = 64 << 20  # bytes of records, before compression, after which a file ends
+_PIECE = 1 << 20  # bytes unpacked at a time
 _END = b"\r\n\r\n"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 # fixed values of the WARC/1.1 format
@@ -70,7 +76,7 @@ def record(page, url: str | None, payload: bytes, kind: str, refers_to, date: st
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url",
                    html: str = "html", min_bytes: int = 0,
-                   date: str = "2024-01-01T00:00:00Z") -> None:
+                   date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> None:
     """Write one record per row: the smallest page of a payload in full, others as revisits.
 
     A null html is an empty payload. Payloads under ``min_bytes`` are never revisits.
@@ -86,36 +92,77 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
                        & (F.col("_sha1") == F.col("_s")))
              .select("_page", "_url", "record_type", "refers_to", "_html"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        info = [_header({"WARC-Type": "warcinfo", "WARC-Record-ID": "<urn:x-page:info>",
-                         "WARC-Date": date, "Content-Type": "application/warc-fields"},
-                        b"format: WARC File Format 1.1\r\n")]
-        for batch in batches:
-            if batch.num_rows:
-                out = [record(p, u, h.as_py(), k, r, date) for p, u, k, r, h in zip(
-                    *[c.to_pylist() for c in batch.columns[:4]], batch.column(4))]
-                yield pa.RecordBatch.from_arrays([pa.array(info + out, pa.binary())], ["record"])
-                info = []
-
-    (ready.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-     .write.option("lineSep", _END.decode()).option("compression", "gzip").text(path))
+    info = _header({"WARC-Type": "warcinfo", "WARC-Record-ID": "<urn:x-page:info>",
+                    "WARC-Date": date, "Content-Type": "application/warc-fields"},
+                   b"format: WARC File Format 1.1\r\n")
 
-
-def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roll, size, place = -1, file_bytes, 0
+        for batch in pieces(batches):
+            rows: list[tuple[bytes, int, int]] = []
+            for p, u, k, r, h in zip(*[c.to_pylist() for c in batch.columns[:4]],
+                                     batch.column(4)):
+                if size >= file_bytes:
+                    roll, size = roll + 1, 0
+                    rows.append((info, roll, -1))
+                made = record(p, u, h.as_py(), k, r, date)
+                rows.append((made, roll, place))
+                size, place = size + len(made), place + 1
+            columns = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int32(), pa.int64()))],
+                ["record", "roll", "place"])
+
+    (ready.mapInArrow(run, "record binary, roll int, place bigint")
+     .sortWithinPartitions("roll", "place")
+     .select(F.col("record").cast("string").alias("value"), "roll")
+     .write.partitionBy("roll").option("lineSep", _END.decode()).option("compression", "gzip")
+     .text(path))
+
+
+def unpacked_pieces(data: bytes) -> Iterator[bytes]:
+    """The content of a gzip file of any number of members, ``_PIECE`` bytes at a time."""
+    while data:
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            out = member.decompress(data, _PIECE)
+            data = member.unconsumed_tail
+            if not out and not data and not member.eof:
+                raise ValueError("the archive file is cut off")
+            yield out
+        data = member.unused_data
+
+
+def parse_archive(parts: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields, block) of every record, by the lengths the headers give."""
-    at = 0
-    while at < len(data):
-        end = data.index(_END, at)
-        first, *lines = data[at:end].decode().split("\r\n")
+    held, source, at = bytearray(), iter(parts), 0
+
+    def more() -> bool:
+        part = next(source, None)
+        held.extend(part or b"")
+        return part is not None
+
+    while held or more():
+        seen = 0
+        while (end := held.find(_END, seen)) < 0:
+            seen = max(0, len(held) - len(_END))
+            if not more():
+                if held:
+                    raise ValueError(f"no record at byte {at}")
+                return
+        first, *lines = held[:end].decode().split("\r\n")
         if first.encode() != _VERSION:
             raise ValueError(f"no record at byte {at}")
         fields = dict(x.split(": ", 1) for x in lines)
         start = end + len(_END)
         stop = start + int(fields["Content-Length"])
-        if data[stop:stop + len(_END)] != _END:
+        while len(held) < stop + len(_END) and more():
+            pass
+        if held[stop:stop + len(_END)] != _END:
             raise ValueError(f"record at byte {at} does not end where it says")
-        yield fields, data[start:stop]
-        at = stop + len(_END)
+        yield fields, bytes(held[start:stop])
+        del held[:stop + len(_END)]
+        at += stop + len(_END)
 
 
 def read_archives(spark, path: str) -> DataFrame:
@@ -123,18 +170,29 @@ def read_archives(spark, path: str) -> DataFrame:
 
     A payload that does not have its digest stops the job. Revisits have no payload.
     """
+    names = ["page_id", "url", "record_type", "payload_digest", "refers_to", "payload"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = [_fields(*r) for r in parse_archive(gzip.decompress(content.as_py()))]
-                columns = list(zip(*[r for r in rows if r])) or [()] * 6
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(),
-                         pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    ["page_id", "url", "record_type", "payload_digest", "refers_to", "payload"])
-
-    files = spark.read.format("binaryFile").load(path).select("content")
+                rows, size = [], 0
+                for head, block in parse_archive(unpacked_pieces(content.as_py())):
+                    found = _fields(head, block)
+                    if found:
+                        rows.append(found)
+                        size += len(block)
+                    if size > 4 * _PIECE:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                yield batch_of(rows)
+
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.gz").load(path).select("content"))
     return files.mapInArrow(run, "page_id bigint, url string, record_type string, "
                                  "payload_digest string, refers_to bigint, payload binary")
 

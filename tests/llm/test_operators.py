@@ -132,14 +132,38 @@ def test_archives_round_trip(spark, tmp_path):
     heads = {r["page_id"]: r for r in warc.resolve(records).collect()}
     assert heads[3]["payload_bytes"] == 4 and heads[2]["payload_bytes"] == 0
     assert heads[2]["payload_digest"] == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
-    raw = b"".join(gzip.open(f).read() for f in (tmp_path / "warc").glob("part*"))
-    kinds = Counter(h["WARC-Type"] for h, _ in warc.parse_archive(raw))
+    raw = b"".join(gzip.open(f).read() for f in (tmp_path / "warc").rglob("part*"))
+    kinds = Counter(h["WARC-Type"] for h, _ in warc.parse_archive([raw]))
     assert kinds["response"] == 5 and kinds["revisit"] == 3 and kinds["warcinfo"] >= 1
     empty = str(tmp_path / "none")
     warc.write_archives(df.limit(0), empty)
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def test_files_roll_and_are_unpacked_in_pieces(spark, tmp_path, monkeypatch):
+    rows = [(k, f"http://x/{k}", f"page {k} " * 300) for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"), file_bytes=20_000)
+    files = list((tmp_path / "w").rglob("*.gz"))
+    sizes = [len(gzip.open(f).read()) for f in files]
+    assert len(files) > 5 and max(sizes) < 25_000
+    assert all(next(warc.parse_archive([gzip.open(f).read()]))[0]["WARC-Type"] == "warcinfo"
+               for f in files)
+    got = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert {(r["page_id"], r["url"], bytes(r["payload"]).decode()) for r in got} == set(rows)
+    monkeypatch.setattr(warc, "_PIECE", 7)
+    raw = files[0].read_bytes()
+    plain = gzip.decompress(raw)
+    want = list(warc.parse_archive([plain]))
+    assert list(warc.parse_archive(warc.unpacked_pieces(raw))) == want
+    two = gzip.compress(plain[:100]) + gzip.compress(plain[100:])  # any number of members
+    assert list(warc.parse_archive(warc.unpacked_pieces(two))) == want
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.unpacked_pieces(raw[:-20]))
+    with pytest.raises(ValueError, match="does not end|no record"):
+        list(warc.parse_archive([plain[:-3]]))
+
+
 def test_small_payloads_are_no_revisits(spark, tmp_path):
     df = spark.createDataFrame([(k, "u", "tiny") for k in range(3)],
                                "page_id bigint, url string, html string")
