@@ -39,7 +39,7 @@ from gondola.llm.frames import TEXT, _arrow_type, pieces, removed, stored_at
 from gondola.llm.phrases import (SLICE, _dealt, _pair_shards, _rows, _small_batches, _word_shards,
                                  packed, unpacked)
 
-BLOCK = 1 << 20  # words of a block
+BLOCK = 1 << 19  # words of a block
 SHARD = 1 << 20  # entries of a shard, by their upper bound
 RANGE = 1 << 16  # word numbers of a shard of values
 UNIT = 1 << 20
@@ -219,6 +219,11 @@ def _totals(rows: list[dict], least: int, words: bool) -> pa.RecordBatch:
     return _rows(_ANSWERS, out)
 
 
+def _beside(blocks: DataFrame, told: DataFrame) -> DataFrame:
+    """Blocks with what they are told. Their large rows stream past a hash table, unsorted."""
+    return blocks.join(told.hint("shuffle_hash"), "block", "left")
+
+
 def numbered(blocks: DataFrame, answers: DataFrame, marks: DataFrame, offsets: dict[int, int],
              shards: int) -> DataFrame:
     """Blocks with the numbers of known words (0: unknown) and their target documents."""
@@ -245,8 +250,7 @@ def numbered(blocks: DataFrame, answers: DataFrame, marks: DataFrame, offsets: d
 
     told = (answers.filter("block IS NOT NULL").groupBy("block")
             .agg(F.collect_list(F.struct("shard", "at", "ranks")).alias("answers")))
-    return (blocks.select("block", "ids", "lengths", "seq", "words").join(told, "block", "left")
-            .join(marks, "block", "left")
+    return (_beside(_beside(blocks.select("block", "ids", "lengths", "seq", "words"), told), marks)
             .mapInArrow(run, f"block bigint, ids {ids.simpleString()}, lengths binary, "
                              "seq binary, marked array<int>"))
 
@@ -458,6 +462,5 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
         told = values_in_blocks(relation, words.select("id", "n", "t", value.alias("value")))
         found = (pairs.filter("block IS NOT NULL").groupBy("block")
                  .agg(F.collect_list(F.struct("shard", "n", "t", "at")).alias("answers")))
-        ready = (relation.select("block", "ids", "lengths", "seq").join(told, "block", "left")
-                 .join(found, "block", "left"))
+        ready = _beside(_beside(relation.select("block", "ids", "lengths", "seq"), told), found)
         return stored_at(_scores(ready, doc_id, unknown, totals, size, shards), "lm-scores")[0]
