@@ -2,8 +2,8 @@
 
 Documents are dealt to tasks by ranges of the order columns. A task turns its
 documents into ids, appends an end mark to each, and closes a shard at about
-``shard_tokens`` ids. In a shard frequent id pairs are replaced by nonterminals,
-round after round, until no pair repeats often; no pair spans two documents.
+``shard_tokens`` ids. In a shard the most frequent id pairs are replaced by nonterminals,
+many at a time, for a number of rounds; no pair spans two documents.
 
 File format: Parquet, one row per shard. ``symbols`` holds ids below the vocabulary
 size, the end mark (the vocabulary size itself) and nonterminals above it, as
