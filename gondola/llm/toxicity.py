@@ -36,7 +36,7 @@ from gondola.llm.frames import TEXT, map_text, pieces, stored
 LABELLED = 100_000  # labelled rows the classifier is fitted on, at most
 SHARE = 1 << 19  # trigrams and pairs with a share of 1 / SHARE of all letters are kept
 PRIOR = 0.05  # score of a text without evidence, where labels say nothing
-_CACHED = 250_000  # pieces a Python worker remembers, twice
+_CACHED = 100_000  # words or pieces a Python worker holds; of pieces as many older ones
 
 # fixed values: signs and the letters they are used for
 LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b",
