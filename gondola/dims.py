@@ -40,9 +40,8 @@ CATEGORY_MULTI = {
 # --- fixed values: documented two-level hierarchy, parent and children -------------
 CATEGORY_CHILDREN = {"Laticínios": ["Leites", "Queijos", "Iogurtes", "Derivados"]}
 
-# --- fixed values: brand aliases and legal suffixes ----------------------------
+# --- fixed values: brand aliases, looked up without a legal suffix; suffixes ----
 BRAND_ALIASES = {
-    "Parmalat S/A": "Parmalat", "Parmalat Ltda": "Parmalat", "Nestlé S/A": "Nestlé",
     "Nestle": "Nestlé", "P&G": "Procter & Gamble", "Kimberly Clark": "Kimberly-Clark",
     "Unilever Brasil": "Unilever", "Coca Cola": "Coca-Cola", "Ambev": "Ambev",
     "Pepsico": "PepsiCo",

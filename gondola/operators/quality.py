@@ -105,7 +105,7 @@ def status(checked: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
 def recommendations(checked: DataFrame, keys: Sequence[str] = ("market",)) -> DataFrame:
     """One row per batch and recommendation, in rule order (``position`` from 1)."""
     pct = lambda c: F.format_string("%.1f", numbers.round_half_up(c * 100.0, 1))
-    text = []
+    text = []  # fixed values: the texts of the recommendations
     for c, limit in dims.NULL_RATE_LIMITS.items():
         advice = (F.lit(f"Fill or remove records with missing {c} (critical field)")
                   if limit == 0.0 else
