@@ -23,10 +23,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+# for rows of megabytes: pages of few rows, and a codec that needs no buffer of a whole page
+LARGE_ROWS = {"compression": "zstd", "parquet.page.size.row.check.min": "1",
+              "parquet.page.size.row.check.max": "1", "parquet.block.size.row.check.min": "1",
+              "parquet.block.size.row.check.max": "8", "parquet.enable.dictionary": "false"}
+
+
+def stored_at(df: DataFrame, name: str,
+              options: dict[str, str] | None = None) -> tuple[DataFrame, str]:
     """As ``stored``, with the folder, so that it can be removed when it is read no more."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

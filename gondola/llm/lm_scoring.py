@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gondola.llm.frames import TEXT, _arrow_type, pieces, removed, stored_at
+from gondola.llm.frames import LARGE_ROWS, TEXT, _arrow_type, pieces, removed, stored_at
 from gondola.llm.phrases import (SLICE, _dealt, _pair_shards, _rows, _small_batches, _word_shards,
                                  packed, unpacked)
 
@@ -49,6 +49,12 @@ _ENTRIES = "shard int, block bigint, keys binary, n binary, t binary"
 _ANSWERS = "shard int, block bigint, keys binary, n binary, t binary, at binary, ranks binary"
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, in memory that goes back to the system when they are done."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    return pieces(batches, rows)
+
+
 # ---- blocks -----------------------------------------------------------------
 
 class _Block:
@@ -99,7 +105,7 @@ def text_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, number = _Block(), TaskContext.get().partitionId() << 32
-        for batch in pieces(batches):
+        for batch in _few(batches):
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc, value.as_py())
                 if block.size >= BLOCK:
@@ -125,7 +131,7 @@ def marked_places(blocks: DataFrame, targets: DataFrame) -> DataFrame:
 
 def word_entries(blocks: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             block, words, counts = (c[0].as_py() for c in batch.columns)
             words, counts = words.split(b" "), unpacked(counts, "<u4")
             yield _rows(_ENTRIES, [
@@ -153,7 +159,7 @@ def _target_tokens(lengths: np.ndarray, marked: list[int] | None) -> np.ndarray:
 
 def pair_entries(relation: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             block, seq, lengths, marked = (c[0].as_py() for c in batch.columns)
             keys, places = _pairs(unpacked(seq, "<u4"))
             wanted = _target_tokens(unpacked(lengths, "<u4"), marked)
@@ -173,7 +179,7 @@ def counted(entries: DataFrame, least: int, words: bool) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             row = batch.to_pylist()[0]
             if rows and row["shard"] != rows[0]["shard"]:
                 yield _totals(rows, least, words)
@@ -231,7 +237,7 @@ def numbered(blocks: DataFrame, answers: DataFrame, marks: DataFrame, offsets: d
     kind = _arrow_type(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             block, lengths, seq, words, told, marked = (
                 batch.column(c)[0].as_py() for c in
                 ("block", "lengths", "seq", "words", "answers", "marked"))
@@ -260,7 +266,7 @@ def numbered(blocks: DataFrame, answers: DataFrame, marks: DataFrame, offsets: d
 def _word_totals(answers: DataFrame, offsets: dict[int, int]) -> DataFrame:
     """(id, n) of the known words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             shard, n = (c[0].as_py() for c in batch.columns)
             n = unpacked(n, "<u8").astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -274,7 +280,7 @@ def _word_totals(answers: DataFrame, offsets: dict[int, int]) -> DataFrame:
 def _target_words(relation: DataFrame) -> DataFrame:
     """(id, t): known words of target documents, summed per block; id 0 counts all their tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             seq, lengths, marked = (c[0].as_py() for c in batch.columns)
             own = unpacked(seq, "<u4")[_target_tokens(unpacked(lengths, "<u4"), marked)]
             ids, t = np.unique(own[own != 0], return_counts=True)
@@ -289,7 +295,7 @@ def _target_words(relation: DataFrame) -> DataFrame:
 def _contexts(answers: DataFrame) -> DataFrame:
     """(id, cn, ct): kept bigrams by their first word, summed per shard before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             keys, n, t = (unpacked(c[0].as_py(), "<u8") for c in batch.columns)
             ids, place = np.unique(keys >> np.uint64(32), return_inverse=True)
             sums = np.zeros((2, len(ids)), np.int64)
@@ -317,7 +323,7 @@ def values_in_blocks(relation: DataFrame, values: DataFrame) -> DataFrame:
               "ids binary")
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             ids = np.unique(unpacked(batch.column(1)[0].as_py(), "<u4"))
             ids = ids[ids != 0]
             yield _rows(fields, [
@@ -326,7 +332,7 @@ def values_in_blocks(relation: DataFrame, values: DataFrame) -> DataFrame:
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, shard = [], None
-        for batch in pieces(batches, 1 << 14):
+        for batch in _few(batches, 1 << 14):
             shards = batch.column(0).to_numpy()
             cuts = np.flatnonzero(np.diff(shards)) + 1
             for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shards)]):
@@ -369,7 +375,7 @@ def _scores(blocks: DataFrame, doc_id: str, unknown: float, totals: tuple[int, i
     kind = _arrow_type(item)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
+        for batch in _few(batches, 1):
             row = {c: batch.column(c)[0].as_py() for c in ("lengths", "seq", "words", "answers")}
             seq, lengths = unpacked(row["seq"], "<u4"), unpacked(row["lengths"], "<u4")
             parts = [(unpacked(w["ids"], "<u4"), *(unpacked(w[c], "<i8") for c in
@@ -437,15 +443,15 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
     """
     spark = docs.sparkSession
     with _small_batches(spark):
-        blocks, blocks_path = stored_at(text_blocks(docs, doc_id, text), "lm-blocks")
+        blocks, blocks_path = stored_at(text_blocks(docs, doc_id, text), "lm-blocks", LARGE_ROWS)
         tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
         shards = max(1, -(-tokens // SHARD))
-        answers, _ = stored_at(counted(word_entries(blocks, shards), least, True), "lm-words")
+        answers, _ = stored_at(counted(word_entries(blocks, shards), least, True), "lm-words", LARGE_ROWS)
         offsets = _offsets(answers)
         relation, _ = stored_at(numbered(blocks, answers, marked_places(blocks, targets), offsets,
-                                         shards), "lm-numbers")
+                                         shards), "lm-numbers", LARGE_ROWS)
         removed(spark, blocks_path)
-        pairs, _ = stored_at(counted(pair_entries(relation, shards), least, False), "lm-pairs")
+        pairs, _ = stored_at(counted(pair_entries(relation, shards), least, False), "lm-pairs", LARGE_ROWS)
         target, _ = stored_at(_target_words(relation), "lm-targets")
         words = _word_totals(answers, offsets).join(target, "id", "left").join(
             _contexts(pairs), "id", "left").na.fill(0, ["t", "cn", "ct"])
