@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gondola.llm import decontaminate as wm
 from gondola.llm import jaccard_join, mixing, repair, toxicity
-from gondola.llm.frames import read, stored
+from gondola.llm.frames import marked, read, stored
 from gondola.session import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,8 +43,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are one document: they stay or go together. No documents give no rows.
     """
     found = jaccard_join.jaccard_components(docs, n=5, num=80, den=100)
-    copies = found.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = stored(found.filter("component_id < doc_id").select("doc_id").distinct(), "copies")
+    near = marked(_whole(docs).withColumn("_id", F.col("_row.doc_id").cast("bigint")),
+                  "_id", copies, "doc_id")
+    away = near.filter("not _maybe").select("_row.*")  # the most, without a shuffle
+    kept = near.filter("_maybe").join(copies, F.col("_id") == F.col("doc_id"), "left_anti")
+    return away.unionByName(kept.select("_row.*"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

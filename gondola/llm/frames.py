@@ -43,6 +43,32 @@ def removed(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+MARK_BITS = 1 << 26  # of the bitmap below, 64 to a row: a million rows at most
+
+
+def marked(df: DataFrame, key: str, ids: DataFrame, of: str | None = None) -> DataFrame:
+    """``df`` and ``_maybe``: false only where ``key`` is not among the ``of`` values of ``ids``.
+
+    A bitmap of hashed ids is broadcast; its size is bounded whatever the number of ids.
+    Null keys are false.
+    """
+    def place(c: str):
+        return F.pmod(F.xxhash64(c), F.lit(MARK_BITS))
+
+    of = of or key
+    bit = place(of)
+    bitmap = (ids.filter(F.col(of).isNotNull())
+              .groupBy(F.call_function("div", bit, F.lit(64)).alias("_word"))
+              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                            (bit % 64).cast("int"))).alias("_bits")))
+    word = F.when(F.col(key).isNotNull(), F.call_function("div", place(key), F.lit(64)))
+    own = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place(key) % 64).cast("int"))
+    return (df.withColumn("_at", word)
+            .join(F.broadcast(bitmap), F.col("_at") == F.col("_word"), "left")
+            .withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(own) != 0, F.lit(False)))
+            .drop("_at", "_word", "_bits"))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 

@@ -6,7 +6,8 @@
    rarest word (counted over all documents, the most frequent words are kept), then by
    hash. Two sets that link share an n-gram among the first ``size - least overlap + 1``
    of both (fewer for the smaller set: its core), so only these are shuffled.
-3. The documents that share such an n-gram, one of them in its core, form a bucket;
+3. The documents that share such an n-gram, one of them in its core, form a bucket (several
+   where sizes between them are too far apart to link);
    each bucket has a pivot, and all buckets of a pivot are one cluster. Every link lies
    inside a cluster.
 4. A cluster of bounded size is joined in one task: its sets are stored in a trie, a
@@ -26,17 +27,18 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.llm.components import components
-from gondola.llm.frames import TEXT, pieces, stored
+from gondola.llm.frames import TEXT, marked, pieces, removed, stored, stored_at
 
 COMMON_WORDS = 1 << 20  # words with a known frequency; the others count as rare
 CLUSTER_ROWS = 1000  # members that one task joins in one trie
@@ -133,8 +135,8 @@ def _heads(docs: DataFrame, n: int, num: int, den: int, common) -> DataFrame:
 def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
     """(pivot, doc, size, items) of members; items are sorted hashes as bytes.
 
-    A document meets the list of its clusters (as many as its prefix at most), so
-    texts are shuffled once.
+    A document meets the list of its clusters (as many as its prefix at most). Only
+    texts that a bitmap of the members does not rule out are shuffled.
     """
     wanted = members.groupBy("doc").agg(
         F.collect_list("pivot").alias("pivots"))
@@ -147,7 +149,8 @@ def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
                  pa.array([x.tobytes() for x in found], pa.binary())],
                 ["doc", "pivots", "size", "items"])
 
-    sets = (docs.join(wanted, "doc").select("doc", "pivots", TEXT)
+    near = marked(docs, "doc", members).filter("_maybe").drop("_maybe")
+    sets = (near.join(wanted.hint("merge"), "doc").select("doc", "pivots", TEXT)
             .mapInArrow(run, "doc bigint, pivots array<bigint>, size bigint, items binary"))
     return sets.select(F.explode("pivots").alias("pivot"), "doc", "size", "items")
 
@@ -155,18 +158,34 @@ def _sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
 # ---- clusters -------------------------------------------------------------
 
 def _clusters(tokens: DataFrame) -> DataFrame:
-    """(pivot, doc) from (doc, token, core) rows.
+    """(pivot, doc) from (doc, token, core, width) rows.
 
-    Buckets of one document, or without a core one, hold no link. The pivot is the core
-    document of least hash, so it is the same in most buckets of a group.
+    Sets that link are of the same or of adjacent widths, so a bucket ends where a width
+    is missing. Buckets of one document, or without a core one, hold no link. The pivot is
+    the core document of least hash, so it is the same in most buckets of a group.
     """
-    several = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"),
-                                                 F.max("core").alias("c"))
-                     .filter("n > 1 and c").select("token"), "buckets")
-    shared = stored(tokens.join(several.hint("merge"), "token"), "shared-tokens")
+    spark = tokens.sparkSession
+    # one row per width of a token: a window holds few rows, however frequent the token is
+    by_width = Window.partitionBy("token").orderBy("width")
+    widths = (tokens.groupBy("token", "width").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.max("core").alias("c"))
+              .withColumn("gap", F.col("width") - F.lag("width").over(by_width) > 1)
+              .withColumn("part", F.count_if("gap").over(by_width)))
+    whole = Window.partitionBy("token", "part")
+    several, buckets = stored_at(
+        widths.withColumns({"all": F.sum("n").over(whole), "any": F.max("c").over(whole)})
+        .filter("all > 1 and any").select("token", "width", "part"), "buckets")
+    shared, tokens_at = stored_at(tokens.join(several.hint("merge"), ["token", "width"])
+                                  .select("doc", "token", "part", "core"), "shared-tokens")
+    removed(spark, buckets)
     first = F.struct((~F.col("core")).alias("o"), F.xxhash64("doc").alias("h"), "doc")
-    pivots = stored(shared.groupBy("token").agg(F.min(first)["doc"].alias("pivot")), "pivots")
-    return shared.join(pivots.hint("merge"), "token").select("pivot", "doc").distinct()
+    pivots, pivots_at = stored_at(shared.groupBy("token", "part")
+                                  .agg(F.min(first)["doc"].alias("pivot")), "pivots")
+    members = stored(shared.join(pivots.hint("merge"), ["token", "part"]).select("pivot", "doc")
+                     .distinct(), "members")
+    removed(spark, tokens_at)
+    removed(spark, pivots_at)
+    return members
 
 
 class _Node:
@@ -379,21 +398,35 @@ def _large(rows: DataFrame, cluster_rows: int, num: int, den: int) -> DataFrame:
             .unionByName(_join(far, keys, num, den)))
 
 
-def links(docs: DataFrame, heads: DataFrame, n: int, num: int, den: int,
+def links(docs: DataFrame, heads: DataFrame, every: DataFrame, n: int, num: int, den: int,
           cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
-    """(a, b) links that connect exactly the classes which are connected by any links."""
+    """(a, b) links that connect exactly the classes which are connected by any links.
+
+    ``heads`` has one document of each class, ``every`` (doc, size) of all rows of ``docs``.
+    """
     # the smaller set of a link shares more of its n-grams, so fewer of them are its core
     core = F.expr(f"size - (2L * {num} * size + {num + den - 1}) div {num + den} + 1")
-    tokens = (heads.select("doc", core.alias("_core"),
-                           F.posexplode("prefix").alias("at", "token"))
-              .select("doc", "token", (F.col("at") < F.col("_core")).alias("core")))
-    rows = stored(_sets(docs, _clusters(tokens), n), "cluster-sets")
-    sizes = stored(rows.groupBy("pivot").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.length("items")).alias("_bytes")), "sizes")
+    # a little wider than the ratio of two sizes that link, so that rounding parts no pair
+    width = F.floor(F.log(F.col("size").cast("double")) / (math.log(den / num) + 0.001))
+    heads, heads_at = stored_at(heads.select("doc", width.alias("width"), core.alias("_core"),
+                                             "prefix"), "representatives")
+    tokens = (heads.select("doc", "width", "_core", F.posexplode("prefix").alias("at", "token"))
+              .select("doc", "token", "width", (F.col("at") < F.col("_core")).alias("core")))
+    members = _clusters(tokens)
+    removed(docs.sparkSession, heads_at)
+    # what a cluster holds is known before its sets are made: these are shuffled once, unstored
+    held = every.filter("doc is not null").groupBy("doc").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_size"))
+    sizes = stored(members.join(held.hint("merge"), "doc").groupBy("pivot").agg(
+        F.sum("_rows").alias("_n"), F.sum(8 * F.col("_size")).alias("_bytes")), "sizes")
     large = (F.col("_n") > cluster_rows) | (F.col("_bytes") > CLUSTER_BYTES)
-    few = rows.join(sizes.filter(~large & (F.col("_n") > 1)), "pivot", "left_semi")
-    many = stored(rows.join(sizes.filter(large), "pivot", "left_semi"), "large-clusters")
-    small = _join(few.withColumn("role", F.lit(BOTH)), ["pivot"], num, den)
+    few = stored(members.join(sizes.filter(~large & (F.col("_n") > 1)), "pivot", "left_semi"),
+                 "small-members")
+    small = _join(_sets(docs, few, n).withColumn("role", F.lit(BOTH)), ["pivot"], num, den)
+    if sizes.filter(large).isEmpty():
+        return small
+    many = stored(members.join(sizes.filter(large), "pivot", "left_semi"), "large-members")
+    many = stored(_sets(docs, many, n), "large-clusters")
     return small.unionByName(_large(many, cluster_rows, num, den))
 
 
@@ -414,7 +447,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     sets = heads.filter("doc is not null and size > 0")
     classes = stored(sets.groupBy("s1", "s2").agg(F.min("doc").alias("rep")), "classes")
     reps = sets.join(classes.hint("merge"), ["s1", "s2"]).filter("doc = rep")
-    edges = links(source, reps.select("doc", "size", "prefix").distinct(), n, num, den, cluster_rows)
+    edges = links(source, reps.select("doc", "size", "prefix").distinct(),
+                  heads.select("doc", "size"), n, num, den, cluster_rows)
     # a repeated id with several texts connects their classes
     same = sets.select("doc", "s1", "s2").join(classes.hint("merge"), ["s1", "s2"])
     least = same.groupBy("doc").agg(F.min("rep").alias("b"), F.max("rep").alias("a"))

@@ -94,3 +94,30 @@ def test_rank_of_common_words_only_orders(spark):
     assert sorted(map(tuple, jj.jaccard_components(docs).collect())) == \
         sorted(brute(rows, 3, 90, 100))
     assert docs.agg(F.count("*")).first()[0] == 20
+
+
+def test_sets_and_word_buckets_do_not_stay_on_disk(spark):
+    """Sets of small clusters are never stored; what only leads to members goes again."""
+    import glob
+
+    from gondola.session import shared_dir
+
+    def left():
+        names = ("cluster-sets", "buckets", "shared-tokens", "pivots")
+        return [p for n in names for p in glob.glob(f"{shared_dir(spark)}/{n}-*")]
+    before = left()
+    texts = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(20)]
+    rows = [(k, t) for k, t in enumerate(texts + [t + " end" for t in texts])]
+    assert run(spark, rows) == brute(rows, 3, 90, 100)
+    assert left() == before
+
+
+def test_marked_rules_out_only_what_is_absent(spark):
+    from gondola.llm.frames import marked
+    docs = spark.createDataFrame([(k,) for k in [None, *range(2000), 5, 2 ** 62, -7]], "id bigint")
+    ids = spark.createDataFrame([(5,), (-7,), (2 ** 62,), (None,), (5,)], "doc bigint")
+    got = marked(docs, "id", ids, "doc").collect()
+    assert len(got) == 2004
+    assert {r["id"] for r in got if r["_maybe"]} >= {5, -7, 2 ** 62}
+    assert sum(r["_maybe"] for r in got) < 10
+    assert not any(r["_maybe"] for r in got if r["id"] is None)
