@@ -1,9 +1,12 @@
 """What the layers write, and what they leave to be read from the tables."""
 
 import glob
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from gondola.operators import silver
 from gondola.plans.lake import Lake
 from gondola.session import shared_dir
 from gondola.sources import adapter, writers
@@ -44,3 +47,50 @@ def test_payloads_are_compressed_and_whole(spark, sf_dir, tmp_path, monkeypatch)
     assert len(glob.glob(f"{path}/*.json.gz")) == 10
     back = writers.read_payloads(spark, path).select(*sent.columns)
     assert back.exceptAll(sent).isEmpty() and back.count() == 1000
+
+
+def shuffled_columns(df):
+    """Column names that go into each shuffle of a plan."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted")
+    return [set(re.findall(r"([a-z_]+)#", line)) for line in re.findall(
+        r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)]
+
+
+def test_wide_records_are_not_shuffled_before_they_are_used(fresh_lake):
+    """Narrow rows meet markets, then products, by one plan at every size of the tables."""
+    shuffles = shuffled_columns(fresh_lake.obs)
+    lines = [c for c in shuffles if "l_orderkey" in c]
+    assert lines and all("market" in c and not c & {"product_name", "_slug", "p_name"}
+                         for c in lines)
+
+
+def test_kept_records_shuffle_no_made_columns(spark, fresh_lake):
+    lone = fresh_lake.obs.limit(300)
+    odd = lone.withColumns({c: F.lit(None).cast(lone.schema[c].dataType)
+                            for c in ("market", "product_name", "ean", "price", "collected_at")})
+    rows = spark.createDataFrame(lone.union(lone).union(odd).collect(), lone.schema)
+    plain, kept = silver.deduplicate(silver.normalize(rows)), silver.normalize_kept(rows)
+    assert kept.dtypes == plain.dtypes
+    assert kept.count() == plain.count() < 300
+    assert kept.exceptAll(plain).isEmpty() and plain.exceptAll(kept).isEmpty()
+    made = {"brand_normalized", "category_normalized", "quality_flags", "unit_normalized"}
+    shuffles = shuffled_columns(kept)
+    assert shuffles and not any(c & made for c in shuffles)
+
+
+def test_landed_records_are_dealt_before_columns_are_added(spark, fresh_lake, tmp_path, monkeypatch):
+    seen = []
+    append = writers.write_partitioned
+
+    def watched(df, *args):
+        seen.extend(c for c in shuffled_columns(df) if "bronze_run_id" in c)
+        return append(df, *args)
+    monkeypatch.setattr(writers, "write_partitioned", watched)
+    path = fresh_lake.land_bronze(str(tmp_path / "bronze"))
+    back = writers.read_bronze(spark, path)
+    assert back.count() == fresh_lake.obs.count()
+    assert len(seen) == 1 and "record_id" in seen[0]
+    assert not seen[0] & {"bronze_ingestion_timestamp", "year", "bronze_data_version"}
+    folders = back.select("market", "year", "month", "run_id").distinct().count()
+    assert len(glob.glob(f"{path}/*/*/*/*/*/*.parquet")) == folders
