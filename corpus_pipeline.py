@@ -31,7 +31,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     one class or none; repeated rows share their fate. No documents give no rows.
     """
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(_whole(docs), model, text="_text", keep=["_row"],
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    return toxicity.score(rows, model, text="_row.text", keep=["_row"],
                           clean_only=True).select("_row.*")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,18 +91,23 @@ def map_text(docs: DataFrame, fields: str, rows: Callable[[], Callable[[bytes |
     values become the columns ``fields`` (DDL), next to the ``keep`` columns (all
     when None). ``where`` filters rows by their result. Result columns replace kept
     columns of the same name. Values of the ``extra`` columns are further arguments.
+    ``text`` may name a field of a kept struct (``row.text``): it is read there, so that
+    texts reach a task once. Memory of a batch is given back before the next one.
     """
     added = T.StructType.fromDDL(fields)
     names = [f.name for f in added]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    root, _, inner = text.partition(".")
+    inside = inner and root in kept
     source = docs.select(*kept, *[F.col(c).alias(f"_in_{c}") for c in extra],
-                         F.col(text).cast("binary").alias(TEXT))
+                         *([] if inside else [F.col(text).cast("binary").alias(TEXT)]))
     schema = T.StructType([source.schema[c] for c in kept] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = rows()
         for batch in pieces(batches):
-            inputs = [batch.column(batch.num_columns - 1)]
+            inputs = [pc.struct_field(batch.column(kept.index(root)), inner).cast(pa.binary())
+                      if inside else batch.column(batch.num_columns - 1)]
             inputs += [batch.column(len(kept) + i) for i in range(len(extra))]
             found = [one(*row) for row in zip(*map(_values, inputs))]
             out = batch.select(list(range(len(kept))))
@@ -112,6 +118,8 @@ def map_text(docs: DataFrame, fields: str, rows: Callable[[], Callable[[bytes |
             values = [pa.array([r[i] for r in found], _arrow_type(f.dataType))
                       for i, f in enumerate(added)]
             yield pa.RecordBatch.from_arrays([*out.columns, *values], [*kept, *names])
+            del out, values, inputs, found
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from gondola.llm import decontaminate
-from gondola.llm.frames import read, stored
+from gondola.llm.frames import TEXT, map_text, read, stored
 from tests.llm.test_jaccard_join import brute
 
 
@@ -114,3 +114,24 @@ def test_stages_on_empty_tables(spark, tmp_path):
         assert out.count() == 0
         if name not in ("near_duplicates", "token_files"):
             assert stored(stage(spark, docs, sf), f"bare-{name}").count() == docs.count()
+
+
+def test_the_toxicity_stage_sends_each_text_once(spark, tmp_path):
+    """Rows carry their text; no second copy of it goes to the Python workers."""
+    docs = odd_documents(spark)
+    sf = odd_tables(spark, tmp_path, docs, [(1, 0), (3, 1)], [])
+    plan = corpus_pipeline.toxicity_filter(spark, docs, sf)._jdf.queryExecution()
+    assert "MapInArrow" in plan.executedPlan().toString()
+    assert TEXT not in plan.analyzed().toString()
+
+
+def test_a_text_inside_a_kept_row_is_read_there(spark):
+    docs = odd_documents(spark)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+
+    def size():
+        return lambda value: (-1 if value is None else len(value),)
+    found = map_text(rows.coalesce(1), "n int", size, "row.text", ["row"])
+    plain = map_text(docs.coalesce(1), "n int", size, "text")
+    assert found.select("row.*", "n").exceptAll(plain).isEmpty()
+    assert found.count() == plain.count() == docs.count()
