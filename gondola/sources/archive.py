@@ -27,7 +27,7 @@ def _archived(spark: SparkSession, archive: str) -> DataFrame | None:
 
 def _overwrite(df: DataFrame, path: str) -> None:
     """Replace the folders that ``df`` has rows of; others stay."""
-    (df.hint("rebalance", *PARTS).write.mode("overwrite")
+    (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
      .partitionBy(*PARTS).parquet(path))
 
@@ -35,6 +35,8 @@ def _overwrite(df: DataFrame, path: str) -> None:
 def copy_expired(spark: SparkSession, live: str, archive: str, today: dt.date, days: int) -> None:
     """Copy folders older than ``days`` to the archive.
 
+    Folders copied whole are read and written by the same task: they were dealt when they
+    were landed, so their rows are not shuffled again.
     A folder that the archive does not have is copied whole. One that it has (from a run
     that stopped half way, or because late rows came) is completed by the rows it lacks,
     so a half-removed live folder can never shrink the copy.
@@ -50,7 +52,7 @@ def copy_expired(spark: SparkSession, live: str, archive: str, today: dt.date, d
     same = old.join(known.select(*PARTS).distinct(), PARTS, "left_semi").select(*known.columns)
     lacking = known.exceptAll(same)
     whole = same.join(lacking.select(*PARTS).distinct(), PARTS, "left_semi").unionByName(lacking)
-    _overwrite(reliable_checkpoint(whole), archive)
+    _overwrite(reliable_checkpoint(whole.hint("rebalance", *PARTS)), archive)
     _overwrite(expired.join(folders, PARTS, "left_anti"), archive)
 
 

@@ -84,3 +84,16 @@ def test_nothing_is_removed_that_the_archive_lacks(spark, roots):
     with pytest.raises(ValueError, match="copy them first"):
         archive.remove_archived(spark, live, old, TODAY, 30)
     assert len(ids(spark, live)) == 40
+
+
+def test_whole_folders_are_copied_as_they_were_dealt(spark, roots):
+    live, old = roots
+    write(spark, live, [("a market", 60, i) for i in range(5, 9)])  # a second file of one folder
+    split = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(split, "1k")  # each file is read by tasks of its own
+    try:
+        archive.copy_expired(spark, live, old, TODAY, 30)
+    finally:
+        spark.conf.unset(split)
+    assert ids(spark, old) == sorted([*want(True), *[f"a market-60-{i}" for i in range(5, 9)]])
+    assert len(glob.glob(f"{old}/**/*.parquet", recursive=True)) == 5  # no shuffle joined two
