@@ -94,3 +94,19 @@ def test_landed_records_are_dealt_before_columns_are_added(spark, fresh_lake, tm
     assert not seen[0] & {"bronze_ingestion_timestamp", "year", "bronze_data_version"}
     folders = back.select("market", "year", "month", "run_id").distinct().count()
     assert len(glob.glob(f"{path}/*/*/*/*/*/*.parquet")) == folders
+
+
+def test_landed_texts_are_made_after_rows_are_dealt(spark, fresh_lake, tmp_path, monkeypatch):
+    seen = []
+    append = writers.write_partitioned
+
+    def watched(df, *args):
+        seen.extend(c for c in shuffled_columns(df) if "bronze_run_id" in c)
+        return append(df, *args)
+    monkeypatch.setattr(writers, "write_partitioned", watched)
+    back = writers.read_bronze(spark, fresh_lake.land_bronze(str(tmp_path / "bronze")))
+    assert len(seen) == 1 and "p_name" in seen[0]
+    assert not seen[0] & {"product_name", "source_url", "image_url", "sku", "ean", "search_term"}
+    names = [c for c in fresh_lake.obs.columns if c not in ("collected_at", "run_ts")]
+    sent, landed = fresh_lake.obs.select(*names), back.select(*names)
+    assert sent.exceptAll(landed).isEmpty() and landed.exceptAll(sent).isEmpty()
