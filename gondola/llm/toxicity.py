@@ -51,6 +51,8 @@ _APART = re.compile(rf"[\w{_SIGNS}](?:[._*~-]+[\w{_SIGNS}]){{2,}}")
 _SIGN, _BETWEEN = rf"(?:[^\W_]|[{_SIGNS}])", rf"[\s{re.escape(_GAPS)}]"
 # single signs with white space, and any other gaps, between
 _SPACED = re.compile(rf"(?<!\S){_SIGN}(?:{_BETWEEN}+{_SIGN}){{2,}}(?!\S)")
+# what every run of them holds: a sign between two gaps, and one more sign before a gap
+_TWO = re.compile(rf"{_BETWEEN}[\w{_SIGNS}]{_BETWEEN}+[\w{_SIGNS}](?:{_BETWEEN}|\Z)")
 _ENDS = ".,;:?()[]{}<>\"“”„«»‘’…"  # signs around a word that are no letters of it
 
 
@@ -205,7 +207,7 @@ def chunk_words(chunk: str, model: CharModel) -> list[str]:
 
 def spaced_words(text: str, model: CharModel) -> Iterator[list[str]]:
     """Restored words of every run of letters that blanks, line ends or gaps set apart."""
-    for span in set(_SPACED.findall(text)):
+    for span in set(_SPACED.findall(text)) if _TWO.search(text) else ():
         yield _LETTERS.findall(restore(span, model))
 
 

@@ -145,3 +145,15 @@ def test_accented_and_spaced_insults_score_as_toxic(spark):
     got = {r["doc_id"]: r["predicted"]
            for r in toxicity.score(df, toxicity.fit(df, labels), keep=["doc_id"]).collect()}
     assert [got[k] for k in (1000, 1001, 1002, 1003)] == [1, 1, 1, 0]
+
+
+def test_no_run_of_single_signs_is_missed_by_the_first_look():
+    draw = random.Random(5)
+    signs = "ab5@é_日 -*.'\n\t,xy"
+    texts = ["", "a", "a b c", "a\nb-c", "x a.b. c.", *("".join(draw.choices(signs, k=draw.randint(1, 14)))
+                                                   for _ in range(20000))]
+    runs = [t for t in texts if toxicity._SPACED.search(t)]
+    assert len(runs) > 500 and all(toxicity._TWO.search(t) for t in runs)
+    assert not toxicity._TWO.search("a word and a plain x-ray, two " * 3)
+    model = char_model("idiot")
+    assert [*toxicity.spaced_words("you i d i o t", model)] == [["idiot"]]
