@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import gc
 import json
+import os
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -63,8 +64,12 @@ class Encoder:
                 self.ends[number] = token.endswith(suffix)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                        "<u4").tobytes()
+        return self._numbers(text).tobytes()
+
+    def _numbers(self, text: str) -> np.ndarray:
+        """Ids without the offsets of their text, which nothing here reads."""
+        found, = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
@@ -100,7 +105,7 @@ class Encoder:
 
     def _letters(self, stems: list[bytes]) -> None:
         text = b" ".join(stems).decode(errors="replace")
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        ids = self._numbers(text)
         stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(stops) == len(stems):  # one word each, as a letter word gives one at least
             raw = ids.tobytes()
@@ -118,6 +123,8 @@ def _folded(text: bytes) -> bytes:
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
+    """A task has one core: handing texts to threads of the library would only cost."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path)
 
 
@@ -173,15 +180,33 @@ def compress(symbols: np.ndarray, end: int, rounds: int = 5, per_round: int = 10
 
 def rule_lengths(rules: np.ndarray, end: int) -> np.ndarray:
     """Ids that each rule expands to; a rule only refers to rules before it."""
-    lengths = np.ones(len(rules), np.uint32)
-    for k, (left, right) in enumerate(rules.tolist()):
-        lengths[k] = ((lengths[left - end - 1] if left > end else 1)
-                      + (lengths[right - end - 1] if right > end else 1))
-    return lengths
+    lengths: list[int] = []
+    for left, right in rules.tolist():
+        lengths.append((lengths[left - end - 1] if left > end else 1)
+                       + (lengths[right - end - 1] if right > end else 1))
+    return np.array(lengths, np.uint32)
+
 
+def expand(seq: np.ndarray, rules: np.ndarray, end: int,
+           lengths: np.ndarray | None = None) -> np.ndarray:
+    """All ids of the symbols.
 
-def expand(seq: np.ndarray, rules: np.ndarray, end: int) -> np.ndarray:
-    """All ids of the symbols: every pass expands the outermost nonterminals."""
+    Every pass expands the outermost nonterminals. With the ``lengths`` of the rules the
+    nonterminals that occur are expanded once, and what they stand for is copied to all
+    their places, which pays for many symbols.
+    """
+    if lengths is not None:
+        deep = seq > end
+        used, which = _distinct(seq[deep] - (end + 1), len(rules))
+        text = expand(used + np.uint32(end + 1), rules, end)
+        size = np.ones(len(seq), np.int64)
+        size[deep] = lengths[used][which]
+        flat = np.concatenate([seq, text])  # a plain symbol is its own text
+        opens = np.arange(len(seq))
+        opens[deep] = len(seq) + (np.cumsum(lengths[used], dtype=np.int64) - lengths[used])[which]
+        after = np.cumsum(size)
+        total = int(after[-1]) if len(after) else 0
+        return flat[np.repeat(opens - after + size, size) + np.arange(total)]
     while True:
         deep = seq > end
         if not deep.any():
@@ -195,6 +220,13 @@ def expand(seq: np.ndarray, rules: np.ndarray, end: int) -> np.ndarray:
         seq = out
 
 
+def _distinct(rule: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rules that occur, ascending, and for every occurrence its place among them."""
+    seen = np.zeros(n, bool)
+    seen[rule] = True
+    return np.flatnonzero(seen).astype(np.uint32), (np.cumsum(seen) - 1)[rule]
+
+
 class Shard:
     """One stored row: whole decoding, one document, or a range of id positions."""
 
@@ -206,7 +238,7 @@ class Shard:
 
     def decode(self, end_id: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, and where each document stops."""
-        ids = expand(self.symbols, self.rules, self.end)
+        ids = expand(self.symbols, self.rules, self.end, self.lengths)
         stops = np.flatnonzero(ids == self.end) + 1
         return np.where(ids == self.end, np.uint32(end_id), ids).astype("<u4"), stops
 

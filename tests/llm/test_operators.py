@@ -196,6 +196,31 @@ def test_grammar_round_trip_and_random_access():
     assert len(seq) < size * 0.8
 
 
+def test_rules_are_expanded_once_and_copied():
+    rng, end = np.random.default_rng(3), 20
+    for ids in (rng.zipf(1.5, 4_000).clip(0, 20).astype(np.uint32), np.full(700, 4, np.uint32),
+                np.array([end], np.uint32), np.empty(0, np.uint32)):
+        seq, rules = repair.compress(ids, end, least=4)
+        lengths = repair.rule_lengths(rules, end)
+        found = repair.expand(seq, rules, end, lengths)
+        assert found.dtype == np.uint32 and found.tolist() == ids.tolist()
+        assert [len(repair.expand(np.array([end + 1 + k], np.uint32), rules, end))
+                for k in range(len(rules))] == lengths.tolist()
+
+
+def test_the_encoder_asks_for_no_offsets():
+    class WithoutOffsets:  # has what the encoder may call, and no other way to encode
+        def __init__(self, inner):
+            self.encode_batch_fast = inner.encode_batch_fast
+
+    coder = repair.Encoder(tokenizers.path("word_bpe_49k.json"))
+    whole = coder.tokenizer
+    coder.tokenizer = WithoutOffsets(whole)
+    text = "It's the Straße, again: x2y ... again"
+    want = whole.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist() == want
+
+
 def test_token_files_hold_what_the_tokenizer_gives(spark, tmp_path):
     words = ["It's", "<|endoftext|>", "Straße", "İstanbul", "J̌", "é", "x\x0by", "ab,.",
              "...", "12a", "ｆｕｌｌ", "a b", "don't'st", " ", "THE", "the", "\x1c", "ÀÉ"]
