@@ -1,6 +1,9 @@
 """What JSON texts hold: every path at every depth, with types and counts, and what is damaged.
 
 Texts are parsed to VARIANT, so no schema is needed and none is guessed from a sample.
+Every text is parsed and reduced to its shape, which keeps all but the values of scalars; what
+lies where is the same in all texts of one shape, so a shape is unfolded once and counts as
+many times as it comes.
 All levels are unfolded in one pass: a container is counted, and beside it goes on to be
 exploded by the next level. Rows are aggregated by path at the end, where partial sums
 keep the shuffle to one row per path and task.
@@ -18,10 +21,31 @@ from gondola.session import reliable_checkpoint
 MALFORMED = "MALFORMED"
 LEVELS = 16  # levels of one plan; deeper texts go on from a checkpoint
 
+_IN_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+"'  # what follows the first quote
+# Keys are kept whole; a string leaves a quote, a decimal number its point, a number with an
+# exponent its letter. Longer numbers stay: what type they have depends on their value.
+_TOKEN = (rf'(")(?:({_IN_STRING}\s*+:)|{_IN_STRING})|(?<![-+.\deE])-?(?:'
+          r"\d++(?:\.\d++)?+([eE])[-+]?+\d++|\d{1,18}(?:(\.)\d{1,18})?(?![\d.eE]))")
+_MARK = "\x01"  # follows what a token leaves; JSON holds no such sign
+_VALUES = {f":{_MARK}": ":", f'"{_MARK}': '""', f"e{_MARK}": "1e0", f"E{_MARK}": "1e0",
+           f".{_MARK}": "0.5", _MARK: "0"}
+
+
+def shape(text: Column) -> Column:
+    """Valid JSON text with a mark for each scalar: equal for texts of equal paths and types."""
+    return F.regexp_replace(text, _TOKEN, f"$1$2$3$4{_MARK}")
+
+
+def text_of(shape: Column) -> Column:
+    """A JSON text that has the shape: all scalars of one type are alike."""
+    for mark, value in _VALUES.items():
+        shape = F.replace(shape, F.lit(mark), F.lit(value))
+    return shape
+
 
 def nesting(c: Column) -> Column:
     """Depth of brackets outside strings: a bound for the depth of the value."""
-    bare = F.regexp_replace(F.regexp_replace(c, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]+", "")
+    bare = F.regexp_replace(F.regexp_replace(c, f'"{_IN_STRING}', ""), r"[^\[\]{}]+", "")
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(state: Column, sign: Column) -> Column:
@@ -57,21 +81,25 @@ def json_paths(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
     as VOID. Text that is no JSON (or names a key of an object twice) has the path NULL
     and the type MALFORMED; NULL text is no value.
     """
-    v = F.try_parse_json(column)
-    texts = df.filter(F.col(column).isNotNull()).select(*keep, F.col(column).alias("_text"),
-                                                        v.alias("v"))
-    depth = texts.filter("v IS NOT NULL").agg(F.max(nesting(F.col("_text")))).first()[0] or 0
+    valid = F.try_parse_json(column).isNotNull()
+    shapes = (df.filter(F.col(column).isNotNull())
+              .select(*keep, F.when(valid, shape(F.col(column))).alias("_shape"))
+              .groupBy(*keep, "_shape").agg(F.count(F.lit(1)).alias("_times")))
+    texts = reliable_checkpoint(shapes).withColumn("_text", text_of(F.col("_shape")))
+    depth = texts.agg(F.max(nesting(F.col("_text")))).first()[0] or 0
+    texts = texts.withColumn("v", F.try_parse_json("_text"))
     kind = F.coalesce(_type(F.col("v")), F.lit(MALFORMED))
-    rows = texts.select(*keep, F.when(F.col("v").isNotNull(), "$").alias("path"),
+    carried = [*keep, "_times"]
+    rows = texts.select(*carried, F.when(F.col("v").isNotNull(), "$").alias("path"),
                         kind.alias("type"),
                         F.when(kind.isin("OBJECT", "ARRAY"), F.col("v")).alias("v"))
     counted = []
     while True:
         for _ in range(min(depth, LEVELS)):
-            rows = _unfold(rows, keep)
+            rows = _unfold(rows, carried)
         depth -= LEVELS
         counted.append(rows.filter("v IS NULL").groupBy(*keep, "path", "type")
-                       .agg(F.count(F.lit(1)).alias("values")))
+                       .agg(F.sum("_times").alias("values")))
         if depth <= 0:
             break
         rows = reliable_checkpoint(rows.filter("v IS NOT NULL"))
