@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gondola import schemas
 from gondola.operators import history
-from gondola.session import reliable_checkpoint
+from gondola.session import lean_writes, reliable_checkpoint
 from gondola.sources import writers
 
 PARTS = schemas.BRONZE_PARTITIONS
@@ -27,16 +27,18 @@ def _archived(spark: SparkSession, archive: str) -> DataFrame | None:
 
 def _overwrite(df: DataFrame, path: str) -> None:
     """Replace the folders that ``df`` has rows of; others stay."""
-    (df.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
-     .partitionBy(*PARTS).parquet(path))
+    with lean_writes(df.sparkSession):
+        (df.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
+         .partitionBy(*PARTS).parquet(path))
 
 
 def copy_expired(spark: SparkSession, live: str, archive: str, today: dt.date, days: int) -> None:
     """Copy folders older than ``days`` to the archive.
 
     Folders copied whole are read and written by the same task: they were dealt when they
-    were landed, so their rows are not shuffled again.
+    were landed, so their rows are not shuffled again, and files come one after the other, so
+    they are not sorted either.
     A folder that the archive does not have is copied whole. One that it has (from a run
     that stopped half way, or because late rows came) is completed by the rows it lacks,
     so a half-removed live folder can never shrink the copy.

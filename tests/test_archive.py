@@ -97,3 +97,38 @@ def test_whole_folders_are_copied_as_they_were_dealt(spark, roots):
         spark.conf.unset(split)
     assert ids(spark, old) == sorted([*want(True), *[f"a market-60-{i}" for i in range(5, 9)]])
     assert len(glob.glob(f"{old}/**/*.parquet", recursive=True)) == 5  # no shuffle joined two
+
+
+def plans(spark, do):
+    """Texts of the plans that ran, in their order."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    do()
+    runs = store.executionsList()
+    return [runs.apply(i).physicalPlanDescription() for i in range(before, runs.size())]
+
+
+def test_folders_are_copied_without_a_sort(spark, roots):
+    live, old = roots
+    ran = plans(spark, lambda: archive.copy_expired(spark, live, old, TODAY, 30))
+    writes = [p for p in ran if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(writes) == 1 and not any("Sort" in p for p in writes)
+    assert (ids(spark, live), ids(spark, old)) == (sorted(want(False) + want(True)), want(True))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
+
+
+def test_more_folders_than_open_files(spark, tmp_path):
+    live, old = str(tmp_path / "live"), str(tmp_path / "archive")
+    days = range(31, 91)
+    write(spark, live, [("m", d, i) for d in days for i in range(3)])
+    split, parts = "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum"
+    spark.conf.set(split, "0")
+    spark.conf.set(parts, "1")  # all folders in one task
+    try:
+        assert archive.archive_expired(spark, live, old, TODAY, 30) == 60
+    finally:
+        spark.conf.unset(split)
+        spark.conf.unset(parts)
+    assert ids(spark, live) == []
+    assert ids(spark, old) == sorted(f"m-{d}-{i}" for d in days for i in range(3))
+    assert len(glob.glob(f"{old}/**/*.parquet", recursive=True)) == 60

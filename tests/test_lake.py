@@ -110,3 +110,32 @@ def test_landed_texts_are_made_after_rows_are_dealt(spark, fresh_lake, tmp_path,
     names = [c for c in fresh_lake.obs.columns if c not in ("collected_at", "run_ts")]
     sent, landed = fresh_lake.obs.select(*names), back.select(*names)
     assert sent.exceptAll(landed).isEmpty() and landed.exceptAll(sent).isEmpty()
+
+
+def test_the_id_of_a_landed_record_is_dealt_as_its_columns(spark, fresh_lake, tmp_path, monkeypatch):
+    seen = []
+    append = writers.write_partitioned
+
+    def watched(df, *args):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        rest = text[text.index("RebalancePartitions"):]
+        seen.append((rest.count("concat_ws(-, cast(l_orderkey"), "struct(l_orderkey" in rest))
+        return append(df, *args)
+    monkeypatch.setattr(writers, "write_partitioned", watched)
+    back = writers.read_bronze(spark, fresh_lake.land_bronze(str(tmp_path / "bronze")))
+    assert seen == [(0, True)]
+    sent, landed = fresh_lake.obs.select("record_id"), back.select("record_id")
+    assert sent.exceptAll(landed).isEmpty() and landed.exceptAll(sent).isEmpty()
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def stored():
+        dirs = [d.getPath() for d in files.diskBlockManager().localDirs()]
+        return {p for d in dirs for p in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    before = stored()
+    df = spark.range(5000).select(F.col("id"), (F.col("id") % 3).alias("p"))
+    writers.write_partitioned(df, str(tmp_path / "out"), ["p"], "gzip")
+    assert stored() <= before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5000
